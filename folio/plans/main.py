@@ -1,0 +1,71 @@
+"""Command line, for ``spark-submit``:
+
+    main.py curate  SOURCE CURATED [--format parquet]
+    main.py genres  CURATED
+    main.py collect CURATED STORE LOG --run-id ID [--sample 2000]
+"""
+
+from __future__ import annotations
+
+import argparse
+
+from folio.operators.curate import MIN_RATINGS
+from folio.operators.genres import MIN_COUNT, TOP_GENRES
+from folio.operators.sample import RUN_SAMPLE, SEED
+from folio.plans.catalogue import curate_to, genre_profile
+from folio.plans.covers import run
+from folio.session import build_session
+from folio.sources.fetch import requests_transport
+
+
+def parse(argv: list[str] | None = None) -> argparse.Namespace:
+    parser = argparse.ArgumentParser(prog="folio")
+    commands = parser.add_subparsers(dest="command", required=True)
+    one = commands.add_parser("curate")
+    one.add_argument("source")
+    one.add_argument("curated")
+    one.add_argument("--format", default="parquet")
+    one.add_argument("--min-ratings", type=int, default=MIN_RATINGS)
+    two = commands.add_parser("genres")
+    two.add_argument("curated")
+    two.add_argument("--top", type=int, default=TOP_GENRES)
+    two.add_argument("--min-count", type=int, default=MIN_COUNT)
+    three = commands.add_parser("collect")
+    three.add_argument("curated")
+    three.add_argument("store")
+    three.add_argument("log")
+    three.add_argument("--run-id", required=True)
+    three.add_argument("--sample", type=int, default=RUN_SAMPLE, help="0 takes all books")
+    three.add_argument("--seed", type=int, default=SEED)
+    three.add_argument("--slices", type=int, default=1)
+    return parser.parse_args(argv)
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = parse(argv)
+    spark = build_session()
+    if args.command == "curate":
+        curate_to(spark, args.source, args.curated, args.format, args.min_ratings)
+    elif args.command == "genres":
+        profile = genre_profile(spark.read.parquet(args.curated), args.top, args.min_count)
+        profile.top.show(args.top, truncate=False)
+        profile.distinct.show()
+        profile.frequent.show(truncate=False)
+    else:
+        result = run(
+            spark,
+            args.curated,
+            args.store,
+            args.log,
+            requests_transport,
+            args.run_id,
+            sample_size=args.sample or None,
+            seed=args.seed,
+            slices=args.slices,
+        )
+        result.progress.orderBy("i").show(1000)
+        result.counters.show()
+
+
+if __name__ == "__main__":
+    main()
