@@ -20,14 +20,18 @@ from pyspark.sql.functions import pandas_udf
 
 # Quotes count only after '='; the possessive repeats keep the match linear and off the stack.
 _REST_OF_TAG = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+>"""
+_WANTED = r"(?i:meta|img)(?=[\s/>])"
+# One match steps over everything up to the next wanted tag, or to the end of the page.
 _TAGS = (
-    r"(?s)<!--.*?-->"
+    r"(?s)(?:[^<]++"
+    r"|<!--.*?-->"
     r"|<!\[(?i:CDATA)\[.*?\]\]>"
     r"|<[!?][^>]*+>"
-    rf"|<(?i:script)(?=[\s/>]){_REST_OF_TAG}.*?</\s*(?i:script)\s*>"
-    rf"|<(?i:style)(?=[\s/>]){_REST_OF_TAG}.*?</\s*(?i:style)\s*>"
-    rf"|(<(?i:meta|img)(?=[\s/>]){_REST_OF_TAG})"
-    rf"|<[a-zA-Z][^\s/>]*+{_REST_OF_TAG}"
+    rf"|<(?i:script)(?=[\s/>]){_REST_OF_TAG}.*?(?:</\s*(?i:script)\s*>|\z)"
+    rf"|<(?i:style)(?=[\s/>]){_REST_OF_TAG}.*?(?:</\s*(?i:style)\s*>|\z)"
+    rf"|<(?!{_WANTED})(?:[a-zA-Z][^\s/>]*+{_REST_OF_TAG})?+"
+    r")*+"
+    rf"(?:(<{_WANTED}{_REST_OF_TAG})|<|\z)"
 )
 _IS_META = r"^<(?i:meta)"
 _IS_IMG = r"^<(?i:img)"
@@ -67,7 +71,7 @@ def _may_hold_cover(html: Column) -> Column:
 def _cover_tags(html: Column) -> Column:
     """The og:image tag and the coverImage tag of a page; either may be null."""
     tags = F.regexp_extract_all(html, F.lit(_TAGS), F.lit(1))
-    # '' stands for everything the pattern stepped over.
+    # The last item is '' where the page ends after it.
     meta = F.filter(tags, lambda t: t.rlike(_IS_META) & _has(t, "property", "og:image"))
     img = F.filter(tags, lambda t: t.rlike(_IS_IMG) & _has(t, "id", "coverImage"))
     return F.struct(F.get(meta, F.lit(0)).alias("meta"), F.get(img, F.lit(0)).alias("img"))

@@ -55,17 +55,19 @@ def genre_counts(books: DataFrame, fail: bool = False) -> DataFrame:
         items = books.select(F.explode("genres").alias("genre"))
         return items.groupBy("genre").agg(F.count("*").alias("count"))
     genres = F.col("genres")
-    plain = is_plain_list(genres)
+    is_item = F.col("plain")
     counted = (
         books.where(genres.isNotNull())
-        .select(
-            plain.alias("plain"),
-            F.explode(F.when(plain, split_plain_list(genres)).otherwise(F.array(genres))).alias("item"),
-        )
+        .select(genres, is_plain_list(genres).alias("plain"))
+        .select("plain", F.when(is_item, split_plain_list(genres)).otherwise(F.array(genres)).alias("items"))
+        # The outer form, since the inner one would evaluate the items a second time to drop empty
+        # lists ahead of it; items are never null here.
+        .select("plain", F.explode_outer("items").alias("item"))
+        .where(F.col("item").isNotNull())
         .groupBy("plain", "item")
         .agg(F.count("*").alias("n"))
     )
-    item, is_item = F.col("item"), F.col("plain")
+    item = F.col("item")
     items = F.when(is_item, F.array(item)).otherwise(read_odd_list(F.when(~is_item, item), fail))
     return (
         counted.select(F.explode(items).alias("genre"), "n")
