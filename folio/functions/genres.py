@@ -27,6 +27,13 @@ def split_plain_list(genres: Column) -> Column:
     return F.regexp_extract_all(genres, F.lit(_PLAIN_ITEMS), F.lit(2))
 
 
+def _storable(text: str) -> str:
+    """Join escaped surrogate pairs; a lone half cannot be stored and becomes the replacement sign."""
+    if text.isascii():
+        return text
+    return text.encode("utf-16", "surrogatepass").decode("utf-16", "replace")
+
+
 def read_literal(text: str) -> list[str | None] | None:
     """Items of a Python sequence literal, or None when the text is not one."""
     try:
@@ -37,7 +44,7 @@ def read_literal(text: str) -> list[str | None] | None:
         return None
     if any(isinstance(item, (list, dict, set, tuple)) for item in value):
         return None
-    return [None if item is None else str(item) for item in value]
+    return [None if item is None else _storable(str(item)) for item in value]
 
 
 @pandas_udf(T.ArrayType(T.StringType()))
