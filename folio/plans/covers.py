@@ -98,6 +98,8 @@ def fetch_attempts(
     spark = todo.sparkSession
     open_urls = todo.select("url").where(F.col("url").isNotNull()).distinct()
     for attempt in range(1, max_attempts + 1):
+        if open_urls.isEmpty():
+            break
         this = F.col("attempt") == attempt
         _fetch_missing(open_urls, log_path, transport, "page", attempt, slices, **pace)
         pages = page_attempts(read_log(spark, log_path).where(this), mode)

@@ -77,11 +77,13 @@ def fetch(
     timeout: float = TIMEOUT_S,
     interval: float = INTERVAL_S,
     urls_per_lane: int = URLS_PER_LANE,
+    tasks: int | None = None,
 ) -> DataFrame:
     """Response rows for the distinct addresses of ``urls``.
 
     Requests to a host are paced by ``interval``. Addresses are spread by host; a host with many
-    is split into lanes that share its pace, so no task holds a whole large host.
+    is split into lanes that share its pace, so no task holds a whole large host. The number of
+    tasks is stated, as addresses are too small for their size to call for many.
     """
     asked = (
         urls.select("url")
@@ -90,11 +92,14 @@ def fetch(
         .withColumn("host", F.coalesce(F.try_parse_url(F.col("url"), F.lit("HOST")), F.lit("")))
     )
     lanes = asked.groupBy("host").agg(F.ceil(F.count("*") / urls_per_lane).cast("int").alias("lanes"))
+    if tasks is None:
+        n_lanes = lanes.agg(F.coalesce(F.sum("lanes"), F.lit(1))).first()[0]
+        tasks = min(n_lanes, 4 * urls.sparkSession.sparkContext.defaultParallelism)
     laned = spread_join(asked, lanes, ["host"]).withColumn(
         "lane", F.pmod(F.xxhash64("url"), F.col("lanes")).cast("int")
     )
     return (
-        laned.repartition("host", "lane")
+        laned.repartition(tasks, "host", "lane")
         .select("url", "host", "lanes")
         .mapInPandas(_fetch_batches(transport, kind, attempt, dict(headers), timeout, interval), FETCH_LOG)
     )
