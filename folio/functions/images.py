@@ -4,30 +4,18 @@ from __future__ import annotations
 
 import struct
 import zlib
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.functions import pandas_udf
 
 # Smallest width and height, and the widest aspect of a cover.
 MIN_WIDTH = 100
 MIN_HEIGHT = 150
 MAX_RATIO = 1.2
 
-# Most headers end well inside the first bytes; the others are read from the whole content.
-HEAD_BYTES = 16 * 1024
-
-PROBE = T.StructType(
-    [
-        T.StructField("state", T.StringType()),
-        T.StructField("width", T.IntegerType()),
-        T.StructField("height", T.IntegerType()),
-    ]
-)
-
-
 def sniff_format(content: Column) -> Column:
     """Image format by leading bytes, whatever the file is called."""
     lead = F.hex(F.substring(content, 1, 12))
@@ -40,17 +28,13 @@ def sniff_format(content: Column) -> Column:
     )
 
 
-class _Short(Exception):
-    """The bytes at hand end before the header does."""
-
-
-def _take(data: bytes, at: int, size: int) -> bytes:
+def _take(data: memoryview, at: int, size: int) -> memoryview:
     if at + size > len(data):
-        raise _Short
+        raise EOFError("the image ends before its header does")
     return data[at : at + size]
 
 
-def _png(data: bytes):
+def _png(data: memoryview):
     header = _take(data, 8, 25)
     if header[4:8] != b"IHDR" or zlib.crc32(header[4:21]) != struct.unpack(">I", header[21:25])[0]:
         return None
@@ -59,12 +43,12 @@ def _png(data: bytes):
         size, name = struct.unpack(">I4s", _take(data, at, 8))
         if name == b"IDAT":
             return struct.unpack(">II", header[8:16])
-        if not name.isalpha():
+        if not bytes(name).isalpha():
             return None
         at += size + 12
 
 
-def _jpeg(data: bytes):
+def _jpeg(data: memoryview):
     at, size = 2, None
     while True:
         if _take(data, at, 1) != b"\xff":
@@ -87,7 +71,7 @@ def _jpeg(data: bytes):
             at += 2 + length
 
 
-def _gif(data: bytes):
+def _gif(data: memoryview):
     width, height, flags = struct.unpack("<HHB", _take(data, 6, 5))
     at = 13 + (3 << ((flags & 7) + 1) if flags & 0x80 else 0)
     while True:
@@ -106,7 +90,7 @@ def _gif(data: bytes):
         at += 1
 
 
-def _bmp(data: bytes):
+def _bmp(data: memoryview):
     header = struct.unpack("<I", _take(data, 14, 4))[0]
     if header == 12:
         return struct.unpack("<HH", _take(data, 18, 4))
@@ -116,7 +100,7 @@ def _bmp(data: bytes):
     return width, abs(height)
 
 
-def _webp(data: bytes):
+def _webp(data: memoryview):
     kind = _take(data, 12, 4)
     if kind == b"VP8X":
         raw = _take(data, 24, 6)
@@ -130,8 +114,9 @@ def _webp(data: bytes):
     return None
 
 
-def read_size(data: bytes) -> tuple[str, int | None, int | None]:
-    """('ok', width, height), ('short', ..) when the bytes end early, or ('bad', ..)."""
+def read_size(data: bytes | memoryview) -> tuple[int, int] | None:
+    """Width and height by the header, or None when the image cannot be opened."""
+    data = memoryview(data).cast("B")
     if data[:3] == b"\xff\xd8\xff":
         reader = _jpeg
     elif data[:8] == b"\x89PNG\r\n\x1a\n":
@@ -143,46 +128,45 @@ def read_size(data: bytes) -> tuple[str, int | None, int | None]:
     elif data[:2] == b"BM":
         reader = _bmp
     else:
-        return "bad", None, None
+        return None
     try:
         size = reader(data)
-    except _Short:
-        return "short", None, None
-    if size is None or max(size) >= 2**31:
-        return "bad", None, None
-    return "ok", *size
-
-
-@pandas_udf(PROBE)
-def _probe(content: pd.Series) -> pd.DataFrame:
-    rows = [(None, None, None) if data is None else read_size(bytes(data)) for data in content]
-    return pd.DataFrame(
-        {
-            "state": pd.Series([row[0] for row in rows], dtype="object"),
-            "width": pd.Series([row[1] for row in rows], dtype="Int32"),
-            "height": pd.Series([row[2] for row in rows], dtype="Int32"),
-        }
-    )
+    except EOFError:
+        return None
+    return size if size and max(size) < 2**31 else None
+
+
+def _read_sizes(content: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # Buffers are looked into in place; image bytes are not copied.
+            sizes = [
+                (None if image.as_buffer() is None else read_size(image.as_buffer())) or (None, None)
+                for image in batch.column(content)
+            ]
+            for at, name in enumerate(("width", "height")):
+                batch = batch.append_column(name, pa.array([size[at] for size in sizes], pa.int32()))
+            yield batch.drop_columns([content])
+
+    return run
 
 
 def with_image_size(images: DataFrame, content: str = "content") -> DataFrame:
-    """Add ``format``, ``width``, ``height``; null width and height mean unreadable.
+    """Replace ``content`` by ``format``, ``width``, ``height``; null width and height mean unreadable.
 
-    Python gets the head of the known formats, and whole content only where the head ends early.
-    The content column is kept; drop it before any shuffle.
+    Only bytes of a known format are streamed through Python, and none come back.
     """
-    kept = images.columns
-    body = F.col(content)
-    first = images.withColumn("_format", sniff_format(body)).withColumn(
-        "_head", _probe(F.when(F.col("_format").isNotNull(), F.substring(body, 1, HEAD_BYTES)))
+    kept = [field for field in images.schema.fields if field.name != content]
+    known = images.withColumn("format", sniff_format(F.col(content)))
+    asked = known.select(
+        *[field.name for field in kept],
+        "format",
+        F.when(F.col("format").isNotNull(), F.col(content)).alias(content),
+    )
+    added = [("format", T.StringType()), ("width", T.IntegerType()), ("height", T.IntegerType())]
+    return asked.mapInArrow(
+        _read_sizes(content), T.StructType([*kept, *[T.StructField(name, kind) for name, kind in added]])
     )
-    more = (F.col("_head.state") == "short") & (F.length(body) > HEAD_BYTES)
-    second = first.withColumn("_whole", _probe(F.when(more, body)))
-
-    def pick(name: str) -> Column:
-        return F.coalesce(F.col(f"_whole.{name}"), F.col(f"_head.{name}")).alias(name)
-
-    return second.select(*kept, F.col("_format").alias("format"), pick("width"), pick("height"))
 
 
 def aspect_ratio(width: Column, height: Column) -> Column:

@@ -17,7 +17,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.functions.images import is_too_small, is_too_wide
+from folio.functions.images import is_too_small, is_too_wide, is_valid_geometry
 from folio.functions.urls import BAD_KEYWORDS, cover_target, has_bad_keyword
 from folio.operators.number import running_totals
 from folio.operators.spread import spread_join
@@ -222,6 +222,13 @@ def covers_dedup(outcomes: DataFrame, attempts: DataFrame) -> DataFrame:
     return spread_join(won, found, ["url", "attempt"]).select("ord", "id", "url", "attempt", "img_url")
 
 
+def covers_described(covers: DataFrame, images: DataFrame) -> DataFrame:
+    """Add ``length, digest, width, height`` of the accepted image; of repeated records any one."""
+    good = images.where((F.col("status") == OK_STATUS) & is_valid_geometry(F.col("width"), F.col("height")))
+    once = good.drop("status").dropDuplicates(["img_url", "attempt"])
+    return spread_join(covers, once, ["img_url", "attempt"])
+
+
 def run_counters(outcomes: DataFrame) -> DataFrame:
     """One row with the totals; skipped books are in neither."""
     return outcomes.agg(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from folio.operators.collect import (
     MAX_ATTEMPTS,
     covers_dedup,
+    covers_described,
     judge_images,
     judge_pages,
     resolve_attempts,
@@ -35,26 +37,39 @@ from folio.sources.responses import image_attempts, image_bodies, page_attempts
 @dataclass
 class CoverRun:
     outcomes: DataFrame  # ord, id, url, attempt, outcome, reason
-    covers: DataFrame  # ord, id, url, attempt, img_url
+    covers: DataFrame  # ord, id, url, attempt, img_url, length, digest, width, height
     progress: DataFrame  # i, success, failed
     counters: DataFrame  # success, failed
-    image_bytes: int  # size of the accepted images
 
 
-def collect_covers(books: DataFrame, fetch_log: DataFrame, existing: DataFrame, mode: str = "auto") -> CoverRun:
-    """Outcome of every book from stored responses. Bytes stay in the log; only sizes travel."""
-    images = materialize(image_attempts(fetch_log), "images")
-    attempts = materialize(resolve_attempts(page_attempts(fetch_log, mode), images), "attempts")
+@dataclass
+class Responses:
+    log: DataFrame  # the responses with their bodies
+    pages: DataFrame  # url, attempt, status, img_url
+    images: DataFrame  # img_url, attempt, status, length, digest, width, height
+
+
+def read_responses(fetch_log: DataFrame, mode: str = "auto") -> Responses:
+    """Search the pages and size the images of a log; each body is read once."""
+    return Responses(
+        fetch_log,
+        materialize(page_attempts(fetch_log, mode), "pages"),
+        materialize(image_attempts(fetch_log), "images"),
+    )
+
+
+def collect_covers(books: DataFrame, responses: Responses, existing: DataFrame) -> CoverRun:
+    """Outcome of every book from stored responses. Bytes stay in the log."""
+    attempts = materialize(resolve_attempts(responses.pages, responses.images), "attempts")
     outcomes = materialize(scrape_outcomes(books, attempts, existing), "outcomes")
-    covers = materialize(covers_dedup(outcomes, attempts), "covers")
-    sizes = images.groupBy("img_url", "attempt").agg(F.max("length").alias("length"))
-    total = spread_join(covers, sizes, ["img_url", "attempt"]).agg(F.sum("length")).first()[0]
-    return CoverRun(outcomes, covers, run_progress(outcomes), run_counters(outcomes), total or 0)
+    covers = materialize(covers_described(covers_dedup(outcomes, attempts), responses.images), "covers")
+    return CoverRun(outcomes, covers, run_progress(outcomes), run_counters(outcomes))
 
 
-def store_covers(run: CoverRun, fetch_log: DataFrame, store: str, buckets: int = BUCKETS) -> None:
+def store_covers(run: CoverRun, responses: Responses, store: str, buckets: int = BUCKETS) -> None:
     """Append the covers of a run, with their bytes, to the store."""
-    write_covers(covers_with_content(run.covers, image_bodies(fetch_log)), store, run.image_bytes, buckets)
+    total_bytes = run.covers.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    write_covers(covers_with_content(run.covers, image_bodies(responses.log)), store, total_bytes, buckets)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:
@@ -89,29 +104,33 @@ def fetch_attempts(
     slices: int = 1,
     mode: str = "auto",
     **pace,
-) -> DataFrame:
-    """Fill the log at ``log_path`` for the books of ``todo`` and return it.
+) -> Responses:
+    """Fill the log at ``log_path`` for the books of ``todo``.
 
     Each attempt is the whole chain – page, address check, image, image check – for the addresses
     no earlier attempt has settled.
     """
     spark = todo.sparkSession
     open_urls = todo.select("url").where(F.col("url").isNotNull()).distinct()
+    pages, images = [], []
     for attempt in range(1, max_attempts + 1):
         if open_urls.isEmpty():
             break
         this = F.col("attempt") == attempt
         _fetch_missing(open_urls, log_path, transport, "page", attempt, slices, **pace)
-        pages = page_attempts(read_log(spark, log_path).where(this), mode)
-        asked = materialize(judge_pages(pages, max_attempts).where(F.col("page_code") == 0), "asked")
+        pages.append(materialize(page_attempts(read_log(spark, log_path).where(this), mode), "pages"))
+        asked = judge_pages(pages[-1], max_attempts).where(F.col("page_code") == 0)
         _fetch_missing(
             asked.select(F.col("img_url").alias("url")), log_path, transport, "image", attempt, slices, **pace
         )
-        good = judge_images(image_attempts(read_log(spark, log_path).where(this)), max_attempts)
-        good = good.where(F.col("image_code") == 0).select("img_url")
+        images.append(materialize(image_attempts(read_log(spark, log_path).where(this)), "images"))
+        good = judge_images(images[-1], max_attempts).where(F.col("image_code") == 0).select("img_url")
         settled = spread_join(asked, good, ["img_url"], "left_semi").select("url").distinct()
         open_urls = materialize(open_urls.join(settled, "url", "left_anti"), "open")
-    return read_log(spark, log_path)
+    log = read_log(spark, log_path)
+    if not pages:  # nothing was open
+        return read_responses(log, mode)
+    return Responses(log, reduce(DataFrame.union, pages), reduce(DataFrame.union, images))
 
 
 def run(
@@ -137,7 +156,7 @@ def run(
     books = scrape_input(number_rows(load_catalog(spark, curated, sample_size, seed, strict)))
     books = materialize(books, "books")
     existing = materialize(existing_ids(spark, store), "existing")
-    fetch_log = fetch_attempts(
+    responses = fetch_attempts(
         resume_todo(books, existing),
         f"{log.rstrip('/')}/run={run_id}",
         transport,
@@ -145,6 +164,6 @@ def run(
         timeout=timeout,
         interval=interval,
     )
-    result = collect_covers(books, fetch_log, existing)
-    store_covers(result, fetch_log, store, buckets)
+    result = collect_covers(books, responses, existing)
+    store_covers(result, responses, store, buckets)
     return result

@@ -15,7 +15,7 @@ from folio.operators import collect, curate, genres
 from folio.operators.number import number_rows
 from folio.operators.sample import NOTEBOOK_SAMPLE, RUN_SAMPLE, sample_exact
 from folio.plans.catalogue import curate_to, genre_profile
-from folio.plans.covers import collect_covers, store_covers
+from folio.plans.covers import collect_covers, read_responses, store_covers
 from folio.session import materialize, work_path
 from folio.sinks.store import export_cover_files, write_curated
 from folio.sources.catalog import load_books, load_catalog
@@ -271,10 +271,10 @@ def run_progress(spark, sf_dir):
 
 def _stored(spark: SparkSession, sf_dir: str) -> str:
     """The whole collection from response bodies, with the accepted bytes put in a store."""
-    log = fixtures.fetch_log(spark, sf_dir)
-    run = collect_covers(fixtures.scrape_input(spark, sf_dir), log, fixtures.existing_covers(spark, sf_dir))
+    responses = read_responses(fixtures.fetch_log(spark, sf_dir))
+    books, existing = fixtures.scrape_input(spark, sf_dir), fixtures.existing_covers(spark, sf_dir)
     store = work_path(spark, "store")
-    store_covers(run, log, store, buckets=8)
+    store_covers(collect_covers(books, responses, existing), responses, store, buckets=8)
     return store
 
 

@@ -10,7 +10,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.functions.images import is_valid_geometry, with_image_size
 from folio.operators.spread import spread_join
 
 BUCKETS = 64
@@ -26,16 +25,16 @@ def bucket_of(book_id: Column, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(book_id), F.lit(buckets)).cast("int")
 
 
-def covers_with_content(won: DataFrame, bodies: DataFrame) -> DataFrame:
-    """``id, img_url, width, height, length, content``: the winning bytes of each id.
+def covers_with_content(covers: DataFrame, bodies: DataFrame) -> DataFrame:
+    """``id, img_url, width, height, length, content``: the accepted bytes of each id.
 
-    ``won`` is narrow (``id, img_url, attempt``). The bytes meet it once, after everything has been
-    decided; only those that pass the image checks again are kept.
+    ``covers`` is narrow and holds the digest of the bytes that passed the checks. The bytes meet it
+    once, after everything has been decided, and any others recorded for the address are left out.
     """
     keys = ["img_url", "attempt"]
-    matched = spread_join(won.select("id", *keys), bodies, keys)
-    sized = with_image_size(matched).where(is_valid_geometry(F.col("width"), F.col("height")))
-    return sized.select("id", "img_url", "width", "height", F.length("content").cast("bigint").alias("length"), "content")
+    narrow = covers.select("id", *keys, "width", "height", "length", "digest")
+    matched = spread_join(narrow, bodies, keys).where(F.xxhash64("content") == F.col("digest"))
+    return matched.select("id", "img_url", "width", "height", "length", "content")
 
 
 def write_covers(covers: DataFrame, store: str, total_bytes: int, buckets: int = BUCKETS) -> None:

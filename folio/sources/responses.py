@@ -19,16 +19,26 @@ def page_attempts(fetch_log: DataFrame, mode: str = "auto") -> DataFrame:
 
 
 def image_attempts(fetch_log: DataFrame) -> DataFrame:
-    """``img_url, attempt, status, width, height, length`` of the image responses, without the bytes."""
+    """``img_url, attempt, status, length, digest, width, height`` of the image responses.
+
+    The digest stands for the bytes, which stay in the log.
+    """
     images = fetch_log.where(F.col("kind") == "image").select(
         F.col("url").alias("img_url"),
-        "attempt",
+        F.col("attempt").cast("int").alias("attempt"),
         "status",
         F.when(F.col("status") == OK_STATUS, F.col("body")).alias("content"),
     )
-    return with_image_size(images).select(
-        "img_url", "attempt", "status", "width", "height", F.length("content").cast("bigint").alias("length")
+    body = F.col("content")
+    described = images.select(
+        "img_url",
+        "attempt",
+        "status",
+        F.length(body).cast("bigint").alias("length"),
+        F.xxhash64(body).alias("digest"),
+        body,
     )
+    return with_image_size(described).drop("format")
 
 
 def image_bodies(fetch_log: DataFrame) -> DataFrame:
