@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from math import ceil, sqrt
+from math import ceil, log, sqrt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.schemas import require_columns
@@ -17,6 +17,9 @@ RUN_SAMPLE = 2000
 # Below this many rows every partition may as well send its first n rows to the final merge.
 DIRECT_ROWS = 1_000_000
 
+# Up to this many sampled rows are merged in one task.
+MERGE_ROWS = 1_000_000
+
 _KEY_HEX = 15
 
 
@@ -30,19 +33,38 @@ def key_limit(n: int, total: int) -> str:
     return format(min(ceil(share * 16**_KEY_HEX), 16**_KEY_HEX - 1), f"0{_KEY_HEX}x")
 
 
+def _smallest(keyed: DataFrame, n: int, total: int) -> DataFrame:
+    """The ``n`` rows with the smallest keys, for an ``n`` too large for one task.
+
+    Rows are counted by the front of their key. Fronts that fit whole are taken whole; only the one
+    on the border, about a 65,536th of the sample, goes through a top-n.
+    """
+    digits = min(32, 4 + ceil(log(max(total / n, 1), 16)))
+    front = F.substring("_key", 1, digits)
+    sizes = keyed.groupBy(front.alias("front")).agg(F.count("*").alias("size"))
+    upto = F.sum("size").over(Window.orderBy("front").rowsBetween(Window.unboundedPreceding, 0))
+    border = sizes.select("front", "size", upto.alias("upto")).where(F.col("upto") >= n).orderBy("front").first()
+    if border is None:
+        return keyed
+    rest = n - (border.upto - border["size"])
+    last = keyed.where(front == border.front).orderBy("_key", "id").limit(rest)
+    return keyed.where(front < border.front).unionByName(last)
+
+
 def sample_exact(
     df: DataFrame,
     n: int,
     seed: int = SEED,
     strict: bool = False,
     direct_rows: int = DIRECT_ROWS,
+    merge_rows: int = MERGE_ROWS,
 ) -> DataFrame:
     """``n`` rows without replacement, in random but reproducible order.
 
     The rows with the ``n`` smallest keys, where a row's key is a hash of seed and id. On a large
     input a key limit is set first, so that the final merge sees about ``n`` rows and not ``n``
     from every partition; should fewer than ``n`` rows pass it (many rows sharing an id), the
-    limit is dropped. With ``strict``, asking for more rows than there are is an error; otherwise
+    limit is dropped. A sample too large for one task is cut along the keys instead. With ``strict``, asking for more rows than there are is an error; otherwise
     all rows come back.
     """
     if n < 0:
@@ -56,6 +78,8 @@ def sample_exact(
         below = keyed.where(F.col("_key") < key_limit(n, total))
         if below.count() >= n:
             keyed = below
+    if n > merge_rows:
+        return _smallest(keyed, n, total).orderBy("_key", "id").drop("_key")
     return keyed.orderBy("_key", "id").limit(n).drop("_key")
 
 

@@ -13,6 +13,7 @@ from folio.operators.collect import (
     MAX_ATTEMPTS,
     covers_dedup,
     covers_described,
+    failed_urls,
     judge_images,
     judge_pages,
     resolve_attempts,
@@ -40,6 +41,7 @@ class CoverRun:
     covers: DataFrame  # ord, id, url, attempt, img_url, length, digest, width, height
     progress: DataFrame  # i, success, failed
     counters: DataFrame  # success, failed
+    failed: DataFrame  # ord, url
 
 
 @dataclass
@@ -63,7 +65,7 @@ def collect_covers(books: DataFrame, responses: Responses, existing: DataFrame)
     attempts = materialize(resolve_attempts(responses.pages, responses.images), "attempts")
     outcomes = materialize(scrape_outcomes(books, attempts, existing), "outcomes")
     covers = materialize(covers_described(covers_dedup(outcomes, attempts), responses.images), "covers")
-    return CoverRun(outcomes, covers, run_progress(outcomes), run_counters(outcomes))
+    return CoverRun(outcomes, covers, run_progress(outcomes), run_counters(outcomes), failed_urls(outcomes))
 
 
 def store_covers(run: CoverRun, responses: Responses, store: str, buckets: int = BUCKETS) -> None:

@@ -63,7 +63,8 @@ def main(argv: list[str] | None = None) -> None:
             seed=args.seed,
             slices=args.slices,
         )
-        result.progress.orderBy("i").show(1000)
+        result.failed.orderBy("ord").show(100, truncate=False)
+        result.progress.orderBy("i").show(100)
         result.counters.show()
 
 

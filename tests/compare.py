@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import math
 
 import duckdb
@@ -37,3 +39,9 @@ def duck_rows(connection, sql):
     result = connection.execute(sql)
     columns = [item[0] for item in result.description]
     return sorted(columns), normal(columns, result.fetchall())
+
+
+def plan(df):
+    with contextlib.redirect_stdout(io.StringIO()) as out:
+        df.explain("formatted")
+    return out.getvalue()

@@ -1,35 +1,13 @@
 """The plans are the ones meant to run at scale."""
 
-import contextlib
-import io
-
 import pytest
+from compare import plan
 
-import __spark_entry__ as driver
 from folio.functions.html import with_cover_url
 from folio.operators import curate, genres
 from folio.operators.sample import sample_exact
 from folio.session import work_path
 
-QUERIES = driver.queries()
-
-# Queries that call Python on purpose: full page parses, image headers, odd genre texts.
-WITH_PYTHON = {
-    "genre_lists",
-    "genre_explode",
-    "genre_parse_report",
-    "cover_url_strict",
-    "cover_url_auto",
-    "cover_probe",
-}
-
-
-def plan(df):
-    with contextlib.redirect_stdout(io.StringIO()) as out:
-        df.explain("formatted")
-    return out.getvalue()
-
-
 @pytest.fixture(scope="module")
 def stored(spark):
     path = work_path(spark, "books")
@@ -72,12 +50,3 @@ def test_native_extraction_has_no_shuffle_and_no_python(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     text = plan(with_cover_url(pages))
     assert "Exchange" not in text and "Python" not in text
-
-
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_no_pairs_no_python_where_unneeded(spark, sf_dir, name):
-    text = plan(QUERIES[name](spark, sf_dir))
-    assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
-    if name not in WITH_PYTHON and not name.startswith("genre_"):
-        assert "Python" not in text
-    assert "BatchEvalPython" not in text

@@ -3,6 +3,7 @@
 import os
 import sys
 import time
+import types
 
 import pytest
 from pyspark import cloudpickle
@@ -71,6 +72,15 @@ def test_bad_address_is_a_row(spark):
     assert row.status is None and "bad address" in row.error
 
 
+def test_transport_over_requests(monkeypatch):
+    def get(url, headers, timeout):
+        assert (url, headers, timeout) == ("https://a", {"User-Agent": "Mozilla/5.0"}, 10.0)
+        return types.SimpleNamespace(status_code=404, content=b"gone")
+
+    monkeypatch.setitem(sys.modules, "requests", types.SimpleNamespace(get=get))
+    assert fetch_module.requests_transport("https://a", fetch_module.HEADERS, fetch_module.TIMEOUT_S) == (404, b"gone")
+
+
 def test_hosts_are_paced(spark):
     stamps = work_path(spark, "stamps")
     os.makedirs(stamps)

@@ -14,12 +14,18 @@ def smallest(ids, n, seed=42):
 
 
 @pytest.mark.parametrize("direct_rows", [10, 10_000_000])
-def test_exact_size_and_choice(spark, direct_rows):
-    df = books(spark, 5000)
-    got = [row.id for row in sample_exact(df, 700, direct_rows=direct_rows).collect()]
+@pytest.mark.parametrize("merge_rows", [10, 10_000_000])
+def test_exact_size_and_choice(spark, direct_rows, merge_rows):
+    df, how = books(spark, 5000), {"direct_rows": direct_rows, "merge_rows": merge_rows}
+    got = [row.id for row in sample_exact(df, 700, **how).collect()]
     assert got == smallest(map(str, range(5000)), 700)
-    assert got == [row.id for row in sample_exact(df.repartition(7), 700, direct_rows=direct_rows).collect()]
-    assert got != [row.id for row in sample_exact(df, 700, seed=1).collect()]
+    assert got == [row.id for row in sample_exact(df.repartition(7), 700, **how).collect()]
+    assert got != [row.id for row in sample_exact(df, 700, seed=1, **how).collect()]
+
+
+@pytest.mark.parametrize("n", [4999, 5000, 5001])
+def test_nearly_all_rows(spark, n):
+    assert sample_exact(books(spark, 5000), n, merge_rows=10).count() == min(n, 5000)
 
 
 def test_rows_come_whole(spark):
