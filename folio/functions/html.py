@@ -2,8 +2,8 @@
 
 Three forms:
 
-* ``native`` stays in the JVM: one pattern walks the page once, steps over comments, scripts,
-  styles and other tags, and yields the ``meta`` and ``img`` tags in document order.
+* ``native`` stays in the JVM: a pattern walks the page, steps over comments, scripts, styles and
+  other tags, and stops at the first tag that counts.
 * ``strict`` reads the whole page with the standard library's HTML parser.
 * ``auto`` is native, with strict for just the pages whose markup the pattern cannot settle.
 """
@@ -19,22 +19,32 @@ from pyspark.sql import types as T
 from pyspark.sql.functions import pandas_udf
 
 # Quotes count only after '='; the possessive repeats keep the match linear and off the stack.
-_REST_OF_TAG = r"""(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')|=)*+>"""
-_WANTED = r"(?i:meta|img)(?=[\s/>])"
-# One match steps over everything up to the next wanted tag, or to the end of the page.
-_TAGS = (
-    r"(?s)(?:[^<]++"
-    r"|<!--.*?-->"
-    r"|<!\[(?i:CDATA)\[.*?\]\]>"
-    r"|<[!?][^>]*+>"
-    rf"|<(?i:script)(?=[\s/>]){_REST_OF_TAG}.*?(?:</\s*(?i:script)\s*>|\z)"
-    rf"|<(?i:style)(?=[\s/>]){_REST_OF_TAG}.*?(?:</\s*(?i:style)\s*>|\z)"
-    rf"|<(?!{_WANTED})(?:[a-zA-Z][^\s/>]*+{_REST_OF_TAG})?+"
-    r")*+"
-    rf"(?:(<{_WANTED}{_REST_OF_TAG})|<|\z)"
-)
-_IS_META = r"^<(?i:meta)"
-_IS_IMG = r"^<(?i:img)"
+_QUOTED = r"""=\s*+(?:"[^"]*+"|'[^']*+')"""
+_REST_OF_TAG = rf"(?:[^>=]++|{_QUOTED}|=)*+>"
+
+
+def _tag_with(tag: str, name: str, value: str) -> str:
+    """Pattern of a whole tag in which the attribute has exactly this value."""
+    wanted = rf"""(?<=[\s"'/])(?i:{name})\s*+=\s*+(?:"{value}"|'{value}'|{value}(?=[\s/>]))"""
+    return rf"<(?i:{tag})(?=[\s/])(?:(?!{wanted})(?:[^>=]|{_QUOTED}|=))*+{wanted}{_REST_OF_TAG}"
+
+
+def _first(tag: str) -> str:
+    """Pattern that steps over text, comments, scripts, styles and other tags up to the first such tag."""
+    return (
+        rf"(?s)\A(?:[^<]++|(?!{tag})<(?:"
+        rf"(?i:script)(?=[\s/>]){_REST_OF_TAG}.*?(?:</\s*(?i:script)\s*>|\z)"
+        rf"|(?i:style)(?=[\s/>]){_REST_OF_TAG}.*?(?:</\s*(?i:style)\s*>|\z)"
+        rf"|[a-zA-Z][^\s/>]*+{_REST_OF_TAG}"
+        r"|!--.*?-->"
+        r"|!\[(?i:CDATA)\[.*?\]\]>"
+        r"|[!?][^>]*+>"
+        rf")?+)*+({tag})"
+    )
+
+
+_OG_IMAGE = _first(_tag_with("meta", "property", "og:image"))
+_COVER_IMAGE = _first(_tag_with("img", "id", "coverImage"))
 
 # A tag whose attributes are all of the form name, name=value, name="value" or name='value'.
 _ATTRIBUTE = r"""[^\s"'=<>/]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'=<>`/]++))?+"""
@@ -42,19 +52,14 @@ _TIDY_TAG = rf"^<[a-zA-Z]++(?:\s++{_ATTRIBUTE})*+\s*+/?>$"
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    """Raw value of an attribute, '' when absent or empty."""
-    lead = rf"""[\s"'/](?i:{name})\s*=\s*"""
-    return F.coalesce(
-        *[
-            F.nullif(F.regexp_extract(tag, lead + value, 1), F.lit(""))
-            for value in (r'"([^"]*)"', r"'([^']*)'", r"""([^\s"'>]+)""")
-        ],
-        F.lit(""),
-    )
-
-
-def _has(tag: Column, name: str, value: str) -> Column:
-    return tag.rlike(rf"""[\s"'/](?i:{name})\s*=\s*(?:"{value}"|'{value}'|{value}(?=[\s/>]))""")
+    """Raw value of an attribute, '' when absent or empty; null for a null tag."""
+    named = rf"""(?<=[\s"'/])(?i:{name})\s*+=\s*+"""
+    before = rf"^<(?:(?!{named})(?:[^>=]|{_QUOTED}|=))*+{named}"
+    values = [
+        F.nullif(F.regexp_extract(tag, before + value, 1), F.lit(""))
+        for value in (r'"([^"]*)"', r"'([^']*)'", r"""([^\s"'>]+)""")
+    ]
+    return F.when(tag.isNotNull(), F.coalesce(*values, F.lit("")))
 
 
 def _unescape(value: Column) -> Column:
@@ -64,17 +69,9 @@ def _unescape(value: Column) -> Column:
     return value
 
 
-def _may_hold_cover(html: Column) -> Column:
-    return F.contains(html, F.lit("og:image")) | F.contains(html, F.lit("coverImage"))
-
-
-def _cover_tags(html: Column) -> Column:
-    """The og:image tag and the coverImage tag of a page; either may be null."""
-    tags = F.regexp_extract_all(html, F.lit(_TAGS), F.lit(1))
-    # The last item is '' where the page ends after it.
-    meta = F.filter(tags, lambda t: t.rlike(_IS_META) & _has(t, "property", "og:image"))
-    img = F.filter(tags, lambda t: t.rlike(_IS_IMG) & _has(t, "id", "coverImage"))
-    return F.struct(F.get(meta, F.lit(0)).alias("meta"), F.get(img, F.lit(0)).alias("img"))
+def _tag(html: Column, text: str, pattern: str) -> Column:
+    """The first tag by the pattern, or null; pages without the text are not walked."""
+    return F.when(F.contains(html, F.lit(text)), F.nullif(F.regexp_extract(html, pattern, 1), F.lit("")))
 
 
 class _CoverFinder(HTMLParser):
@@ -133,17 +130,16 @@ def with_cover_url(pages: DataFrame, html: str = "html", out: str = "img_url", m
         return pages.select(*kept, cover_url_strict(page).alias(out))
     if mode not in ("native", "auto"):
         raise ValueError(f"unknown mode {mode!r}")
-    found = pages.select(*kept, html, F.when(_may_hold_cover(page), _cover_tags(page)).alias("_tags"))
-    meta, img = F.col("_tags.meta"), F.col("_tags.img")
-    native = _unescape(
-        F.nullif(
-            F.when(meta.isNotNull(), _attribute(meta, "content")).when(img.isNotNull(), _attribute(img, "src")),
-            F.lit(""),
-        )
+    found = pages.select(*kept, html, _tag(page, "og:image", _OG_IMAGE).alias("_meta"))
+    meta, img = F.col("_meta"), F.col("_img")
+    found = found.select(
+        *kept, html, "_meta", F.when(meta.isNull(), _tag(page, "coverImage", _COVER_IMAGE)).alias("_img")
     )
+    native = _unescape(F.nullif(F.coalesce(_attribute(meta, "content"), _attribute(img, "src")), F.lit("")))
     if mode == "native":
         return found.select(*kept, native.alias(out))
-    unsettled = _may_hold_cover(page) & _unsettled(page, F.coalesce(meta, img))
+    named = F.contains(page, F.lit("og:image")) | F.contains(page, F.lit("coverImage"))
+    unsettled = named & _unsettled(page, F.coalesce(meta, img))
     return found.select(
         *kept, native.alias("_native"), F.when(unsettled, page).alias("_page")
     ).select(

@@ -67,6 +67,11 @@ SETTLED = {
     '<meta property="og:image" content=" https://i/1.jpg ">': " https://i/1.jpg ",
     '<img src="https://i/2.jpg" class="a b" id="coverImage" alt="x">': "https://i/2.jpg",
     '<img id="coverImage2" src="no">': None,
+    """<meta title='a content="no"' property="og:image" content="https://i/1.jpg">""": "https://i/1.jpg",
+    """<meta title='a property="og:image"' content="no">""" + IMG: "https://i/2.jpg",
+    "<script>open " + OG: None,
+    "<img id=coverImage src='https://i/2.jpg'><!-- c --><" : "https://i/2.jpg",
+    "<!DOCTYPE html><?xml x?><![CDATA[" + IMG + "]]>" + OG: "https://i/1.jpg",
     "a < b " + OG: "https://i/1.jpg",
     "": None,
     "plain og:image and coverImage": None,
