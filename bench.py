@@ -13,7 +13,7 @@ import statistics
 import time
 
 from folio.registry import QUERIES
-from folio.session import build_session
+from folio.session import build_session, drop_work
 
 HEADLINE = (
     "curate_books",
@@ -44,6 +44,7 @@ def main() -> None:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(runs[1:]), 3)
+    drop_work(spark)
     spark.stop()
     print(
         json.dumps(

@@ -246,7 +246,8 @@ def run_progress(outcomes: DataFrame, every: int = PROGRESS_EVERY) -> DataFrame:
         F.max(is_point).alias("is_point"),
     )
     return (
-        running_totals(steps, "step", ["success", "failed"])
+        # Written once, as the totals are read twice.
+        running_totals(materialize(steps, "steps"), "step", ["success", "failed"])
         .where("is_point")
         .select((F.col("step") * every).alias("i"), "success", "failed")
     )

@@ -9,12 +9,14 @@ from __future__ import annotations
 
 import argparse
 
+from pyspark.sql import SparkSession
+
 from folio.operators.curate import MIN_RATINGS
 from folio.operators.genres import MIN_COUNT, TOP_GENRES
 from folio.operators.sample import RUN_SAMPLE, SEED
 from folio.plans.catalogue import curate_to, genre_profile
 from folio.plans.covers import run
-from folio.session import build_session
+from folio.session import build_session, drop_work
 from folio.sources.fetch import requests_transport
 
 
@@ -44,6 +46,13 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
     spark = build_session()
+    try:
+        run_command(spark, args)
+    finally:
+        drop_work(spark)
+
+
+def run_command(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "curate":
         curate_to(spark, args.source, args.curated, args.format, args.min_ratings)
     elif args.command == "genres":

@@ -44,9 +44,19 @@ def shared_root(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+def _work_root(spark: SparkSession) -> str:
+    return f"{shared_root(spark)}/folio-{spark.sparkContext.applicationId}"
+
+
 def work_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/folio/{label}-{uuid.uuid4().hex}"
+    """A fresh path below this application's part of the shared folder."""
+    return f"{_work_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_work(spark: SparkSession) -> None:
+    """Delete the intermediate tables of this application, once nothing reads them any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_work_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -220,6 +220,27 @@ def test_profile(spark):
     assert profile.distinct.first()[0] == profile.frequent.count() == 2
 
 
+def test_command_line(spark, capsys):
+    source, curated = work_path(spark, "source"), work_path(spark, "curated")
+    rows = [(str(i), f"https://site/p/{i}", "['a', 'b']" if i % 2 else "['a']", 7000 + i * 100, 1) for i in range(12)]
+    spark.createDataFrame(rows, "id string, url string, genres string, num_ratings bigint, num_reviews bigint").write.json(source)
+    command.run_command(spark, command.parse(["curate", source, curated, "--format", "json"]))
+    assert spark.read.parquet(curated).count() == 6
+    command.run_command(spark, command.parse(["genres", curated, "--min-count", "3"]))
+    out = capsys.readouterr().out
+    assert "|a    |6    |" in out and "|b    |3    |" in out
+
+
+def test_work_is_dropped(spark, monkeypatch):
+    from folio import session
+
+    monkeypatch.setattr(session, "_work_root", lambda s: f"{shared_root(s)}/other")
+    path = work_path(spark, "gone")
+    spark.range(3).write.parquet(path)
+    session.drop_work(spark)
+    assert not os.path.exists(f"{shared_root(spark)}/other")
+
+
 def test_commands():
     args = command.parse(["collect", "c", "s", "l", "--run-id", "r"])
     assert (args.sample, args.seed, args.slices) == (2000, 42, 1)
