@@ -100,7 +100,7 @@ def _be(value: str, digits: int) -> str:
 
 def _le(value: str, digits: int) -> str:
     """Little-endian hex of a number below 65536."""
-    return f"concat(lpad(hex({value} % 256), 2, '0'), lpad(hex({value} div 256), 2, '0'), '{'0' * (digits - 4)}')"
+    return f"concat(lpad(hex(({value}) % 256), 2, '0'), lpad(hex(({value}) div 256), 2, '0'), '{'0' * (digits - 4)}')"
 
 
 def image_header(kind: str, width: str, height: str) -> str:
@@ -128,16 +128,17 @@ def image_header(kind: str, width: str, height: str) -> str:
             f"concat('424D000000000000000036000000', '28000000', {_le(width, 8)}, {_le(height, 8)}, '01001800',"
             " repeat('00', 24))"
         )
-    if kind == "webp":
+    if kind == "webp":  # width and height less one share four bytes
+        both = f"(({width} - 1) + ({height} - 1) * 16384)"
         return (
-            "concat('524946460000000057454250', '565038580A00000000000000',"
-            f" {_le(f'({width} - 1)', 6)}, {_le(f'({height} - 1)', 6)})"
+            "concat('524946461200000057454250', '5650384C050000002F',"
+            f" {_le(f'{both} % 65536', 4)}, {_le(f'{both} div 65536', 4)}, '00')"
         )
     raise ValueError(kind)
 
 
 # A picture per page: six readable kinds, a cut-off one and one that is no image.
-# Their headers take 41, 53, 23, 54, 30 and 60,039 bytes.
+# Their headers take 41, 53, 23, 54, 26 and 60,039 bytes.
 KINDS = ("png", "jpeg", "gif", "bmp", "webp", "long jpeg")
 WIDTH = "(80 + page_id * 13 % 200)"
 HEIGHT = "(130 + page_id * 11 % 120)"

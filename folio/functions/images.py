@@ -16,6 +16,13 @@ MIN_WIDTH = 100
 MIN_HEIGHT = 150
 MAX_RATIO = 1.2
 
+# What an image must be for it to be opened at all.
+MAX_PIXELS = 178_956_970
+JPEG_BITS = 8
+JPEG_LAYERS = (1, 3, 4)
+BMP_HEADERS = (12, 40, 52, 56, 64, 108, 124)
+BMP_BITS = (1, 4, 8, 16, 24, 32)
+
 def sniff_format(content: Column) -> Column:
     """Image format by leading bytes, whatever the file is called."""
     lead = F.hex(F.substring(content, 1, 12))
@@ -66,7 +73,9 @@ def _jpeg(data: memoryview):
         else:
             length = struct.unpack(">H", _take(data, at + 2, 2))[0]
             if 0xC0 <= marker <= 0xCF and marker not in (0xC4, 0xC8, 0xCC):
-                height, width = struct.unpack(">HH", _take(data, at + 5, 4))
+                bits, height, width, layers = struct.unpack(">BHHB", _take(data, at + 4, 6))
+                if bits != JPEG_BITS or layers not in JPEG_LAYERS:
+                    return None
                 size = (width, height)
             at += 2 + length
 
@@ -92,16 +101,16 @@ def _gif(data: memoryview):
 
 def _bmp(data: memoryview):
     header = struct.unpack("<I", _take(data, 14, 4))[0]
-    if header == 12:
-        return struct.unpack("<HH", _take(data, 18, 4))
-    if header < 40:
+    if header not in BMP_HEADERS:
         return None
-    width, height = struct.unpack("<ii", _take(data, 18, 8))
-    return width, abs(height)
+    width, height, _, bits = struct.unpack("<HHHH" if header == 12 else "<iiHH", _take(data, 18, 8 if header == 12 else 12))
+    return (width, abs(height)) if bits in BMP_BITS else None
 
 
 def _webp(data: memoryview):
-    kind = _take(data, 12, 4)
+    size, _, kind, length = struct.unpack("<I4s4sI", _take(data, 4, 16))
+    _take(data, 8, size)  # the file must be whole
+    _take(data, 20, length)
     if kind == b"VP8X":
         raw = _take(data, 24, 6)
         return int.from_bytes(raw[:3], "little") + 1, int.from_bytes(raw[3:], "little") + 1
@@ -133,7 +142,7 @@ def read_size(data: bytes | memoryview) -> tuple[int, int] | None:
         size = reader(data)
     except EOFError:
         return None
-    return size if size and max(size) < 2**31 else None
+    return size if size and size[0] * size[1] <= MAX_PIXELS and max(size) < 2**31 else None
 
 
 def _read_sizes(content: str):

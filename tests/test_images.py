@@ -16,8 +16,8 @@ def png(width, height, before=b""):
     return b"\x89PNG\r\n\x1a\n" + head + before + chunk(b"IDAT", b"pixels") + chunk(b"IEND", b"")
 
 
-def jpeg(width, height, before=b"", sof=0xC0):
-    frame = b"\xff" + bytes([sof]) + struct.pack(">HBHHB", 17, 8, height, width, 3) + bytes(9)
+def jpeg(width, height, before=b"", sof=0xC0, bits=8, layers=3):
+    frame = b"\xff" + bytes([sof]) + struct.pack(">HBHHB", 17, bits, height, width, layers) + bytes(9)
     return b"\xff\xd8" + before + frame + b"\xff\xda" + struct.pack(">H", 12) + bytes(10) + b"pixels"
 
 
@@ -31,12 +31,13 @@ def gif(width, height, table=False, extension=False, frame=None):
     return out + b"\x2c" + struct.pack("<HHHHB", 0, 0, *(frame or (width, height)), 0)
 
 
-def bmp(width, height):
-    return b"BM" + bytes(12) + struct.pack("<Iii", 40, width, height) + bytes(28)
+def bmp(width, height, header=40, bits=24):
+    return b"BM" + bytes(12) + struct.pack("<IiiHH", header, width, height, 1, bits) + bytes(24)
 
 
 def webp(kind, payload):
-    return b"RIFF" + bytes(4) + b"WEBP" + kind + payload
+    body = b"WEBP" + kind + struct.pack("<I", len(payload)) + payload
+    return b"RIFF" + struct.pack("<I", len(body)) + body
 
 
 GOOD = {
@@ -52,9 +53,12 @@ GOOD = {
     "gif with larger frame": (gif(10, 20, frame=(120, 200)), 120, 200),
     "bmp": (bmp(110, 170), 110, 170),
     "bmp top down": (bmp(110, -170), 110, 170),
-    "webp extended": (webp(b"VP8X", bytes(8) + (199).to_bytes(3, "little") + (299).to_bytes(3, "little")), 200, 300),
-    "webp lossless": (webp(b"VP8L", bytes(4) + b"\x2f" + (199 | 299 << 14).to_bytes(4, "little")), 200, 300),
-    "webp lossy": (webp(b"VP8 ", bytes(10) + struct.pack("<HH", 200, 300)), 200, 300),
+    "webp extended": (webp(b"VP8X", bytes(4) + (199).to_bytes(3, "little") + (299).to_bytes(3, "little")), 200, 300),
+    "webp lossless": (webp(b"VP8L", b"\x2f" + (199 | 299 << 14).to_bytes(4, "little")), 200, 300),
+    "webp lossy": (webp(b"VP8 ", bytes(6) + struct.pack("<HH", 200, 300)), 200, 300),
+    "bmp of the first kind": (b"BM" + bytes(12) + struct.pack("<IHHHH", 12, 110, 170, 1, 24), 110, 170),
+    "gray jpeg": (jpeg(300, 451, layers=1), 300, 451),
+    "largest png": (png(178_956_970 // 2, 2), 178_956_970 // 2, 2),
     "cut off after the header": (jpeg(300, 451)[:-6], 300, 451),
 }
 BAD = {
@@ -66,6 +70,12 @@ BAD = {
     "no scan": jpeg(300, 451, segment(40_000))[:-25],
     "end before the frame": b"\xff\xd8\xff\xd9" + bytes(40),
     "gif without frame": gif(120, 200)[:13] + b"\x3b",
+    "too many pixels": png(178_956_971, 1),
+    "jpeg of 12 bits": jpeg(300, 451, bits=12),
+    "jpeg of two layers": jpeg(300, 451, layers=2),
+    "bmp of unknown header": bmp(110, 170, header=41),
+    "bmp of odd depth": bmp(110, 170, bits=7),
+    "webp cut off": webp(b"VP8L", b"\x2f" + bytes(40))[:-4],
     "webp of unknown kind": webp(b"ABCD", bytes(30)),
 }
 
