@@ -19,14 +19,14 @@ def has_bad_keyword(url: Column, keywords: Sequence[str] = BAD_KEYWORDS) -> Colu
     return reduce(or_, (F.contains(folded, F.lit(word.lower())) for word in keywords), F.lit(False))
 
 
-def is_valid_url(url: Column, keywords: Sequence[str] = BAD_KEYWORDS) -> Column:
+def is_no_placeholder(url: Column, keywords: Sequence[str] = BAD_KEYWORDS) -> Column:
     """True unless the address is null or holds a bad keyword; the empty string passes."""
     return url.isNotNull() & F.coalesce(~has_bad_keyword(url, keywords), F.lit(False))
 
 
 def is_usable_url(url: Column, keywords: Sequence[str] = BAD_KEYWORDS) -> Column:
     """A valid address that is also not empty."""
-    return is_valid_url(url, keywords) & F.coalesce(url != "", F.lit(False))
+    return is_no_placeholder(url, keywords) & F.coalesce(url != "", F.lit(False))
 
 
 def cover_target(directory: str, book_id: Column) -> Column:

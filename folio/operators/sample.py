@@ -27,12 +27,25 @@ def sample_key(seed: int = SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")).cast("binary"))
 
 
-def key_limit(n: int, total: int) -> str:
-    """A key below which at least ``n`` of ``total`` evenly spread keys lie, all but surely."""
-    share = (n + 10 * sqrt(n) + 100) / total
+def key_limit(share: float) -> str:
+    """The key below which this share of evenly spread keys lies."""
     return format(min(ceil(share * 16**_KEY_HEX), 16**_KEY_HEX - 1), f"0{_KEY_HEX}x")
 
 
+def _narrowed(keyed: DataFrame, n: int, total: int) -> DataFrame:
+    """The rows below a key limit that lets through at least ``n``, and usually few more.
+
+    Keys are spread evenly unless many rows share an id; then the limit is raised until enough pass.
+    """
+    share = (n + 10 * sqrt(n) + 100) / total
+    while share < 0.5:
+        below = keyed.where(F.col("_key") < key_limit(share))
+        if below.count() >= n:
+            return below
+        share *= 4
+    return keyed
+
+
 def _smallest(keyed: DataFrame, n: int, total: int) -> DataFrame:
     """The ``n`` rows with the smallest keys, for an ``n`` too large for one task.
 
@@ -63,8 +76,7 @@ def sample_exact(
 
     The rows with the ``n`` smallest keys, where a row's key is a hash of seed and id. On a large
     input a key limit is set first, so that the final merge sees about ``n`` rows and not ``n``
-    from every partition; should fewer than ``n`` rows pass it (many rows sharing an id), the
-    limit is dropped. A sample too large for one task is cut along the keys instead. With ``strict``, asking for more rows than there are is an error; otherwise
+    from every partition. A sample too large for one task is cut along the keys instead. With ``strict``, asking for more rows than there are is an error; otherwise
     all rows come back.
     """
     if n < 0:
@@ -74,10 +86,8 @@ def sample_exact(
     total = df.count()
     if strict and n > total:
         raise ValueError(f"cannot take {n} rows from {total} without replacement")
-    if total > direct_rows and n < total // 2:
-        below = keyed.where(F.col("_key") < key_limit(n, total))
-        if below.count() >= n:
-            keyed = below
+    if total > direct_rows:
+        keyed = _narrowed(keyed, n, total)
     if n > merge_rows:
         return _smallest(keyed, n, total).orderBy("_key", "id").drop("_key")
     return keyed.orderBy("_key", "id").limit(n).drop("_key")

@@ -1,8 +1,8 @@
 """Command line, for ``spark-submit``:
 
-    main.py curate  SOURCE CURATED [--format parquet]
-    main.py genres  CURATED
-    main.py collect CURATED STORE LOG --run-id ID [--sample 2000]
+    cli.py curate  SOURCE CURATED [--format parquet]
+    cli.py genres  CURATED
+    cli.py collect CURATED STORE LOG --run-id ID [--sample 2000]
 """
 
 from __future__ import annotations

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from folio.functions.html import find_cover_url, with_cover_url
-from folio.functions.urls import cover_target, is_usable_url, is_valid_url
+from folio.functions.urls import cover_target, is_usable_url, is_no_placeholder
 
 URLS = {
     "http://x/LOGO.png": False,
@@ -21,14 +21,14 @@ URLS = {
 
 def test_urls(spark):
     df = spark.createDataFrame([(url,) for url in URLS], "url string")
-    rows = df.select("url", is_valid_url(F.col("url")).alias("valid"), is_usable_url(F.col("url")).alias("usable")).collect()
+    rows = df.select("url", is_no_placeholder(F.col("url")).alias("valid"), is_usable_url(F.col("url")).alias("usable")).collect()
     assert {row.url: row.valid for row in rows} == URLS
     assert {row.url: row.usable for row in rows} == {**URLS, "": False}
 
 
 def test_keywords_are_plain_text(spark):
     df = spark.createDataFrame([("http://x/a.b",), ("http://x/aXb",)], "url string")
-    assert [r[0] for r in df.select(is_valid_url(F.col("url"), ["a.b"])).collect()] == [False, True]
+    assert [r[0] for r in df.select(is_no_placeholder(F.col("url"), ["a.b"])).collect()] == [False, True]
 
 
 def test_target(spark):

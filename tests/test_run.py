@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from test_images import jpeg, png
 
 from folio.operators.spread import spread_join
-from folio.plans import main as command
+from folio.plans import cli as command
 from folio.plans.catalogue import genre_profile
 from folio.plans.covers import fetch_attempts, read_log, run
 from folio.session import shared_root, work_path

@@ -2,7 +2,7 @@ import hashlib
 
 import pytest
 
-from folio.operators.sample import key_limit, maybe_sample, sample_exact
+from folio.operators.sample import _narrowed, key_limit, maybe_sample, sample_exact, sample_key
 
 
 def books(spark, n):
@@ -49,6 +49,12 @@ def test_no_size_means_all(spark):
     assert maybe_sample(books(spark, 10), None).count() == 10
 
 
-def test_key_limit_covers_the_sample():
-    assert key_limit(2000, 10**12) < "00001"
-    assert key_limit(10, 20) == "f" * 15
+def test_key_limit():
+    assert key_limit(2000 / 10**12) < "00001"
+    assert key_limit(0.5) == "8" + "0" * 14
+    assert key_limit(2) == "f" * 15
+
+
+def test_limit_leaves_about_the_sample(spark):
+    df = books(spark, 200_000).withColumn("_key", sample_key())
+    assert 1000 <= _narrowed(df, 1000, 200_000).count() < 2000
