@@ -81,6 +81,11 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.selectExpr("url", "attempt", PAGE_STATUS)
 
 
+def page_attempts(cover_urls: DataFrame) -> DataFrame:
+    """``page_log`` with the address found in each page: every attempt gets the same body."""
+    return cover_urls.select("page_id", "url", "img_url", _attempts()).selectExpr("url", "attempt", PAGE_STATUS, "img_url")
+
+
 def image_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Image responses with their sizes; null stands for an unreadable image."""
     pages = table(spark, sf_dir, "pages").select("page_id", _attempts())

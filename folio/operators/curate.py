@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from folio.schemas import is_array, is_floating, require_columns
@@ -47,13 +47,24 @@ def curate(books: DataFrame, min_ratings: int = MIN_RATINGS) -> DataFrame:
     return books_popular(books_with_counts(books_with_genres(books)), min_ratings)
 
 
-def curation_funnel(books: DataFrame, min_ratings: int = MIN_RATINGS) -> DataFrame:
-    """One row: books before and after each filter, from a single pass."""
-    require_columns(books, "genres", "num_ratings", "num_reviews")
+def _funnel(books: DataFrame, min_ratings: int) -> list[Column]:
     genres, counts, popular = has_genres(books), has_counts(books), is_popular(books, min_ratings)
-    return books.agg(
+    return [
         F.count("*").alias("n_books"),
         F.count_if(genres).alias("n_with_genres"),
         F.count_if(genres & counts).alias("n_with_counts"),
         F.count_if(genres & counts & popular).alias("n_popular"),
-    )
+    ]
+
+
+def curation_funnel(books: DataFrame, min_ratings: int = MIN_RATINGS) -> DataFrame:
+    """One row: books before and after each filter, from a single pass."""
+    require_columns(books, "genres", "num_ratings", "num_reviews")
+    return books.agg(*_funnel(books, min_ratings))
+
+
+def curate_observed(books: DataFrame, min_ratings: int = MIN_RATINGS) -> tuple[DataFrame, Observation]:
+    """Curated books, and the funnel as seen by the first job that reads them: no pass of its own."""
+    require_columns(books, "genres", "num_ratings", "num_reviews")
+    seen = Observation("funnel")
+    return curate(books.observe(seen, *_funnel(books, min_ratings)), min_ratings), seen

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
-from folio.operators.curate import MIN_RATINGS, curate
+from folio.operators.curate import MIN_RATINGS, curate_observed
 from folio.operators.genres import (
     MIN_COUNT,
     TOP_GENRES,
@@ -28,12 +28,19 @@ class GenreProfile:
     distinct: DataFrame
 
 
+@dataclass
+class Curated:
+    books: DataFrame
+    funnel: dict[str, int]  # books before and after each filter
+
+
 def curate_to(
     spark: SparkSession, source: str, target: str, fmt: str = "parquet", min_ratings: int = MIN_RATINGS, **options: str
-) -> DataFrame:
-    """Read a catalogue, keep the curated books, write them, and go on from the written table."""
-    write_curated(curate(load_books(spark, source, fmt, **options), min_ratings), target)
-    return spark.read.parquet(target)
+) -> Curated:
+    """Read a catalogue, write the curated books, and go on from the written table."""
+    books, funnel = curate_observed(load_books(spark, source, fmt, **options), min_ratings)
+    write_curated(books, target)
+    return Curated(spark.read.parquet(target), funnel.get)
 
 
 def genre_profile(books: DataFrame, top: int = TOP_GENRES, min_count: int = MIN_COUNT) -> GenreProfile:

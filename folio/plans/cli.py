@@ -54,7 +54,7 @@ def main(argv: list[str] | None = None) -> None:
 
 def run_command(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "curate":
-        curate_to(spark, args.source, args.curated, args.format, args.min_ratings)
+        print(curate_to(spark, args.source, args.curated, args.format, args.min_ratings).funnel)
     elif args.command == "genres":
         profile = genre_profile(spark.read.parquet(args.curated), args.top, args.min_count)
         profile.top.show(args.top, truncate=False)

@@ -39,9 +39,18 @@ from folio.sources.responses import image_attempts, image_bodies, page_attempts
 class CoverRun:
     outcomes: DataFrame  # ord, id, url, attempt, outcome, reason
     covers: DataFrame  # ord, id, url, attempt, img_url, length, digest, width, height
-    progress: DataFrame  # i, success, failed
-    counters: DataFrame  # success, failed
-    failed: DataFrame  # ord, url
+
+    @property
+    def counters(self) -> DataFrame:
+        return run_counters(self.outcomes)
+
+    @property
+    def progress(self) -> DataFrame:
+        return run_progress(self.outcomes)
+
+    @property
+    def failed(self) -> DataFrame:
+        return failed_urls(self.outcomes)
 
 
 @dataclass
@@ -65,7 +74,7 @@ def collect_covers(books: DataFrame, responses: Responses, existing: DataFrame)
     attempts = materialize(resolve_attempts(responses.pages, responses.images), "attempts")
     outcomes = materialize(scrape_outcomes(books, attempts, existing), "outcomes")
     covers = materialize(covers_described(covers_dedup(outcomes, attempts), responses.images), "covers")
-    return CoverRun(outcomes, covers, run_progress(outcomes), run_counters(outcomes), failed_urls(outcomes))
+    return CoverRun(outcomes, covers)
 
 
 def store_covers(run: CoverRun, responses: Responses, store: str, buckets: int = BUCKETS) -> None:

@@ -228,7 +228,7 @@ def book_pages(spark, sf_dir):
 
 
 def _attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = fixtures.page_log(spark, sf_dir).join(_cover_urls(spark, sf_dir).select("url", "img_url"), "url", "left")
+    pages = fixtures.page_attempts(_cover_urls(spark, sf_dir))
     return materialize(collect.resolve_attempts(pages, fixtures.image_log(spark, sf_dir)), "attempts")
 
 
@@ -269,6 +269,15 @@ def run_progress(spark, sf_dir):
     return collect.run_progress(_outcomes(spark, sf_dir))
 
 
+def outcomes_from_log(spark, sf_dir):
+    """Outcomes decided from response bodies: pages searched, images sized."""
+    return collect_covers(
+        fixtures.scrape_input(spark, sf_dir),
+        read_responses(fixtures.fetch_log(spark, sf_dir)),
+        fixtures.existing_covers(spark, sf_dir),
+    ).outcomes
+
+
 def _stored(spark: SparkSession, sf_dir: str) -> str:
     """The whole collection from response bodies, with the accepted bytes put in a store."""
     responses = read_responses(fixtures.fetch_log(spark, sf_dir))
@@ -333,6 +342,7 @@ QUERIES: dict[str, Query] = {
     "covers_dedup": covers_dedup,
     "run_counters": run_counters,
     "run_progress": run_progress,
+    "outcomes_from_log": outcomes_from_log,
     "covers_store": covers_store,
     "resume_after_run": resume_after_run,
 }

@@ -79,5 +79,7 @@ def test_curated_table_is_overwritten(spark):
     source, target = work_path(spark, "src"), work_path(spark, "cur")
     spark.createDataFrame([BOOK], "id string, url string, genres string, num_ratings bigint, num_reviews bigint, note string").write.parquet(source)
     curate_to(spark, source, target)
-    assert curate_to(spark, source, target).count() == 1
+    curated = curate_to(spark, source, target)
+    assert curated.books.count() == 1
+    assert curated.funnel == {"n_books": 1, "n_with_genres": 1, "n_with_counts": 1, "n_popular": 1}
     assert load_catalog(spark, target).columns == ["id", "url", "genres", "num_ratings", "num_reviews", "note"]
