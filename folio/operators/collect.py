@@ -223,10 +223,11 @@ def covers_dedup(outcomes: DataFrame, attempts: DataFrame) -> DataFrame:
 
 
 def covers_described(covers: DataFrame, images: DataFrame) -> DataFrame:
-    """Add ``length, digest, width, height`` of the accepted image; of repeated records any one."""
+    """Add ``length, digest, width, height`` of the accepted image, and how many ``records`` would do."""
     good = images.where((F.col("status") == OK_STATUS) & is_valid_geometry(F.col("width"), F.col("height")))
-    once = good.drop("status").dropDuplicates(["img_url", "attempt"])
-    return spread_join(covers, once, ["img_url", "attempt"])
+    image = F.min(F.struct("digest", "length", "width", "height")).alias("image")
+    once = good.groupBy("img_url", "attempt").agg(image, F.count("*").alias("records"))
+    return spread_join(covers, once, ["img_url", "attempt"]).select(*covers.columns, "image.*", "records")
 
 
 def run_counters(outcomes: DataFrame) -> DataFrame:

@@ -31,6 +31,12 @@ def _hot_keys(left: DataFrame, keys: list[str], total: int, lanes: int) -> list[
     return [tuple(row) for row in hot.orderBy(F.desc("_lanes")).limit(lanes).collect()]
 
 
+def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str, tasks: int | None) -> DataFrame:
+    if tasks:
+        left, right = left.repartition(tasks, *keys), right.repartition(tasks, *keys)
+    return left.join(right, keys, how)
+
+
 def spread_join(
     left: DataFrame,
     right: DataFrame,
@@ -38,9 +44,13 @@ def spread_join(
     how: str = "inner",
     small_rows: int = SMALL_ROWS,
     lanes: int = LANES,
+    tasks: int | None = None,
 ) -> DataFrame:
     """``left.join(right, keys, how)`` that splits hot keys of ``left`` over many tasks.
 
+    With ``tasks`` both sides are laid out over that many partitions, by the join's own keys: the
+    one shuffle each side needs anyway, sized for what is done with the result.
+
     Rows of a hot key get a lane each and the matching right rows are repeated once per lane, so
     the result is the plain join's. ``right`` is expected to have few rows per key. The left side
     is read up to three times: pass a table or a materialized frame.
@@ -49,7 +59,7 @@ def spread_join(
         raise ValueError(f"cannot spread a {how} join")
     total = left.count()
     if total <= small_rows:
-        return left.join(right, keys, how)
+        return _join(left, right, keys, how, tasks)
     others = [F.col(c) for c in left.columns if c not in keys] or [F.monotonically_increasing_id()]
     missing: Column = reduce(or_, [F.col(k).isNull() for k in keys])
     hot = _hot_keys(left, keys, total, lanes)
@@ -70,4 +80,4 @@ def spread_join(
     # Rows without a key match nothing; scatter them too.
     lane = F.pmod(scatter, F.when(missing, F.lit(lanes)).otherwise(lane_count)).cast("int")
     left = left.withColumn("_lane", lane).drop("_lanes")
-    return left.join(right, [*keys, "_lane"], how).drop("_lane")
+    return _join(left, right, [*keys, "_lane"], how, tasks).drop("_lane")

@@ -28,7 +28,7 @@ from folio.operators.sample import RUN_SAMPLE, SEED
 from folio.operators.spread import spread_join
 from folio.schemas import FETCH_LOG
 from folio.session import materialize
-from folio.sinks.store import BUCKETS, covers_with_content, write_covers
+from folio.sinks.store import BUCKETS, write_covers
 from folio.sources.catalog import load_catalog
 from folio.sources.covers import existing_ids
 from folio.sources.fetch import INTERVAL_S, TIMEOUT_S, Transport, fetch
@@ -38,7 +38,7 @@ from folio.sources.responses import image_attempts, image_bodies, page_attempts
 @dataclass
 class CoverRun:
     outcomes: DataFrame  # ord, id, url, attempt, outcome, reason
-    covers: DataFrame  # ord, id, url, attempt, img_url, length, digest, width, height
+    covers: DataFrame  # ord, id, url, attempt, img_url, digest, length, width, height, records
 
     @property
     def counters(self) -> DataFrame:
@@ -79,8 +79,7 @@ def collect_covers(books: DataFrame, responses: Responses, existing: DataFrame)
 
 def store_covers(run: CoverRun, responses: Responses, store: str, buckets: int = BUCKETS) -> None:
     """Append the covers of a run, with their bytes, to the store."""
-    total_bytes = run.covers.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
-    write_covers(covers_with_content(run.covers, image_bodies(responses.log)), store, total_bytes, buckets)
+    write_covers(run.covers, image_bodies(responses.log), store, buckets)
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame:

@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from folio.operators.spread import spread_join
 
-BUCKETS = 64
-BYTES_PER_FILE = 512 << 20
+BUCKETS = 16
+FILE_BYTES = 128 << 20
+LARGE_BYTES = 64 << 30
 
 
 def write_curated(books: DataFrame, path: str) -> None:
@@ -25,36 +26,44 @@ def bucket_of(book_id: Column, buckets: int = BUCKETS) -> Column:
     return F.pmod(F.xxhash64(book_id), F.lit(buckets)).cast("int")
 
 
-def covers_with_content(covers: DataFrame, bodies: DataFrame) -> DataFrame:
+def covers_with_content(covers: DataFrame, bodies: DataFrame, tasks: int | None = None) -> DataFrame:
     """``id, img_url, width, height, length, content``: the accepted bytes of each id.
 
     ``covers`` is narrow and holds the digest of the bytes that passed the checks. The bytes meet it
     once, after everything has been decided, and any others recorded for the address are left out.
     """
-    keys = ["img_url", "attempt"]
-    narrow = covers.select("id", *keys, "width", "height", "length", "digest")
-    matched = spread_join(narrow, bodies, keys).where(F.xxhash64("content") == F.col("digest"))
+    keys = ["img_url", "attempt", "digest"]
+    narrow = covers.select("id", *keys, "width", "height", "length")
+    digested = bodies.withColumn("digest", F.xxhash64("content"))
+    matched = spread_join(narrow, digested, keys, tasks=tasks)
     return matched.select("id", "img_url", "width", "height", "length", "content")
 
 
-def write_covers(covers: DataFrame, store: str, total_bytes: int, buckets: int = BUCKETS) -> None:
-    """Append covers to the store, one row per id.
+def write_covers(
+    covers: DataFrame, bodies: DataFrame, store: str, buckets: int = BUCKETS, large_bytes: int = LARGE_BYTES
+) -> None:
+    """Append covers with their bytes to the store, one row per id, in files of about ``FILE_BYTES``.
 
-    ``total_bytes`` sets how many files a bucket gets. A repeated record of the same response
-    would give an id twice; the shuffle that lays out the files also drops it.
+    A large store is written straight from the join, whose tasks are sized to give each bucket one
+    file: the bytes are shuffled once. A small one, where the join needs no shuffle of the bytes, is
+    laid out by bucket. So is one with repeated records of a response, which that shuffle drops.
     """
-    per_bucket = max(1, -(-total_bytes // (buckets * BYTES_PER_FILE)))
-    slot = F.pmod(F.xxhash64(F.col("id"), F.lit("slot")), F.lit(per_bucket)).cast("int")
-    (
-        covers.withColumn("bucket", bucket_of(F.col("id"), buckets))
-        .withColumn("_slot", slot)
-        .repartition(buckets * per_bucket, "bucket", "_slot")
-        .dropDuplicates(["bucket", "_slot", "id"])
-        .drop("_slot")
-        .write.mode("append")
-        .partitionBy("bucket")
-        .parquet(store)
-    )
+    total, records = covers.agg(F.coalesce(F.sum("length"), F.lit(0)), F.coalesce(F.max("records"), F.lit(0))).first()
+    files = max(1, -(-total // FILE_BYTES))
+    bucket = bucket_of(F.col("id"), buckets)
+    if total > large_bytes and records <= 1:
+        rows = covers_with_content(covers, bodies, tasks=-(-files // buckets)).withColumn("bucket", bucket)
+    else:
+        per_bucket = -(-files // buckets)
+        slot = F.pmod(F.xxhash64(F.col("id"), F.lit("slot")), F.lit(per_bucket)).cast("int")
+        rows = (
+            covers_with_content(covers, bodies)
+            .withColumns({"bucket": bucket, "_slot": slot})
+            .repartition(buckets * per_bucket, "bucket", "_slot")
+            .dropDuplicates(["bucket", "_slot", "id"])
+            .drop("_slot")
+        )
+    rows.write.mode("append").partitionBy("bucket").parquet(store)
 
 
 def _write_files(directory: str):

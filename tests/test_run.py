@@ -7,6 +7,7 @@ import types
 
 import pytest
 from pyspark import cloudpickle
+from compare import plan
 from pyspark.sql import functions as F
 from test_images import jpeg, png
 
@@ -161,29 +162,60 @@ def test_strict_sample(spark):
         run(spark, catalogue(spark, 3), "s", "l", site, "x", sample_size=4)
 
 
-def described(won, content):
+def described(won, content, length=None, records=1):
     return won.withColumns(
-        {"width": F.lit(200), "height": F.lit(300), "length": F.lit(len(content)).cast("bigint"), "digest": F.xxhash64(F.lit(content))}
+        {
+            "width": F.lit(200),
+            "height": F.lit(300),
+            "length": F.lit(length or len(content)).cast("bigint"),
+            "digest": F.xxhash64(F.lit(content)),
+            "records": F.lit(records).cast("bigint"),
+        }
     )
 
 
-def test_store_keeps_one_row_per_id_and_spreads_shared_images(spark, monkeypatch):
+@pytest.fixture
+def shared_picture(spark, monkeypatch):
+    """One picture serves two thirds of the ids; joins take the spread path."""
     from folio.sinks import store as store_module
 
-    monkeypatch.setattr(store_module, "spread_join", lambda *a: spread_join(*a, small_rows=0, lanes=16))
-    # One picture serves two thirds of the ids, and its record is doubled.
+    monkeypatch.setattr(store_module, "spread_join", lambda *a, **k: spread_join(*a, **k, small_rows=0, lanes=16))
     won = spark.range(90).selectExpr(
         "CAST(id AS STRING) AS id", "CASE WHEN id % 3 = 0 THEN concat('i', id) ELSE 'shared' END AS img_url", "1 AS attempt"
     )
-    bodies = won.select("img_url", "attempt").distinct().withColumn("content", F.lit(GOOD))
-    bodies = bodies.union(bodies.where("img_url = 'shared'"))
-    path = work_path(spark, "store")
-    write_covers(covers_with_content(described(won, GOOD), bodies), path, total_bytes=3 << 30, buckets=2)
+    return won, won.select("img_url", "attempt").distinct().withColumn("content", F.lit(GOOD))
+
+
+def check_store(spark, path):
     stored = spark.read.parquet(path)
     assert stored.count() == stored.select("id").distinct().count() == 90
     assert stored.where(bucket_of(F.col("id"), 2) != F.col("bucket")).count() == 0
-    # Three gigabytes over two buckets: several files each.
-    assert len(stored.inputFiles()) > 2
+    assert {bytes(row.content) for row in stored.select("content").distinct().collect()} == {GOOD}
+    return len(stored.inputFiles())
+
+
+def test_small_store_drops_repeated_records(spark, shared_picture):
+    won, bodies = shared_picture
+    doubled = bodies.union(bodies.where("img_url = 'shared'"))
+    path = work_path(spark, "store")
+    # Taken for 900 megabytes: seven files or more over two buckets.
+    write_covers(described(won, GOOD, 10_000_000, 2), doubled, path, buckets=2, large_bytes=0)
+    assert check_store(spark, path) > 2
+
+
+def test_large_store_shuffles_bytes_once(spark, shared_picture):
+    won, bodies = shared_picture
+    path = work_path(spark, "store")
+    write_covers(described(won, GOOD, 10_000_000), bodies, path, buckets=2, large_bytes=0)
+    assert check_store(spark, path) > 2
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        text = plan(covers_with_content(described(won, GOOD), bodies, tasks=5).withColumn("bucket", bucket_of(F.col("id"), 2)))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10 << 20)
+    # Each side once, by the join's keys; further ones only make the fixture.
+    assert text.count("REPARTITION_BY_NUM") == 2
+    assert "SortMergeJoin" in text.split("Exchange")[0]
 
 
 def test_only_the_checked_bytes_are_stored(spark):
