@@ -14,7 +14,7 @@ from folio.operators.spread import spread_join
 
 BUCKETS = 16
 FILE_BYTES = 128 << 20
-LARGE_BYTES = 64 << 30
+LARGE_BYTES = 1 << 40
 
 
 def write_curated(books: DataFrame, path: str) -> None:
