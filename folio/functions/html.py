@@ -137,7 +137,9 @@ def with_cover_url(pages: DataFrame, html: str = "html", out: str = "img_url", m
     )
     native = _unescape(F.nullif(F.coalesce(_attribute(meta, "content"), _attribute(img, "src")), F.lit("")))
     if mode == "native":
-        return found.select(*kept, native.alias(out))
+        # One row from one item: a filter on the address then stays above the search. Pushed below, it
+        # would repeat the search for every mention of the address.
+        return found.select(*kept, F.explode(F.array(native)).alias(out))
     named = F.contains(page, F.lit("og:image")) | F.contains(page, F.lit("coverImage"))
     unsettled = named & _unsettled(page, F.coalesce(meta, img))
     return found.select(

@@ -2,8 +2,10 @@
 
 import pytest
 from compare import plan
+from pyspark.sql import functions as F
 
 from folio.functions.html import with_cover_url
+from folio.functions.urls import is_usable_url
 from folio.operators import curate, genres
 from folio.operators.sample import sample_exact
 from folio.session import work_path
@@ -50,3 +52,10 @@ def test_native_extraction_has_no_shuffle_and_no_python(spark, sf_dir):
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     text = plan(with_cover_url(pages))
     assert "Exchange" not in text and "Python" not in text
+
+
+def test_filters_on_the_address_do_not_repeat_the_search(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    found = with_cover_url(pages)
+    kept = found.where(is_usable_url(F.col("img_url")))
+    assert plan(kept).count("regexp_extract(") == plan(found).count("regexp_extract(")
