@@ -4,14 +4,13 @@ Texts become ids plus an end id. A document longer than the limit is cut into pi
 length, the last one shorter; a full piece is a sequence of its own. The other pieces are packed.
 
 All pieces of one length are alike, so rounds move *runs*: (length, first rank, count) for pieces, (gap,
-first sequence, count) for open sequences. A round sorts runs by size into ranges; in each range a
-sweep by ascending size gives every gap the longest piece that fits and that no tighter gap has taken, as
-closing brackets take the nearest open one. Where many pieces want one gap, rank decides: runs are
-divided into equal counts. Gaps shrink by what they got and take part again. Pieces and gaps that found
-nothing in their range meet in the next round, of half as many ranges. In the last, of one range, the
-longest of the pieces that fit no gap open new sequences, no more at a time than their total length
-needs. The number of runs is bounded by the limit, not by the documents; pieces themselves are moved once,
-when they get their place.
+first sequence, count) for open sequences. Pieces above half the limit, of which no two share a sequence,
+open one each. A round sorts runs by size into ranges; in each range a sweep from the longest piece down
+finds the successor of its length among the gaps, the tightest one that holds it. Where more pieces want a
+gap than there are, rank decides: runs are divided into equal counts. Gaps shrink by what they got and
+take part again. Pieces and gaps that found nothing in their range meet in the next round, of half as
+many ranges; in the last, of one range, pieces that fit no gap open new sequences. The number of runs is
+bounded by the limit, not by the documents; pieces themselves are moved once, when they get their place.
 
 Null and empty texts have one id, the end id. Rows that repeat are packed each by itself. An empty
 table gives an empty result; further columns are ignored.
@@ -20,6 +19,7 @@ table gives an empty result; further columns are ignored.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,52 +63,47 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int, end_id: int) -> DataFram
 
 
 def sweep(runs: list[tuple[int, int, int, int]], limit: int, last: bool, next_sequence: int = 0):
-    """One range's round: pieces and gaps as (kind, size, first, n); returns placements and what is left.
+    """One range's round over (kind, size, first, n): placements, and the pieces and gaps left.
 
-    ``last``: no further round follows, so pieces that fit nowhere open sequences from ``next_sequence``.
+    From the longest piece down, each run takes the tightest gaps that hold it; a run of more pieces than
+    gaps goes on to the next gap by rank, and what remains of a gap is a gap again. ``last``: no further
+    round follows, so pieces that fit nowhere open sequences from ``next_sequence``.
     """
-    todo, gaps, placed = {}, {}, []
-    for kind, size, first, n in runs:
-        (todo if kind == PIECE else gaps).setdefault(size, []).append((first, n))
-    while True:
-        stack, kept, moved = [], {}, False
-        for size in sorted({*todo, *gaps}):
-            stack += [(size, *x) for x in sorted(todo.get(size, []), reverse=True)]
-            for first, n in sorted(gaps.get(size, [])):
-                while n and stack:
-                    length, rank, count = stack.pop()
-                    k = min(n, count)
-                    placed.append((length, rank, k, first, limit - size))
-                    if count > k:
-                        stack.append((length, rank + k, count - k))
-                    if size > length:
-                        kept.setdefault(size - length, []).append((first, k))
-                    first, n, moved = first + k, n - k, True
-                if n:
-                    kept.setdefault(size, []).append((first, n))
-        todo, gaps = {}, kept
-        for length, rank, count in stack:
-            todo.setdefault(length, []).append((rank, count))
-        if moved and todo and gaps and min(todo) <= max(gaps):
-            continue
-        if not (last and todo):
-            return placed, todo, gaps, next_sequence
-        need = -(-sum(s * n for s, x in todo.items() for _, n in x) // limit)
-        for size in sorted(todo, reverse=True):
-            left = []
-            for rank, n in todo.pop(size):
-                k = min(n, need)
-                if k:
-                    placed.append((size, rank, k, next_sequence, 0))
-                    if size < limit:
-                        gaps.setdefault(limit - size, []).append((next_sequence, k))
-                    next_sequence, need = next_sequence + k, need - k
-                if n > k:
-                    left.append((rank + k, n - k))
-            if left:
-                todo[size] = left
-            if not need:
-                break
+    gaps: dict[int, list[tuple[int, int]]] = {}
+    sizes: list[int] = []
+    placed, left = [], []
+
+    def add(size: int, first: int, n: int) -> None:
+        if size not in gaps:
+            gaps[size] = []
+            insort(sizes, size)
+        gaps[size].append((first, n))
+
+    for kind, size, first, n in sorted(runs):
+        if kind == GAP:
+            add(size, first, n)
+    for length, rank, n in sorted(((s, f, n) for kind, s, f, n in runs if kind == PIECE), reverse=True):
+        while n:
+            at = bisect_left(sizes, length)
+            if at == len(sizes):
+                if not last:
+                    left.append((length, rank, n))
+                    break
+                add(limit, next_sequence, -(-n // (limit // length)))
+                next_sequence += -(-n // (limit // length))
+                continue
+            size = sizes[at]
+            first, count = gaps[size].pop()
+            if not gaps[size]:
+                del gaps[size], sizes[at]
+            k = min(n, count)
+            placed.append((length, rank, k, first, limit - size))
+            if count > k:
+                add(size, first + k, count - k)
+            if size > length:
+                add(size - length, first, k)
+            rank, n = rank + k, n - k
+    return placed, left, [(s, f, n) for s in sizes for f, n in gaps[s]]
 
 
 def _round(state: DataFrame, limit: int, ranges: int, next_sequence: int) -> DataFrame:
@@ -119,11 +114,10 @@ def _round(state: DataFrame, limit: int, ranges: int, next_sequence: int) -> Dat
         runs = pd.concat(parts)
         free = runs[runs.kind != PLACED]
         todo = [tuple(map(int, x)) for x in free[["kind", "size", "first", "n"]].itertuples(index=False)]
-        placed, left, gaps, _ = sweep(todo, limit, ranges == 1, next_sequence)
+        placed, left, gaps = sweep(todo, limit, ranges == 1, next_sequence)
         rows = [(PLACED, s, r, n, q, o) for s, r, n, q, o in placed]
-        rows += [(PIECE, s, f, n, 0, 0) for s, x in left.items() for f, n in x]
         if ranges > 1:
-            rows += [(GAP, s, f, n, 0, 0) for s, x in gaps.items() for f, n in x]
+            rows += [(PIECE, s, f, n, 0, 0) for s, f, n in left] + [(GAP, s, f, n, 0, 0) for s, f, n in gaps]
         yield pd.DataFrame(rows, columns=["kind", "size", "first", "n", "sequence", "offset"])
 
     free = state.filter(F.col("kind") != PLACED)
@@ -133,12 +127,10 @@ def _round(state: DataFrame, limit: int, ranges: int, next_sequence: int) -> Dat
 
 def placements(spark: SparkSession, lengths: DataFrame, limit: int, ranges: int = 8) -> DataFrame:
     """Runs of kind ``PLACED`` for the histogram ``lengths`` (``length, n``, lengths below the limit)."""
-    total = lengths.agg(F.sum(F.col("length") * F.col("n")), F.sum("n")).first()
-    need = -(-(total[0] or 0) // limit)
+    need = lengths.agg(F.sum(F.when(F.col("length") * 2 > limit, F.col("n")))).first()[0] or 0
     longest = Window.orderBy(F.col("length").desc())
     runs = lengths.withColumn("_before", F.sum("n").over(longest) - F.col("n"))
-    opened = F.greatest(F.lit(0), F.least(F.col("n"), F.lit(need) - F.col("_before")))
-    runs = runs.withColumn("_open", opened.cast("long"))
+    runs = runs.withColumn("_open", F.when(F.col("length") * 2 > limit, F.col("n")).otherwise(F.lit(0)).cast("long"))
     row = lambda kind, size, first, n, sequence: [F.lit(kind).alias("kind"), size.alias("size"), first.alias("first"), n.alias("n"), sequence.alias("sequence"), F.lit(0).cast("long").alias("offset")]
     zero, c = F.lit(0).cast("long"), F.col
     started = runs.filter("_open > 0")
