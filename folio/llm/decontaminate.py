@@ -18,7 +18,7 @@ reported; an empty table gives an empty result. ``clean`` keeps all columns of i
 
 from __future__ import annotations
 
-import re
+import string
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -33,15 +33,15 @@ from folio.llm.base import texts
 BLOCK_ITEMS = 256
 WINDOW, STRIDE = 64, 32
 STOP_SHARE = 0.02
-COSINE = 0.4
+COSINE = 0.2
 COVER, SURE, SHORT = 0.6, 0.8, 8
-_EDGE = re.compile(r"^\W+|\W+$")
+_OUTER = string.punctuation + "«»„“”‘’‚…–—¿¡·"
 _SLICES = 64
 
 
 def normal(word: str) -> str:
     """A word without case and outer punctuation."""
-    return _EDGE.sub("", word.lower())
+    return word.lower().strip(_OUTER)
 
 
 class WordIds(dict):
@@ -249,6 +249,9 @@ class LeakFinder:
                 vectors.append(space[terms].sum(0) if terms else np.zeros(space.shape[1], np.float32))
                 self.owner.append(k)
         q = np.array(vectors, np.float32)
+        self.member = np.zeros((len(block.items), len(idf)), bool)
+        for k, item in enumerate(block.items):
+            self.member[k, item] = True
         self.queries = (q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)).T.copy()
         # Items without an active word have no direction; they are looked for by their words alone.
         self.plain = [k for k, item in enumerate(block.items) if not any(self.active[t] for t in item)]
@@ -282,6 +285,9 @@ class LeakFinder:
             done = b
             near = ids[a:b]
             near = near[near >= 0]
+            near = near[self.member[item, near]]
+            if len(near) < COVER * len(words):
+                continue
             n = common_subsequence(words, near)
             if n > best[0]:
                 best = (n, common_subsequence(answer, near))
