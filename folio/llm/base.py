@@ -63,12 +63,17 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
+_TAIL = ".,;:!?#*$%&)"
+
+
 class TokenIds(dict):
     """Ids of a text with the tokenizers library, remembered per blank-separated word.
 
     The tokenizer drops white space and joins nothing across it, so a text's ids are its words' ids end
-    to end. At most ``room`` words are kept; then the memory starts afresh. Values are little-endian
-    unsigned 32-bit ids.
+    to end. Letters and the signs behind them are separate too, so a new word of letters is looked up
+    without case and signs, and what is still unknown goes to the library many words at a time. Both
+    memories have a bounded number of words and start afresh when full. Values are little-endian unsigned
+    32-bit ids.
     """
 
     def __init__(self, path: str, room: int = 300_000):
@@ -78,15 +83,51 @@ class TokenIds(dict):
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
         self.room = room
+        self.cores: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {"": b""}
+
+    @classmethod
+    def shared(cls, path: str) -> TokenIds:
+        """One memory for all tasks of a worker process."""
+        if path not in _ENCODERS:
+            _ENCODERS[path] = cls(path)
+        return _ENCODERS[path]
+
+    def _whole(self, words: list[str]) -> list[bytes]:
+        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
+
+    def _core(self, word: str) -> str | None:
+        """The word's letters in lower case, None where signs inside it or unusual letters forbid the short way."""
+        core = word.rstrip(_TAIL)
+        plain = core.isalpha() and (core.isascii() or ("\u00bf" < max(core) < "\u0130" and core.count("\u00aa") + core.count("\u00b5") + core.count("\u00ba") == 0))
+        return core.lower() if plain else None
 
     def learn(self, many: list[list[str]]) -> None:
         if len(self) > self.room:
             self.clear()
-        fresh = list({w for words in many for w in words if w not in self})
-        for at in range(0, len(fresh), 20_000):
-            part = fresh[at : at + 20_000]
-            for word, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False)):
-                self[word] = np.array(found.ids, "<u4").tobytes()
+        if len(self.cores) > 2 * self.room:
+            self.cores.clear()
+        fresh = {w for words in many for w in words if w not in self}
+        short = {w: c for w in fresh if (c := self._core(w)) is not None}
+        unknown = list({c for c in short.values() if c not in self.cores})
+        for at in range(0, len(unknown), 500):
+            part = unknown[at : at + 500]
+            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            owner = np.array(found.word_ids, np.int64)
+            edges = np.searchsorted(owner, np.arange(len(part) + 1)) * 4
+            body = np.array(found.ids, "<u4").tobytes()
+            if len(owner) and owner[-1] == len(part) - 1 and (np.diff(edges) > 0).all():
+                self.cores.update((w, body[a:b]) for w, a, b in zip(part, edges[:-1].tolist(), edges[1:].tolist()))
+            else:
+                self.cores.update(zip(part, self._whole(part)))
+        for word, core in short.items():
+            tail = word[len(core) :]
+            if tail not in self.tails:
+                self.tails[tail] = self._whole([tail])[0]
+            self[word] = self.cores[core] + self.tails[tail]
+        other = [w for w in fresh if w not in short]
+        for at in range(0, len(other), 20_000):
+            self.update(zip(other[at : at + 20_000], self._whole(other[at : at + 20_000])))
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         for at in range(0, len(texts), 200):
@@ -94,3 +135,6 @@ class TokenIds(dict):
             self.learn(many)
             for words in many:
                 yield b"".join([self[w] for w in words])
+
+
+_ENCODERS: dict[str, TokenIds] = {}

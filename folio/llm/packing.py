@@ -44,7 +44,7 @@ def pieces(docs: DataFrame, tokenizer: str, limit: int, end_id: int) -> DataFram
         part, encoder, seen = TaskContext.get().partitionId(), None, {}
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            encoder = encoder or TokenIds(tokenizer)
+            encoder = encoder or TokenIds.shared(tokenizer)
             rows = []
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
                 ids += end

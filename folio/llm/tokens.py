@@ -141,7 +141,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
 
         for batch in batches:
             if encoder is None:
-                encoder = TokenIds(tokenizer)
+                encoder = TokenIds.shared(tokenizer)
                 width = 2 if max(encoder.tokenizer.get_vocab_size(), end_id + 1) <= 1 << 16 else 4
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
                 held_ids.append(doc_id)
