@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -63,28 +64,28 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").lower().split()
 
 
-_TAIL = ".,;:!?#*$%&)"
+# How the tokenizer divides plain text in lower case (a fixed value of its file): words, digits, endings, signs.
+_PIECE = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u012f]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[!-/:-@\[-`{-~\u00d7\u00f7]+")
+# Letters of whose case and composition the library and Python surely think alike, and all else in ASCII.
+_ODD = re.compile(r"[^\t\n\r\x20-\x7e\u00c0-\u012f]|<\|")
 
 
-class TokenIds(dict):
-    """Ids of a text with the tokenizers library, remembered per blank-separated word.
+class TokenIds:
+    """Ids of a text with the tokenizers library, remembered for each piece of it.
 
-    The tokenizer drops white space and joins nothing across it, so a text's ids are its words' ids end
-    to end. Letters and the signs behind them are separate too, so a new word of letters is looked up
-    without case and signs, and what is still unknown goes to the library many words at a time. Both
-    memories have a bounded number of words and start afresh when full. Values are little-endian unsigned
-    32-bit ids.
+    The tokenizer works on words, single digits and runs of signs by themselves, so a plain text's ids are its
+    pieces' ids end to end; new words go to the library many at a time. Blank-separated words with
+    unusual characters are pieces of their own, under a leading zero character. When ``room`` pieces are
+    known they become the older half of the memory, from which those still in use come back. Values are
+    little-endian unsigned 32-bit ids.
     """
 
-    def __init__(self, path: str, room: int = 300_000):
+    def __init__(self, path: str, room: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.room = room
-        self.cores: dict[str, bytes] = {}
-        self.tails: dict[str, bytes] = {"": b""}
+        self.room, self.known, self.older = room, {}, {}
 
     @classmethod
     def shared(cls, path: str) -> TokenIds:
@@ -96,45 +97,52 @@ class TokenIds(dict):
     def _whole(self, words: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
 
-    def _core(self, word: str) -> str | None:
-        """The word's letters in lower case, None where signs inside it or unusual letters forbid the short way."""
-        core = word.rstrip(_TAIL)
-        plain = core.isalpha() and (core.isascii() or ("\u00bf" < max(core) < "\u0130" and core.count("\u00aa") + core.count("\u00b5") + core.count("\u00ba") == 0))
-        return core.lower() if plain else None
-
-    def learn(self, many: list[list[str]]) -> None:
-        if len(self) > self.room:
-            self.clear()
-        if len(self.cores) > 2 * self.room:
-            self.cores.clear()
-        fresh = {w for words in many for w in words if w not in self}
-        short = {w: c for w in fresh if (c := self._core(w)) is not None}
-        unknown = list({c for c in short.values() if c not in self.cores})
-        for at in range(0, len(unknown), 500):
-            part = unknown[at : at + 500]
+    def _learn(self, fresh: set[str]) -> None:
+        if len(self.known) > self.room:
+            self.known, self.older = {}, self.known
+        known, older = self.known, self.older
+        known.update((p, older[p]) for p in fresh if p in older)
+        words = [p for p in fresh if p not in older and p.isalpha()]
+        for at in range(0, len(words), 500):
+            part = words[at : at + 500]
             found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
             owner = np.array(found.word_ids, np.int64)
             edges = np.searchsorted(owner, np.arange(len(part) + 1)) * 4
             body = np.array(found.ids, "<u4").tobytes()
             if len(owner) and owner[-1] == len(part) - 1 and (np.diff(edges) > 0).all():
-                self.cores.update((w, body[a:b]) for w, a, b in zip(part, edges[:-1].tolist(), edges[1:].tolist()))
+                known.update((w, body[a:b]) for w, a, b in zip(part, edges[:-1].tolist(), edges[1:].tolist()))
             else:
-                self.cores.update(zip(part, self._whole(part)))
-        for word, core in short.items():
-            tail = word[len(core) :]
-            if tail not in self.tails:
-                self.tails[tail] = self._whole([tail])[0]
-            self[word] = self.cores[core] + self.tails[tail]
-        other = [w for w in fresh if w not in short]
-        for at in range(0, len(other), 20_000):
-            self.update(zip(other[at : at + 20_000], self._whole(other[at : at + 20_000])))
+                known.update(zip(part, self._whole(part)))
+        other = [p for p in fresh if p not in older and not p.isalpha()]
+        known.update(zip(other, self._whole([p.removeprefix("\0") for p in other])))
+
+    @staticmethod
+    def _pieces(text: str) -> list[str]:
+        if not _ODD.search(text):
+            return _PIECE.findall(text.lower())
+        out = []
+        for word in text.replace("\n", " ").split(" "):
+            if _ODD.search(word):
+                out.append("\0" + word)
+            else:
+                out += _PIECE.findall(word.lower())
+        return out
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
-        for at in range(0, len(texts), 200):
-            many = [text.replace("\n", " ").split(" ") for text in texts[at : at + 200]]
-            self.learn(many)
-            for words in many:
-                yield b"".join([self[w] for w in words])
+        for at in range(0, len(texts), 64):
+            held, fresh = [], set()
+            for text in texts[at : at + 64]:
+                pieces = self._pieces(text)
+                ids = list(map(self.known.get, pieces))
+                new = [(k, pieces[k]) for k, x in enumerate(ids) if x is None] if None in ids else []
+                fresh.update(p for _, p in new)
+                held.append((ids, new))
+            if fresh:
+                self._learn(fresh)
+            for ids, new in held:
+                for k, piece in new:
+                    ids[k] = self.known[piece]
+                yield b"".join(ids)
 
 
 _ENCODERS: dict[str, TokenIds] = {}
