@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Callable, Iterator
+from contextlib import suppress
 
 import numpy as np
 import pyarrow as pa
@@ -68,6 +69,7 @@ def words_of(text: str) -> list[bytes]:
 _PIECE = re.compile(r"[a-z\u00df-\u00f6\u00f8-\u012f]+|[0-9]|'(?:s|t|re|ve|m|ll|d)|[!-/:-@\[-`{-~\u00d7\u00f7]+")
 # Letters of whose case and composition the library and Python surely think alike, and all else in ASCII.
 _ODD = re.compile(r"[^\t\n\r\x20-\x7e\u00c0-\u012f]|<\|")
+_UNEVEN = re.compile(_ODD.pattern + r"|[!-/:-@\[-`{-~\u00d7\u00f7]{2}")
 
 
 class TokenIds:
@@ -82,9 +84,13 @@ class TokenIds:
 
     def __init__(self, path: str, room: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        # For words of letters in lower case, which need no folding and no division but at blanks.
+        self.by_word = Tokenizer.from_file(path)
+        self.by_word.normalizer = normalizers.Sequence([])
+        self.by_word.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.room, self.known, self.older = room, {}, {}
 
     @classmethod
@@ -105,7 +111,7 @@ class TokenIds:
         words = [p for p in fresh if p not in older and p.isalpha()]
         for at in range(0, len(words), 500):
             part = words[at : at + 500]
-            found = self.tokenizer.encode(" ".join(part), add_special_tokens=False)
+            found = self.by_word.encode(" ".join(part), add_special_tokens=False)
             owner = np.array(found.word_ids, np.int64)
             edges = np.searchsorted(owner, np.arange(len(part) + 1)) * 4
             body = np.array(found.ids, "<u4").tobytes()
@@ -118,6 +124,8 @@ class TokenIds:
 
     @staticmethod
     def _pieces(text: str) -> list[str]:
+        if not _UNEVEN.search(text):  # no two signs stand together, so each full stop and comma is by itself
+            return text.lower().replace(".", " .").replace(",", " ,").split()
         if not _ODD.search(text):
             return _PIECE.findall(text.lower())
         out = []
@@ -134,7 +142,11 @@ class TokenIds:
             for text in texts[at : at + 64]:
                 pieces = self._pieces(text)
                 ids = list(map(self.known.get, pieces))
-                new = [(k, pieces[k]) for k, x in enumerate(ids) if x is None] if None in ids else []
+                new, k = [], -1
+                with suppress(ValueError):  # until no place is left
+                    while True:
+                        k = ids.index(None, k + 1)
+                        new.append((k, pieces[k]))
                 fresh.update(p for _, p in new)
                 held.append((ids, new))
             if fresh:

@@ -34,7 +34,7 @@ ORDER = 5
 START, END = 2, 3
 BUCKETS, SLOTS = 1 << 20, 4
 WIDTH, LEAST_SPREAD = 3.0, 0.15
-_ROOM = 300_000
+_ROOM = 500_000
 
 
 def _with_lang(docs: DataFrame) -> DataFrame:
@@ -74,7 +74,7 @@ def count_words(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 held.setdefault(lang, Counter()).update(text.encode().lower().split())
-            if sum(map(len, held.values())) > _ROOM:
+            if sum(map(len, held.values())) > _ROOM // 2:
                 yield from flush()
         yield from flush()
 
@@ -113,10 +113,11 @@ def train(docs: DataFrame) -> DataFrame:
         def discount(i, y=y):
             d = i - (i + 1) * y * c(f"_n{i + 1}") / F.greatest(c(f"_n{i}"), F.lit(1.0))
             return F.least(F.greatest(d, F.lit(0.1)), F.lit(i - 0.1)).alias(f"_d{i}")
-        of = of.select("lang", discount(1), discount(2), discount(3))
+        of = materialize(of.select("lang", discount(1), discount(2), discount(3)), "discounts")
         context = F.shiftright("gram", 8)
         cut = F.when(c("n") == 1, c("_d1")).when(c("n") == 2, c("_d2")).otherwise(c("_d3"))
-        rows = grams.join(of, "lang").select("lang", "gram", "n", context.alias("_h"), cut.alias("_cut"))
+        # Languages are few; should there be very many, the join finds its own way.
+        rows = grams.join(F.broadcast(of) if of.count() <= 10_000 else of, "lang").select("lang", "gram", "n", context.alias("_h"), cut.alias("_cut"))
         around = rows.groupBy("lang", "_h").agg(F.sum("n").alias("_sum"), F.sum("_cut").alias("_free"))
         rows = rows.join(around, ["lang", "_h"])
         own, free = (c("n") - c("_cut")) / c("_sum"), c("_free") / c("_sum")
@@ -258,6 +259,24 @@ def scored(docs: DataFrame, model: HashArrays) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays_ = HashArrays(*shared.value)
         known: dict[str, dict[bytes, float]] = {}
+
+        def measure(body: np.ndarray, starts: np.ndarray, langs: list[str]) -> list[tuple]:
+            parts = [body[a:b].tobytes() for a, b in zip(starts, starts[1:])]
+            split = [x.split() for x in parts]
+            lowered = [[w.lower() for w in words] for words in split]
+            for lang in set(langs):
+                memory = known.setdefault(lang, {})
+                if len(memory) * len(known) > _ROOM:
+                    memory.clear()
+                fresh = list({w for x, words in zip(langs, lowered) if x == lang for w in words if w not in memory})
+                scores = arrays_.score(lang, fresh).tolist() if fresh else []
+                memory.update((w, 0.0 if _DIGIT(w) else p) for w, p in zip(fresh, scores))
+            rows = []
+            for lang, part, words, low in zip(langs, parts, split, lowered):
+                lines = [x for x in part.split(b"\n") if x.strip(b" \t\x0b\x0c\r")]
+                rows.append((len(words), len(lines) - len(set(lines)), repeated_words(words), _cost(known[lang], low)))
+            return rows
+
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -266,21 +285,8 @@ def scored(docs: DataFrame, model: HashArrays) -> DataFrame:
             symbols = _per_text(_SYMBOL[body], starts)
             rows = []
             langs = batch.column(2).to_pylist()
-            split = [body[a:b].tobytes().split() for a, b in zip(starts, starts[1:])]
-            lowered = [[w.lower() for w in words] for words in split]
-            for lang in set(langs):
-                memory = known.setdefault(lang, {})
-                if len(memory) > _ROOM:
-                    memory.clear()
-                fresh = list({w for x, words in zip(langs, lowered) if x == lang for w in words if w not in memory})
-                for at in range(0, len(fresh), 50_000):
-                    part = fresh[at : at + 50_000]
-                    scores = arrays_.score(lang, part).tolist()
-                    memory.update((w, 0.0 if _DIGIT(w) else p) for w, p in zip(part, scores))
-            for k, (words, low) in enumerate(zip(split, lowered)):
-                lines = [x for x in body[starts[k] : starts[k + 1]].tobytes().split(b"\n") if x.strip(b" \t\x0b\x0c\r")]
-                cost = _cost(known[langs[k]], low)
-                rows.append((len(words), len(lines) - len(set(lines)), repeated_words(words), cost))
+            for at in range(0, len(langs), 200):  # few texts at a time are in words
+                rows += measure(body, starts[at : at + 201], langs[at : at + 200])
             n_words, dup, rep, cost = zip(*rows)
             columns = [batch.column(0), batch.column(2), *[pa.array(x, pa.int64()) for x in (n_words, chars, symbols, dup, rep)], pa.array(cost, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "cost"])

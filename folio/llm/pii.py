@@ -240,8 +240,10 @@ def label_table(docs: DataFrame, rows: int = 400) -> DataFrame:
     passed their checks and from look-alikes that failed them.
     """
     marked = texts(docs).filter(F.col("text").rlike("[0-9@]")).withColumn("_key", F.xxhash64("doc_id", "text"))
-    lines = F.filter(F.split("text", "\n"), lambda x: x.rlike("[0-9@]"))
-    return marked.select("_key", F.slice(lines, 1, 20).alias("lines")).orderBy("_key").limit(rows).select("lines")
+    keys = [r._key for r in marked.select("_key").orderBy("_key").limit(rows).collect()]
+    lines = F.slice(F.filter(F.split("text", "\n"), lambda x: x.rlike("[0-9@]")), 1, 20)
+    chosen = marked.filter(F.col("_key") <= F.lit(max(keys, default=0)))
+    return chosen.dropDuplicates(["_key"]).orderBy("_key").limit(rows).select(lines.alias("lines"))
 
 
 def train(labelled: list[list[str]], longest: int = 40) -> ChainField:

@@ -155,7 +155,7 @@ def write_token_files(docs: DataFrame, tokenizer: str, path: str, end_id: int =
             yield close()
 
     schema = "part int, seq int, n_docs long, n_ids long, segment binary"
-    ordered.mapInArrow(run, schema).write.option("compression", "zstd").parquet(path)
+    ordered.mapInArrow(run, schema).write.parquet(path)
 
 
 def segment_starts(segments: DataFrame) -> DataFrame:
