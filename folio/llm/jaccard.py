@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +39,7 @@ _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19
 class Shingles:
     """Sorted distinct shingle hashes of a text; word hashes are remembered for a bounded number of words."""
 
-    def __init__(self, size: int, room: int = 300_000):
+    def __init__(self, size: int, room: int = 200_000):
         import xxhash
 
         digest = xxhash.xxh64_intdigest
@@ -92,8 +93,8 @@ def frequency_sketch(docs: DataFrame, size: int, bits: int = SKETCH_BITS) -> np.
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, shingles = np.zeros(1 << bits, np.int32), Shingles(size)
         for batch in batches:
-            held = [shingles.of(t) for t in batch.column(0).to_pylist()]
-            if held:
+            for at in range(0, batch.num_rows, 1000):
+                held = [shingles.of(t) for t in batch.column(0).slice(at, 1000).to_pylist()]
                 places = (np.concatenate(held) & np.uint64((1 << bits) - 1)).astype(np.int64)
                 counts += np.bincount(places, minlength=1 << bits).astype(np.int32)
         parts = [p.tobytes() for p in np.split(counts, _SLICES)]
@@ -127,7 +128,7 @@ def short_lists(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) ->
 
         def step(batch: pa.RecordBatch) -> dict:
             n, key, short, ends = [], [], [], [0]
-            for text in batch.column(1).to_pylist():
+            for text in map(pa.Scalar.as_py, batch.column(1)):
                 s = shingles.of(text)
                 n.append(len(s))
                 if not len(s):
@@ -232,18 +233,19 @@ def jaccard_classes(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFr
     rows = materialize(short_lists(docs, size, percent, frequency_sketch(docs, size)), "short")
     classes = rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("_least"), F.first("n").alias("n"), F.count("*").alias("_copies"))
     classes = materialize(classes, "classes")
-    # One row of each class brings the class's lists.
-    leaders = rows.filter("n > 0").join(classes.select("key", "_least"), "key").filter(c("doc_id").eqNullSafe(c("_least")))
-    postings = leaders.dropDuplicates(["key"]).select("key", "n", F.explode("short").alias("h"))
+    # Rows of one class have the same lists.
+    postings = rows.filter("n > 0").dropDuplicates(["key"]).select("key", "n", F.explode("short").alias("h"))
     often = postings.groupBy("h").agg(F.count("*").alias("_n")).filter("_n > 1").select("h")
     lists = materialize(postings.join(often, "h"), "lists")
     # Classes that meet any other often enough to be linked at all.
     met = lists.groupBy("key").agg(F.count("*").alias("_met"), F.first("n").alias("n")).filter(f"_met >= {_OCC}").select("key")
     wanted = materialize(met.join(classes.select("key", c("_least").alias("doc_id")), "key"), "wanted")
-    sets = materialize(sets_of(docs, size, wanted), "sets")
+    # Kept by key, so that joins move the pairs and not the sets; what an executor loses is made again.
+    sets = sets_of(docs, size, wanted).persist(StorageLevel.DISK_ONLY)
     links = materialize(holding(_leading_pairs(lists, percent), sets, percent), "links")
     roots = materialize(components(links), "roots")
     more = materialize(holding(_search(lists, roots, percent), sets, percent), "links")
+    sets.unpersist()
     if not more.isEmpty():
         roots = materialize(components(links.union(more)), "roots")
     grouped = classes.select("key", "_least").join(roots.select(c("node").alias("key"), "root"), "key")
