@@ -9,8 +9,9 @@ documents share is exact, a good one keeps lists of common passages out of the m
 
 Long lists of near copies would still yield all pairs. So classes are linked first to one class of each
 short list (of nearly equal size), and the components of the links that hold are found. What remains to be
-searched is each list's classes outside its commonest component against the whole list; the candidates of
-this search are complete, so no link between two components is missed.
+searched is each list's classes outside its commonest component against the whole list, long lists only for pairs
+that could meet nowhere else; the candidates of this search are complete, so no link between two
+components is missed.
 
 Null, empty and blank texts have no shingles and stand alone. With fewer words than a shingle the whole
 sequence is the one shingle. Repeated rows fall into one class; rows that share an id are told apart by
@@ -23,7 +24,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,6 +32,8 @@ from folio.llm.components import components
 from folio.session import materialize
 
 SKETCH_BITS = 20
+#: Lists of more classes are long in the search across components.
+LONG = 64
 _SLICES = 64
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0x27D4EB2F165667C5)]
 
@@ -128,7 +130,7 @@ def short_lists(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) ->
 
         def step(batch: pa.RecordBatch) -> dict:
             n, key, short, ends = [], [], [], [0]
-            for text in map(pa.Scalar.as_py, batch.column(1)):
+            for text in (x.as_py() for x in batch.column(1)):
                 s = shingles.of(text)
                 n.append(len(s))
                 if not len(s):
@@ -235,17 +237,14 @@ def jaccard_classes(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFr
     classes = materialize(classes, "classes")
     # Rows of one class have the same lists.
     postings = rows.filter("n > 0").dropDuplicates(["key"]).select("key", "n", F.explode("short").alias("h"))
-    often = postings.groupBy("h").agg(F.count("*").alias("_n")).filter("_n > 1").select("h")
+    often = postings.groupBy("h").agg(F.count("*").alias("_in_list")).filter("_in_list > 1")
     lists = materialize(postings.join(often, "h"), "lists")
-    # Classes that meet any other often enough to be linked at all.
-    met = lists.groupBy("key").agg(F.count("*").alias("_met"), F.first("n").alias("n")).filter(f"_met >= {_OCC}").select("key")
-    wanted = materialize(met.join(classes.select("key", c("_least").alias("doc_id")), "key"), "wanted")
-    # Kept by key, so that joins move the pairs and not the sets; what an executor loses is made again.
-    sets = sets_of(docs, size, wanted).persist(StorageLevel.DISK_ONLY)
-    links = materialize(holding(_leading_pairs(lists, percent), sets, percent), "links")
+    by_class = classes.select("key", c("_least").alias("doc_id"))
+    pairs = materialize(_leading_pairs(lists, percent), "pairs")
+    links = materialize(holding(pairs, _needed(docs, size, pairs, by_class), percent), "links")
     roots = materialize(components(links), "roots")
-    more = materialize(holding(_search(lists, roots, percent), sets, percent), "links")
-    sets.unpersist()
+    pairs = materialize(_search(lists, roots, percent), "pairs")
+    more = materialize(holding(pairs, _needed(docs, size, pairs, by_class), percent), "links")
     if not more.isEmpty():
         roots = materialize(components(links.union(more)), "roots")
     grouped = classes.select("key", "_least").join(roots.select(c("node").alias("key"), "root"), "key")
@@ -269,16 +268,42 @@ def _leading_pairs(lists: DataFrame, percent: int) -> DataFrame:
     return found.distinct()
 
 
+def _up(value, by: int):
+    """Whole-number division, rounded up."""
+    return F.call_function("div", value + (by - 1), F.lit(by))
+
+
+def _needed(docs: DataFrame, size: int, pairs: DataFrame, by_class: DataFrame) -> DataFrame:
+    """The sets of the classes in ``pairs``."""
+    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    return materialize(sets_of(docs, size, materialize(keys.join(by_class, "key"), "wanted")), "sets")
+
+
 def _search(lists: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """Pairs of classes in different components that meet in the short lists often enough."""
+    """Candidate pairs of classes in different components.
+
+    Lists beyond ``LONG`` classes are divided from the rest once more. Let a have n shingles, u of its short lists
+    not long, and let a partner have to share v: it may miss n - v of a's shingles, so it shares at least
+    u - (n - v) of the u. The one of a pair whose short lists end first in the common order finds all it shares
+    of them in the other's short lists. So where the number is 1 or more for both, the pair meets that often in
+    lists that are not long; only the other pairs are looked for in long lists.
+    """
     c = F.col
-    placed = lists.join(roots.select(c("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    least = _up(c("n") * percent, 100)
+    merged = F.least(c("n"), c("n") - least + F.expr(_OCC))
+    long_ = lists.groupBy("key").agg(F.sum((c("_in_list") > LONG).cast("long")).alias("_long"))
+    placed = lists.join(long_, "key").join(roots.select(c("node").alias("key"), "root"), "key", "left")
+    placed = placed.select("h", "key", "n", merged.alias("p"), (merged - c("_long")).alias("u"), (c("_in_list") > LONG).alias("long"), F.coalesce("root", "key").alias("root"))
     per = placed.groupBy("h", "root").agg(F.count("*").alias("_n"))
     mixed = per.groupBy("h").agg(F.max(F.struct("_n", "root"))["root"].alias("_main"), F.count("*").alias("_roots")).filter("_roots > 1").select("h", "_main")
     rows = materialize(placed.join(mixed, "h"), "mixed")
-    few = rows.filter(c("root") != c("_main")).select("h", c("key").alias("a"), c("n").alias("na"), c("root").alias("ra"))
-    all_ = rows.select("h", c("key").alias("b"), c("n").alias("nb"), c("root").alias("rb"), (c("root") == c("_main")).alias("_in"))
+    few = rows.filter(c("root") != c("_main")).select("h", "long", *[c(x).alias(y) for x, y in (("key", "a"), ("n", "na"), ("p", "pa"), ("u", "ua"), ("root", "ra"))])
+    all_ = rows.select("h", *[c(x).alias(y) for x, y in (("key", "b"), ("n", "nb"), ("p", "pb"), ("u", "ub"), ("root", "rb"))], (c("root") == c("_main")).alias("_in"))
     fits = (c("na") * 100 >= c("nb") * percent) & (c("nb") * 100 >= c("na") * percent)
-    met = few.join(all_, "h").filter((c("ra") != c("rb")) & fits & (c("_in") | (c("a") < c("b"))))
-    pairs = met.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.count("*").alias("_met"), F.min(F.least("na", "nb")).alias("n"))
-    return pairs.filter(f"_met >= {_OCC}").select("a", "b")
+    share = _up((c("na") + c("nb")) * percent, 100 + percent)
+    bound = F.least(c("ua") - c("na") + share, c("ub") - c("nb") + share)
+    met = few.join(all_, "h").filter((c("ra") != c("rb")) & fits & (c("_in") | (c("a") < c("b"))) & (~c("long") | (bound <= 0)))
+    of_pair = [bound.alias("bound"), (share - F.greatest(c("na") - c("pa"), c("nb") - c("pb"))).alias("least")]
+    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "long", *of_pair)
+    pairs = met.groupBy("a", "b").agg(F.count("*").alias("_met"), F.sum((~c("long")).cast("long")).alias("_short"), F.first("bound").alias("bound"), F.first("least").alias("least"))
+    return pairs.filter((c("_short") >= c("bound")) & ((c("bound") > 0) | (c("_met") >= c("least")))).select("a", "b")
