@@ -4,8 +4,8 @@ import pytest
 from compare import duck, duck_rows, plan, spark_rows
 
 import __spark_entry__ as driver
-
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+from folio.oracle import ORACLE as SQL
+from folio.registry import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +15,7 @@ def connection(sf_dir):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(driver.queries()) and set(SQL) <= set(driver.oracle_sql())
 
 
 def test_flagship(spark):
