@@ -19,6 +19,7 @@ reported; an empty table gives an empty result. ``clean`` keeps all columns of i
 from __future__ import annotations
 
 import string
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -55,6 +56,15 @@ class WordIds(dict):
         found = self[word] = self.words.get(normal(word), -1)
         return found
 
+    @classmethod
+    def shared(cls, block: Block) -> WordIds:
+        """One memory for all tasks of a worker process that work on the same block."""
+        name = zlib.crc32("\n".join(block.words).encode())
+        if name not in _KNOWN:
+            _KNOWN.clear()
+            _KNOWN[name] = cls(block.words)
+        return _KNOWN[name]
+
     def of(self, text: str) -> np.ndarray:
         if len(self) > self.room:
             self.clear()
@@ -63,6 +73,9 @@ class WordIds(dict):
         return ids
 
 
+_KNOWN: dict[int, WordIds] = {}
+
+
 @dataclass
 class Block:
     """One block of items: their words as numbers, and the answer's words."""
@@ -141,7 +154,7 @@ def passage_counts(docs: DataFrame, block: Block) -> tuple[np.ndarray, float]:
     n = len(block.words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, known, everything = np.zeros(n + 1), WordIds(block.words), np.ones(n, bool)
+        counts, known, everything = np.zeros(n + 1), WordIds.shared(block), np.ones(n, bool)
         for batch in batches:
             for _, ids, places, terms in _tokens(batch, 0, known, everything):
                 pairs = np.unique(places // WINDOW * n + terms)
@@ -186,7 +199,7 @@ def latent_space(docs: DataFrame, block: Block, idf: np.ndarray, seed: int = 5)
         np.add.at(total, terms[several], spread.astype(np.float32))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total = WordIds(block.words), np.zeros((n, width), np.float32)
+        known, total = WordIds.shared(block), np.zeros((n, width), np.float32)
         weighted = noise() * idf[:, None].astype(np.float32)
         for batch in batches:
             held: list[tuple[np.ndarray, np.ndarray]] = []
@@ -194,7 +207,7 @@ def latent_space(docs: DataFrame, block: Block, idf: np.ndarray, seed: int = 5)
             for _, ids, places, terms in _tokens(batch, 0, known, active):
                 held.append((places + base, terms))
                 base += -(-len(ids) // WINDOW) * WINDOW
-                if len(held) == 500:
+                if len(held) == 50:
                     add(total, weighted, *(np.concatenate(x) for x in zip(*held)), base)
                     held, base = [], 0
             if held:
@@ -299,7 +312,7 @@ class LeakFinder:
             return n == size
         return n >= COVER * size and (2 * answered >= answer or n >= SURE * size)
 
-    def find(self, texts_: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]], chunk: int = 20_000) -> list[tuple[int, int, int, float]]:
+    def find(self, texts_: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]], chunk: int = 2_000) -> list[tuple[int, int, int, float]]:
         """(row, item, length of the common subsequence, cosine) of every item held."""
         out, held, size = [], [], 0
 
@@ -339,7 +352,7 @@ def _finder(docs: DataFrame, block: Block):
 
 def _search(block: Block, idf: np.ndarray, space: np.ndarray, batch: pa.RecordBatch, at: int, state: dict):
     if not state:
-        state["finder"], state["known"] = LeakFinder(block, idf, space), WordIds(block.words)
+        state["finder"], state["known"] = LeakFinder(block, idf, space), WordIds.shared(block)
         state["all"] = np.ones(len(block.words), bool)
     finder, known = state["finder"], state["known"]
     found = finder.find(_tokens(batch, at, known, finder.active))
