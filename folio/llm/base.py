@@ -13,6 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+_SHARED: dict[str, object] = {}
+
+
+def shared(name: str, make: Callable[[], object]):
+    """What all tasks of a worker process use under ``name``; it displaces what other operators left there."""
+    if name not in _SHARED:
+        _SHARED.clear()
+        _SHARED[name] = make()
+    return _SHARED[name]
+
+
+def forget() -> None:
+    """Free what earlier tasks left in this worker process."""
+    _SHARED.clear()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -38,6 +54,7 @@ def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = None
+        forget()
         for batch in batches:
             if batch.num_rows:
                 step = step or make()
@@ -96,9 +113,7 @@ class TokenIds:
     @classmethod
     def shared(cls, path: str) -> TokenIds:
         """One memory for all tasks of a worker process."""
-        if path not in _ENCODERS:
-            _ENCODERS[path] = cls(path)
-        return _ENCODERS[path]
+        return shared(f"ids {path}", lambda: cls(path))
 
     def _whole(self, words: list[str]) -> list[bytes]:
         return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch(words, add_special_tokens=False)]
@@ -155,6 +170,3 @@ class TokenIds:
                 for k, piece in new:
                     ids[k] = self.known[piece]
                 yield b"".join(ids)
-
-
-_ENCODERS: dict[str, TokenIds] = {}

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.base import texts
+from folio.llm.base import shared, texts
 
 BLOCK_ITEMS = 256
 WINDOW, STRIDE = 64, 32
@@ -60,10 +60,7 @@ class WordIds(dict):
     def shared(cls, block: Block) -> WordIds:
         """One memory for all tasks of a worker process that work on the same block."""
         name = zlib.crc32("\n".join(block.words).encode())
-        if name not in _KNOWN:
-            _KNOWN.clear()
-            _KNOWN[name] = cls(block.words)
-        return _KNOWN[name]
+        return shared(f"words {name}", lambda: cls(block.words))
 
     def of(self, text: str) -> np.ndarray:
         if len(self) > self.room:
@@ -73,9 +70,6 @@ class WordIds(dict):
         return ids
 
 
-_KNOWN: dict[int, WordIds] = {}
-
-
 @dataclass
 class Block:
     """One block of items: their words as numbers, and the answer's words."""
@@ -367,11 +361,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark, schema = docs.sparkSession, "doc_id long, item_id long, common long, item_words long, cosine double"
     out = spark.createDataFrame([], schema)
     for block in blocks(benchmark):
-        shared = spark.sparkContext.broadcast((block, *_finder(docs, block)))
+        sent = spark.sparkContext.broadcast((block, *_finder(docs, block)))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             state: dict = {}
-            block_, idf, space = shared.value
+            block_, idf, space = sent.value
             for batch in batches:
                 ids = batch.column(0)
                 found = _search(block_, idf, space, batch, 1, state)
@@ -393,12 +387,12 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
     rows = docs
     for block in blocks(benchmark):
-        shared = docs.sparkSession.sparkContext.broadcast((block, *_finder(docs, block)))
+        sent = docs.sparkSession.sparkContext.broadcast((block, *_finder(docs, block)))
 
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             state: dict = {}
             for batch in batches:
-                held = {k for k, *_ in _search(*shared.value, batch, at, state)} if batch.num_rows else set()
+                held = {k for k, *_ in _search(*sent.value, batch, at, state)} if batch.num_rows else set()
                 yield batch.filter(pa.array([k not in held for k in range(batch.num_rows)], pa.bool_())) if held else batch
 
         rows = rows.mapInArrow(run, docs.schema)

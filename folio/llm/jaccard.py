@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.base import arrow_map, texts, words_of
+from folio.llm.base import arrow_map, forget, texts, words_of
 from folio.llm.components import components
 from folio.session import materialize
 
@@ -93,6 +93,7 @@ def frequency_sketch(docs: DataFrame, size: int, bits: int = SKETCH_BITS) -> np.
     """Counts of shingles by hash, ``2 ** bits`` counters over all documents; the driver gets only their sums."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         counts, shingles = np.zeros(1 << bits, np.int32), Shingles(size)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):

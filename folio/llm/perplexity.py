@@ -27,14 +27,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from folio.llm.base import utf8
+from folio.llm.base import forget, utf8
 from folio.session import materialize
 
 ORDER = 5
 START, END = 2, 3
 BUCKETS, SLOTS = 1 << 20, 4
 WIDTH, LEAST_SPREAD = 3.0, 0.15
-_ROOM = 500_000
+_ROOM = 300_000
 
 
 def _with_lang(docs: DataFrame) -> DataFrame:
@@ -63,6 +63,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, Counter] = {}
+        forget()
 
         def flush():
             for lang, counts in held.items():
@@ -72,10 +73,10 @@ def count_words(docs: DataFrame) -> DataFrame:
             held.clear()
 
         for batch in batches:
-            for text, lang in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                held.setdefault(lang, Counter()).update(text.encode().lower().split())
-            if sum(map(len, held.values())) > _ROOM // 2:
-                yield from flush()
+            for k, (text, lang) in enumerate(zip(batch.column(0), batch.column(1).to_pylist())):
+                held.setdefault(lang, Counter()).update(text.as_py().encode().lower().split())
+                if k % 64 == 0 and sum(map(len, held.values())) > _ROOM // 2:
+                    yield from flush()
         yield from flush()
 
     rows = _with_lang(docs).select("text", "lang").mapInArrow(run, "lang string, word binary, n long")
@@ -257,6 +258,7 @@ def scored(docs: DataFrame, model: HashArrays) -> DataFrame:
     shared = spark.sparkContext.broadcast((model.keys, model.logp, model.backoff))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         arrays_ = HashArrays(*shared.value)
         known: dict[str, dict[bytes, float]] = {}
 
