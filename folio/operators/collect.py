@@ -63,7 +63,7 @@ def scrape_input(books: DataFrame, directory: str = "images") -> DataFrame:
 
 def resume_todo(books: DataFrame, existing: DataFrame) -> DataFrame:
     """Books that have no cover yet."""
-    return spread_join(books, existing.select("id").distinct(), ["id"], "left_anti")
+    return spread_join(books, existing.select("id"), ["id"], "left_anti")
 
 
 def ok_responses(responses: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import argparse
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from folio.operators.curate import MIN_RATINGS
 from folio.operators.genres import MIN_COUNT, TOP_GENRES
@@ -40,6 +40,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     three.add_argument("--sample", type=int, default=RUN_SAMPLE, help="0 takes all books")
     three.add_argument("--seed", type=int, default=SEED)
     three.add_argument("--slices", type=int, default=1)
+    three.add_argument("--report", help="folder for the tables of failed addresses, progress and counters")
     return parser.parse_args(argv)
 
 
@@ -52,6 +53,13 @@ def main(argv: list[str] | None = None) -> None:
         drop_work(spark)
 
 
+def print_all(df: DataFrame) -> None:
+    """Print every row, read partition by partition."""
+    print(*df.columns, sep="\t")
+    for row in df.toLocalIterator():
+        print(*row, sep="\t")
+
+
 def run_command(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "curate":
         print(curate_to(spark, args.source, args.curated, args.format, args.min_ratings).funnel)
@@ -59,7 +67,7 @@ def run_command(spark: SparkSession, args: argparse.Namespace) -> None:
         profile = genre_profile(spark.read.parquet(args.curated), args.top, args.min_count)
         profile.top.show(args.top, truncate=False)
         profile.distinct.show()
-        profile.frequent.show(truncate=False)
+        print_all(profile.frequent)
     else:
         result = run(
             spark,
@@ -72,8 +80,11 @@ def run_command(spark: SparkSession, args: argparse.Namespace) -> None:
             seed=args.seed,
             slices=args.slices,
         )
-        result.failed.orderBy("ord").show(100, truncate=False)
-        result.progress.orderBy("i").show(100)
+        if args.report:  # what the run found outlives its work folder
+            for name in ("failed", "progress", "counters"):
+                getattr(result, name).write.mode("overwrite").parquet(f"{args.report.rstrip('/')}/{name}")
+        print_all(result.failed.orderBy("ord"))
+        print_all(result.progress.orderBy("i"))
         result.counters.show()
 
 

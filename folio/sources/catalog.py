@@ -34,8 +34,8 @@ def load_books(
     if split:
         path = f"{path.rstrip('/')}/{split}"
     if fmt == "csv":
-        # Without inference: one pass, numbers settled by conform.
-        options = {"header": "true", "escape": '"', **options}
+        # Without inference: one pass, numbers settled by conform. Quoted texts may hold line breaks.
+        options = {"header": "true", "escape": '"', "multiLine": "true", **options}
     return conform(spark.read.format(fmt).options(**options).load(path))
 
 

@@ -83,3 +83,9 @@ def test_curated_table_is_overwritten(spark):
     assert curated.books.count() == 1
     assert curated.funnel == {"n_books": 1, "n_with_genres": 1, "n_with_counts": 1, "n_popular": 1}
     assert load_catalog(spark, target).columns == ["id", "url", "genres", "num_ratings", "num_reviews", "note"]
+
+
+def test_csv_keeps_line_breaks_in_quotes(spark, tmp_path):
+    (tmp_path / "books.csv").write_text('id,title,url,genres,num_ratings,num_reviews\n1,"one ""x""\nline",u,[],5,1\n2,two,u,[],6,2\n')
+    rows = load_books(spark, str(tmp_path / "books.csv"), "csv").orderBy("id").collect()
+    assert [(r.id, r.title, r.num_ratings) for r in rows] == [("1", 'one "x"\nline', 5.0), ("2", "two", 6.0)]
