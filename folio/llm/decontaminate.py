@@ -1,6 +1,7 @@
 """Benchmark decontamination by latent semantic retrieval.
 
-The benchmark is taken in blocks of ``BLOCK_ITEMS`` items. For a block:
+The benchmark is taken in blocks of ``BLOCK_ITEMS`` items. For a block, each text's words are numbered and
+written once as numbers; then:
 
 1. Spark counts in how many passages (``WINDOW`` words) of all documents each benchmark word occurs; words in more
    than ``STOP_SHARE`` of them are stop words.
@@ -8,7 +9,8 @@ The benchmark is taken in blocks of ``BLOCK_ITEMS`` items. For a block:
    sum the driver gets the leading right singular vectors (Nystrom form of the randomised SVD). The
    sum has one row for each word of the block, whatever the corpus.
 3. Overlapping passages of all documents are projected and compared with the projected items by cosine.
-   For each candidate the longest common subsequence of words around the passage is found bit-parallel. A
+   For each candidate around which enough of the item's words lie, in any order, the longest common
+   subsequence of words is found bit-parallel. A
    document holds an item when the subsequence covers ``COVER`` of it, and half of its answer (the words of
    its last sentence) or ``SURE`` of all of it; items below ``SHORT`` words must be covered whole.
 
@@ -19,9 +21,9 @@ reported; an empty table gives an empty result. ``clean`` keeps all columns of i
 from __future__ import annotations
 
 import string
-import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -29,7 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.base import shared, texts
+from folio.llm.base import forget, texts
+from folio.session import materialize
 
 BLOCK_ITEMS = 256
 WINDOW, STRIDE = 64, 32
@@ -37,6 +40,7 @@ STOP_SHARE = 0.02
 COSINE = 0.2
 COVER, SURE, SHORT = 0.6, 0.8, 8
 _OUTER = string.punctuation + "«»„“”‘’‚…–—¿¡·"
+_OUTER_SET = frozenset(_OUTER)
 _SLICES = 64
 
 
@@ -45,29 +49,14 @@ def normal(word: str) -> str:
     return word.lower().strip(_OUTER)
 
 
-class WordIds(dict):
-    """Number of a raw word among the block's words, -1 for others; remembered for a bounded number of words."""
-
-    def __init__(self, words: dict[str, int], room: int = 400_000):
-        super().__init__()
-        self.words, self.room = words, room
-
-    def __missing__(self, word: str) -> int:
-        found = self[word] = self.words.get(normal(word), -1)
-        return found
-
-    @classmethod
-    def shared(cls, block: Block) -> WordIds:
-        """One memory for all tasks of a worker process that work on the same block."""
-        name = zlib.crc32("\n".join(block.words).encode())
-        return shared(f"words {name}", lambda: cls(block.words))
-
-    def of(self, text: str) -> np.ndarray:
-        if len(self) > self.room:
-            self.clear()
-        raw = text.split()
-        ids = np.fromiter(map(self.__getitem__, raw), np.int32, len(raw))
-        return ids
+def word_ids(words: dict[str, int], text: str) -> np.ndarray:
+    """Number of each blank-separated word of a text among the block's words, -1 for others."""
+    raw = text.lower().split()
+    ids = list(map(words.get, raw, repeat(-1)))
+    for k, word in enumerate(raw):
+        if word[-1] in _OUTER_SET or word[0] in _OUTER_SET:
+            ids[k] = words.get(word.strip(_OUTER), -1)
+    return np.array(ids, np.int32)
 
 
 @dataclass
@@ -106,15 +95,44 @@ def blocks(benchmark: DataFrame, size: int = BLOCK_ITEMS) -> Iterator[Block]:
             yield block
 
 
-def _tokens(batch: pa.RecordBatch, at: int, known: WordIds, active: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+def numbered(docs: DataFrame, block: Block) -> DataFrame:
+    """``doc_id, ids``: the word numbers of each text that holds any, written once for the passes that follow."""
+    words = block.words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        for batch in batches:
+            held = [ids.tobytes() if (ids := word_ids(words, x.as_py())).size else b"" for x in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(held, pa.binary())], ["doc_id", "ids"])
+
+    return materialize(texts(docs).mapInArrow(run, "doc_id long, ids binary"), "numbered_words")
+
+
+def _tokens(numbers: Iterable[np.ndarray], active: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Row, all word numbers, and the places and numbers of words that are active, for texts that have any."""
-    for k, text in enumerate(batch.column(at).to_pylist()):
-        if text:
-            ids = known.of(text)
-            places = np.flatnonzero(ids >= 0)
-            places = places[active[ids[places]]]
-            if len(places):
-                yield k, ids, places, ids[places]
+    for k, ids in enumerate(numbers):
+        places = np.flatnonzero(ids >= 0)
+        places = places[active[ids[places]]]
+        if len(places):
+            yield k, ids, places, ids[places]
+
+
+def _stored(batch: pa.RecordBatch, at: int) -> Iterator[np.ndarray]:
+    """Word numbers of each row from the column that ``numbered`` wrote."""
+    return (np.frombuffer(x.as_buffer(), np.int32) for x in batch.column(at))
+
+
+def _groups(batch: pa.RecordBatch, active: np.ndarray, size: int = 50) -> Iterator[tuple[np.ndarray, np.ndarray, int]]:
+    """Places and numbers of active words of ``size`` texts end to end, each from a passage of its own on; and the passages."""
+    held, passages = [], 0
+    for _, ids, places, terms in _tokens(_stored(batch, 0), active):
+        held.append((places + passages * WINDOW, terms))
+        passages += -(-len(ids) // WINDOW)
+        if len(held) == size:
+            yield *(np.concatenate(x) for x in zip(*held)), passages
+            held, passages = [], 0
+    if held:
+        yield *(np.concatenate(x) for x in zip(*held)), passages
 
 
 def _sum_rows(parts: DataFrame, width: int) -> dict[int, np.ndarray]:
@@ -143,21 +161,22 @@ def _emit(table: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["slice", "terms", "body"])
 
 
-def passage_counts(docs: DataFrame, block: Block) -> tuple[np.ndarray, float]:
-    """Passages in which each word occurs, and the number of passages, over all documents."""
+def passage_counts(ids: DataFrame, block: Block) -> tuple[np.ndarray, float]:
+    """Passages in which each word occurs, and the number of passages, over all documents as ``numbered`` gives them."""
     n = len(block.words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, known, everything = np.zeros(n + 1), WordIds.shared(block), np.ones(n, bool)
+        counts, everything = np.zeros(n + 1), np.ones(n, bool)
         for batch in batches:
-            for _, ids, places, terms in _tokens(batch, 0, known, everything):
-                pairs = np.unique(places // WINDOW * n + terms)
-                counts[:n] += np.bincount(pairs % n, minlength=n)
-                counts[n] += -(-len(ids) // WINDOW)
+            for places, terms, passages in _groups(batch, everything):
+                pairs = np.sort(places // WINDOW * n + terms)
+                first = np.concatenate([[True], pairs[1:] != pairs[:-1]])
+                counts[:n] += np.bincount(pairs[first] % n, minlength=n)
+                counts[n] += passages
         yield _emit(counts[:, None])
 
     # Counts travel as float32 parts of at most one task's passages and are summed in double precision.
-    found = _sum_rows(texts(docs).select("text").mapInArrow(run, "slice int, terms binary, body binary"), 1)
+    found = _sum_rows(ids.select("ids").mapInArrow(run, "slice int, terms binary, body binary"), 1)
     out = np.zeros(n + 1)
     for term, value in found.items():
         out[term] = value[0]
@@ -172,7 +191,7 @@ def _window_rows(places: np.ndarray, words: int, size: int, stride: int) -> tupl
     return starts[some], low[some], high[some]
 
 
-def latent_space(docs: DataFrame, block: Block, idf: np.ndarray, seed: int = 5) -> np.ndarray:
+def latent_space(ids: DataFrame, block: Block, idf: np.ndarray, seed: int = 5) -> np.ndarray:
     """Leading right singular vectors of the passages' TF-IDF matrix, one row for each word, scaled by idf."""
     n, width = len(idf), min(len(idf), len(block.items) + 32)
     active = idf > 0
@@ -180,35 +199,30 @@ def latent_space(docs: DataFrame, block: Block, idf: np.ndarray, seed: int = 5)
     def noise() -> np.ndarray:
         return np.random.default_rng(seed).standard_normal((n, width)).astype(np.float32)
 
-    def add(total: np.ndarray, weighted: np.ndarray, places: np.ndarray, terms: np.ndarray, words: int) -> None:
+    def add(total: np.ndarray, weighted: np.ndarray, places: np.ndarray, terms: np.ndarray) -> None:
         window = places // WINDOW
-        first = np.flatnonzero(np.concatenate([[True], window[1:] != window[:-1]]))
-        size = np.diff(np.append(first, len(terms)))
+        new = np.concatenate([[True], window[1:] != window[:-1]])
+        size = np.diff(np.append(np.flatnonzero(new), len(terms)))
         several = np.repeat(size > 1, size)  # a single word says nothing about which go together
         if not several.any():
             return
-        norm = np.add.reduceat(idf[terms] ** 2, first)
-        y = np.add.reduceat(weighted[terms], first, axis=0) / norm[:, None]
-        spread = np.repeat(y, size, axis=0)[several] * idf[terms[several], None]
-        np.add.at(total, terms[several], spread.astype(np.float32))
+        terms, first, size = terms[several], np.flatnonzero(new[several]), size[size > 1]
+        weight = idf[terms].astype(np.float32)
+        y = np.add.reduceat(weighted[terms], first, axis=0) / np.add.reduceat(weight**2, first)[:, None]
+        order = np.argsort(terms, kind="stable")
+        owner, terms = np.repeat(np.arange(len(size)), size)[order], terms[order]
+        starts = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
+        total[terms[starts]] += np.add.reduceat(y[owner], starts, axis=0) * idf[terms[starts], None].astype(np.float32)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, total = WordIds.shared(block), np.zeros((n, width), np.float32)
+        total = np.zeros((n, width), np.float32)
         weighted = noise() * idf[:, None].astype(np.float32)
         for batch in batches:
-            held: list[tuple[np.ndarray, np.ndarray]] = []
-            base = 0
-            for _, ids, places, terms in _tokens(batch, 0, known, active):
-                held.append((places + base, terms))
-                base += -(-len(ids) // WINDOW) * WINDOW
-                if len(held) == 50:
-                    add(total, weighted, *(np.concatenate(x) for x in zip(*held)), base)
-                    held, base = [], 0
-            if held:
-                add(total, weighted, *(np.concatenate(x) for x in zip(*held)), base)
+            for places, terms, _ in _groups(batch, active):
+                add(total, weighted, places, terms)
         yield _emit(total)
 
-    found = _sum_rows(texts(docs).select("text").mapInArrow(run, "slice int, terms binary, body binary"), width)
+    found = _sum_rows(ids.select("ids").mapInArrow(run, "slice int, terms binary, body binary"), width)
     omega = noise().astype(float)
     z = np.zeros((n, width))
     for term, row in found.items():
@@ -249,25 +263,30 @@ class LeakFinder:
 
     def __init__(self, block: Block, idf: np.ndarray, space: np.ndarray):
         self.block, self.space, self.active = block, space, idf > 0
-        vectors, self.owner = [], []
+        vectors, owner = [], []
         for k, item in enumerate(block.items):
             for at in range(0, max(1, len(item)), WINDOW):
                 terms = [t for t in item[at : at + WINDOW] if self.active[t]]
                 vectors.append(space[terms].sum(0) if terms else np.zeros(space.shape[1], np.float32))
-                self.owner.append(k)
+                owner.append(k)
+        self.owner = np.array(owner)
         q = np.array(vectors, np.float32)
-        self.member = np.zeros((len(block.items), len(idf)), bool)
-        for k, item in enumerate(block.items):
-            self.member[k, item] = True
+        self.sizes = np.array([len(x) for x in block.items])
+        distinct = [sorted(set(x)) for x in block.items]
+        # Place of a word among an item's distinct words, with -1 for words not in it, also for the number -1.
+        self.place = np.full((len(block.items), len(idf) + 1), -1, np.int32)
+        self.often = np.zeros((len(block.items), max(map(len, distinct))), np.int32)
+        for k, (item, own) in enumerate(zip(block.items, distinct)):
+            self.place[k, own] = np.arange(len(own))
+            np.add.at(self.often[k], self.place[k, item], 1)
         self.queries = (q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)).T.copy()
         # Items without an active word have no direction; they are looked for by their words alone.
         self.plain = [k for k, item in enumerate(block.items) if not any(self.active[t] for t in item)]
 
-    def candidates(self, held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> dict[tuple[int, int], list[tuple[int, float]]]:
-        """Window starts and cosines by (row, item) for texts as ``_tokens`` gives them."""
-        out: dict[tuple[int, int], list[tuple[int, float]]] = {}
+    def candidates(self, held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text, window start, item and cosine of near windows, for texts as ``_tokens`` gives them."""
         vectors, rows, starts = [], [], []
-        for k, ids, places, terms in held:
+        for k, (_, ids, places, terms) in enumerate(held):
             start, low, high = _window_rows(places, len(ids), WINDOW, STRIDE)
             sums = np.zeros((len(terms) + 1, self.space.shape[1]), np.float32)
             np.cumsum(self.space[terms], axis=0, out=sums[1:])
@@ -275,10 +294,29 @@ class LeakFinder:
             rows.append(np.full(len(start), k))
             starts.append(start)
         v, rows, starts = np.concatenate(vectors), np.concatenate(rows), np.concatenate(starts)
-        size = np.linalg.norm(v, axis=1)
-        cosine = (v @ self.queries) / np.maximum(size, 1e-12)[:, None]
-        for w, q in np.argwhere(cosine >= COSINE).tolist():
-            out.setdefault((int(rows[w]), self.owner[q]), []).append((int(starts[w]), float(cosine[w, q])))
+        size = np.maximum(np.linalg.norm(v, axis=1), 1e-12)
+        cosine = v @ self.queries
+        w, q = np.nonzero(cosine >= (COSINE * size)[:, None])
+        return rows[w], starts[w], self.owner[q], cosine[w, q] / size[w]
+
+    def bounds(self, held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]], rows: np.ndarray, starts: np.ndarray, items: np.ndarray, cells: int = 1 << 19) -> np.ndarray:
+        """No common subsequence around the windows is longer: the words of each item that lie there, as often as in it."""
+        texts_ = [ids for _, ids, _, _ in held]
+        body = np.concatenate([*texts_, np.full(1, -1, np.int32)])
+        edge = np.concatenate([[0], np.cumsum([len(x) for x in texts_])])
+        low = edge[rows] + np.maximum(starts - self.sizes[items], 0)
+        size = np.minimum(edge[rows] + starts + WINDOW + self.sizes[items], edge[rows + 1]) - low
+        out = np.zeros(len(rows), np.int64)
+        width = self.often.shape[1]
+        step = max(1, cells // max(width, int(size.max(initial=1))))
+        for at in range(0, len(rows), step):
+            part = slice(at, at + step)
+            owner = np.repeat(np.arange(len(rows[part])), size[part])
+            inner = np.arange(len(owner)) - np.repeat(np.cumsum(size[part]) - size[part], size[part])
+            place = self.place[items[part][owner], body[low[part][owner] + inner]]
+            found = place >= 0
+            seen = np.bincount(owner[found] * width + place[found], minlength=len(rows[part]) * width).reshape(-1, width)
+            out[part] = np.minimum(seen, self.often[items[part]]).sum(1)
         return out
 
     def check(self, item: int, ids: np.ndarray, starts: list[int]) -> tuple[int, int]:
@@ -291,8 +329,7 @@ class LeakFinder:
                 continue
             done = b
             near = ids[a:b]
-            near = near[near >= 0]
-            near = near[self.member[item, near]]
+            near = near[self.place[item, near] >= 0]
             if len(near) < COVER * len(words):
                 continue
             n = common_subsequence(words, near)
@@ -311,11 +348,15 @@ class LeakFinder:
         out, held, size = [], [], 0
 
         def settle():
-            numbers = {k: ids for k, ids, _, _ in held}
-            for (k, item), found in self.candidates(held).items():
-                n, answered = self.check(item, numbers[k], [s for s, _ in found])
+            rows, starts, items, cosine = self.candidates(held)
+            long = self.bounds(held, rows, starts, items) >= COVER * self.sizes[items]
+            near: dict[tuple[int, int], list[int]] = {}
+            for k, item, start in zip(rows[long].tolist(), items[long].tolist(), starts[long].tolist()):
+                near.setdefault((k, item), []).append(start)
+            for (k, item), found in near.items():
+                n, answered = self.check(item, held[k][1], found)
                 if self.holds(item, n, answered):
-                    out.append((k, item, n, max(c for _, c in found)))
+                    out.append((held[k][0], item, n, float(cosine[(rows == k) & (items == item)].max())))
 
         for row in texts_:
             held.append(row)
@@ -338,20 +379,20 @@ class LeakFinder:
         return out
 
 
-def _finder(docs: DataFrame, block: Block):
-    counts, passages = passage_counts(docs, block)
+def _finder(ids: DataFrame, block: Block) -> tuple[np.ndarray, np.ndarray]:
+    counts, passages = passage_counts(ids, block)
     idf = np.where(counts <= max(STOP_SHARE * passages, 3), np.log((passages + 1) / (counts + 0.5)), 0.0)
-    return idf, latent_space(docs, block, np.maximum(idf, 0))
+    idf = np.maximum(idf, 0)
+    return idf, latent_space(ids, block, idf)
 
 
-def _search(block: Block, idf: np.ndarray, space: np.ndarray, batch: pa.RecordBatch, at: int, state: dict):
+def _search(block: Block, idf: np.ndarray, space: np.ndarray, numbers: list[np.ndarray], state: dict) -> list[tuple[int, int, int, float]]:
     if not state:
-        state["finder"], state["known"] = LeakFinder(block, idf, space), WordIds.shared(block)
-        state["all"] = np.ones(len(block.words), bool)
-    finder, known = state["finder"], state["known"]
-    found = finder.find(_tokens(batch, at, known, finder.active))
+        state["finder"], state["all"] = LeakFinder(block, idf, space), np.ones(len(block.words), bool)
+    finder = state["finder"]
+    found = finder.find(_tokens(numbers, finder.active))
     if finder.plain:
-        for k, ids, _, _ in _tokens(batch, at, known, state["all"]):
+        for k, ids, _, _ in _tokens(numbers, state["all"]):
             found += finder.find_plain(k, ids)
     return found
 
@@ -361,14 +402,15 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark, schema = docs.sparkSession, "doc_id long, item_id long, common long, item_words long, cosine double"
     out = spark.createDataFrame([], schema)
     for block in blocks(benchmark):
-        sent = spark.sparkContext.broadcast((block, *_finder(docs, block)))
+        numbers = numbered(docs, block)
+        sent = spark.sparkContext.broadcast((block, *_finder(numbers, block)))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             state: dict = {}
             block_, idf, space = sent.value
             for batch in batches:
                 ids = batch.column(0)
-                found = _search(block_, idf, space, batch, 1, state)
+                found = _search(block_, idf, space, list(_stored(batch, 1)), state)
                 columns = [
                     pa.array([ids[k].as_py() for k, *_ in found], pa.int64()),
                     pa.array([block_.item_ids[i] for _, i, _, _ in found], pa.int64()),
@@ -378,21 +420,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["doc_id", "item_id", "common", "item_words", "cosine"])
 
-        out = out.union(texts(docs).mapInArrow(run, schema))
+        out = out.union(numbers.mapInArrow(run, schema))
     return out
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no item, with all their columns."""
     at = docs.columns.index("text")
-    rows = docs
+    rows, with_id = docs, docs.select(F.lit(0).alias("doc_id"), "text")
     for block in blocks(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast((block, *_finder(docs, block)))
+        sent = docs.sparkSession.sparkContext.broadcast((block, *_finder(numbered(with_id, block), block)))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             state: dict = {}
             for batch in batches:
-                held = {k for k, *_ in _search(*sent.value, batch, at, state)} if batch.num_rows else set()
+                numbers = [word_ids(sent.value[0].words, x.as_py() or "") for x in batch.column(at)]
+                held = {k for k, *_ in _search(*sent.value, numbers, state)}
                 yield batch.filter(pa.array([k not in held for k in range(batch.num_rows)], pa.bool_())) if held else batch
 
         rows = rows.mapInArrow(run, docs.schema)
