@@ -27,6 +27,7 @@ def shared(name: str, make: Callable[[], object]):
 def forget() -> None:
     """Free what earlier tasks left in this worker process."""
     _SHARED.clear()
+    pa.default_memory_pool().release_unused()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -156,8 +156,10 @@ class HashArrays:
     """The model as arrays sorted by hash."""
 
     def __init__(self, keys: np.ndarray, logp: np.ndarray, backoff: np.ndarray):
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.logp, self.backoff = keys[order], logp[order].astype(np.float32), backoff[order].astype(np.float32)
+        if (keys[1:] < keys[:-1]).any():
+            order = np.argsort(keys, kind="stable")
+            keys, logp, backoff = keys[order], logp[order], backoff[order]
+        self.keys, self.logp, self.backoff = keys, logp.astype(np.float32, copy=False), backoff.astype(np.float32, copy=False)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Places of ``keys``, -1 where absent."""
@@ -237,6 +239,12 @@ def repeated_words(words: list[bytes]) -> int:
     return int((np.cumsum(again)[:n] > 0).sum())
 
 
+def _parts(starts: np.ndarray, most: int = 1 << 20) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``most`` bytes together, or one long text."""
+    edges = np.flatnonzero(np.diff(starts[:-1] // most)) + 1
+    return zip([0, *edges.tolist()], [*edges.tolist(), len(starts) - 1])
+
+
 def _per_text(flags: np.ndarray, starts: np.ndarray) -> np.ndarray:
     sums = np.concatenate([[0], np.cumsum(flags, dtype=np.int32)])
     return (sums[starts[1:]] - sums[starts[:-1]]).astype(np.int64)
@@ -253,7 +261,7 @@ _BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repe
 
 
 def scored(docs: DataFrame, model: HashArrays) -> DataFrame:
-    """``doc_id, lang``, the base counts and ``cost`` (mean negative log probability a byte, null without words free of digits)."""
+    """``doc_id, lang``, the base counts and ``cost`` (mean negative log probability a byte, null without words free of digits), written once."""
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast((model.keys, model.logp, model.backoff))
 
@@ -273,32 +281,35 @@ def scored(docs: DataFrame, model: HashArrays) -> DataFrame:
                 fresh = list({w for x, words in zip(langs, lowered) if x == lang for w in words if w not in memory})
                 scores = arrays_.score(lang, fresh).tolist() if fresh else []
                 memory.update((w, 0.0 if _DIGIT(w) else p) for w, p in zip(fresh, scores))
+            own = body[starts[0] : starts[-1]]
+            chars = _per_text(((own & 0xC0) != 0x80) & ~_BLANK[own], starts - starts[0]).tolist()
+            symbols = _per_text(_SYMBOL[own], starts - starts[0]).tolist()
             rows = []
-            for lang, part, words, low in zip(langs, parts, split, lowered):
+            for lang, part, words, low, n_chars, n_symbols in zip(langs, parts, split, lowered, chars, symbols):
                 lines = [x for x in part.split(b"\n") if x.strip(b" \t\x0b\x0c\r")]
-                rows.append((len(words), len(lines) - len(set(lines)), repeated_words(words), _cost(known[lang], low)))
+                rows.append((len(words), n_chars, n_symbols, len(lines) - len(set(lines)), repeated_words(words), _cost(known[lang], low)))
             return rows
 
         for batch in batches:
             if not batch.num_rows:
                 continue
             body, starts = utf8(batch.column(1))
-            chars = _per_text(((body & 0xC0) != 0x80) & ~_BLANK[body], starts)
-            symbols = _per_text(_SYMBOL[body], starts)
             rows = []
             langs = batch.column(2).to_pylist()
-            for at in range(0, len(langs), 200):  # few texts at a time are in words
-                rows += measure(body, starts[at : at + 201], langs[at : at + 200])
-            n_words, dup, rep, cost = zip(*rows)
-            columns = [batch.column(0), batch.column(2), *[pa.array(x, pa.int64()) for x in (n_words, chars, symbols, dup, rep)], pa.array(cost, pa.float64())]
+            for at, end in _parts(starts):  # few texts at a time are in words
+                rows += measure(body, starts[at : end + 1], langs[at:end])
+            *counts, cost = zip(*rows)
+            columns = [batch.column(0), batch.column(2), *[pa.array(x, pa.int64()) for x in counts], pa.array(cost, pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "cost"])
 
-    return _with_lang(docs).mapInArrow(run, f"doc_id long, lang string, {_BASE}, cost double")
+    rows = materialize(_with_lang(docs).mapInArrow(run, f"doc_id long, lang string, {_BASE}, cost double"), "scored")
+    shared.destroy()
+    return rows
 
 
 def quality_rules(docs: DataFrame, width: float = WIDTH) -> DataFrame:
     """The base counts, ``base_failed``, ``cost``, the language's band (``low, high``) and ``kept`` for each document."""
-    rows = materialize(scored(docs, arrays(train(docs))), "scored")
+    rows = scored(docs, arrays(train(docs)))
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed)
     quartiles = rows.filter(F.col("cost").isNotNull()).groupBy("lang").agg(F.percentile_approx("cost", [0.25, 0.75], 10_000).alias("_q"))
