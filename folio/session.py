@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Paths written in the innermost ``scratch`` block of this thread.
+_SCRATCH: ContextVar[list[str] | None] = ContextVar("scratch", default=None)
+
 
 def build_session(app: str = "folio", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs rely on; ``conf`` adds or overrides settings.
@@ -53,10 +59,38 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{_work_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def drop_work(spark: SparkSession) -> None:
     """Delete the intermediate tables of this application, once nothing reads them any more."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_work_root(spark))
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    _delete(spark, _work_root(spark))
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """Tables materialized inside are deleted at the end; the function it gives writes one that stays.
+
+    What leaves the block must be such a table or values on the driver, not a plan over a deleted table.
+    """
+    outer, own = _SCRATCH.get(), []
+    _SCRATCH.set(own)
+
+    def keep(df: DataFrame, label: str) -> DataFrame:
+        _SCRATCH.set(outer)
+        try:
+            return materialize(df, label)
+        finally:
+            _SCRATCH.set(own)
+
+    try:
+        yield keep
+    finally:
+        _SCRATCH.set(outer)
+        for path in own:
+            _delete(spark, path)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
@@ -66,5 +100,7 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     executors that produced it.
     """
     path = work_path(df.sparkSession, label)
+    if (written := _SCRATCH.get()) is not None:
+        written.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
