@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.base import forget, texts
-from folio.session import materialize
+from folio.session import materialize, scratch
 
 BLOCK_ITEMS = 256
 WINDOW, STRIDE = 64, 32
@@ -429,7 +429,9 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     at = docs.columns.index("text")
     rows, with_id = docs, docs.select(F.lit(0).alias("doc_id"), "text")
     for block in blocks(benchmark):
-        sent = docs.sparkSession.sparkContext.broadcast((block, *_finder(numbered(with_id, block), block)))
+        with scratch(docs.sparkSession):
+            found = _finder(numbered(with_id, block), block)
+        sent = docs.sparkSession.sparkContext.broadcast((block, *found))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             state: dict = {}

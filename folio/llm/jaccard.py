@@ -20,7 +20,7 @@ text. An empty table gives an empty result; columns other than ``doc_id`` and ``
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from folio.llm.base import arrow_map, forget, texts, words_of
 from folio.llm.components import components
-from folio.session import materialize
+from folio.session import materialize, scratch
 
 SKETCH_BITS = 20
 #: Lists of more classes are long in the search across components.
@@ -234,28 +234,40 @@ def jaccard_classes(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFr
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     c = F.col
     rows = materialize(short_lists(docs, size, percent, frequency_sketch(docs, size)), "short")
-    classes = rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("_least"), F.first("n").alias("n"), F.count("*").alias("_copies"))
-    classes = materialize(classes, "classes")
-    # Rows of one class have the same lists.
-    postings = rows.filter("n > 0").dropDuplicates(["key"]).select("key", "n", F.explode("short").alias("h"))
-    often = postings.groupBy("h").agg(F.count("*").alias("_in_list")).filter("_in_list > 1")
-    lists = materialize(postings.join(often, "h"), "lists")
-    by_class = classes.select("key", c("_least").alias("doc_id"))
-    pairs = materialize(_leading_pairs(lists, percent), "pairs")
-    links = materialize(holding(pairs, _needed(docs, size, pairs, by_class), percent), "links")
-    roots = materialize(components(links), "roots")
-    pairs = materialize(_search(lists, roots, percent), "pairs")
-    more = materialize(holding(pairs, _needed(docs, size, pairs, by_class), percent), "links")
-    if not more.isEmpty():
-        roots = materialize(components(links.union(more)), "roots")
-    grouped = classes.select("key", "_least").join(roots.select(c("node").alias("key"), "root"), "key")
-    least = grouped.groupBy("root").agg(F.min("_least").alias("_component"))
-    member = grouped.join(least, "root").select("key", "_component")
-    per_class = classes.select("key", "_least").join(member, "key", "left").select("key", F.coalesce("_component", "_least").alias("component_id"))
-    out = rows.select("doc_id", c("n").alias("n_shingles"), "key").join(per_class, "key", "left")
+    out = rows.select("doc_id", c("n").alias("n_shingles"), "key").join(_members(rows, docs, size, percent), "key", "left")
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
+def _members(rows: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """``key, component_id`` of every class, from the rows of ``short_lists``."""
+    c = F.col
+    with scratch(docs.sparkSession) as keep:
+        classes = rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("_least"), F.first("n").alias("n"), F.count("*").alias("_copies"))
+        classes = materialize(classes, "classes")
+        # Rows of one class have the same lists.
+        postings = rows.filter("n > 0").dropDuplicates(["key"]).select("key", "n", F.explode("short").alias("h"))
+        often = postings.groupBy("h").agg(F.count("*").alias("_in_list")).filter("_in_list > 1")
+        lists = materialize(postings.join(often, "h"), "lists")
+        by_class = classes.select("key", c("_least").alias("doc_id"))
+        links = _holding(lambda: _leading_pairs(lists, percent), docs, size, percent, by_class)
+        roots = materialize(components(links), "roots")
+        more = _holding(lambda: _search(lists, roots, percent), docs, size, percent, by_class)
+        if not more.isEmpty():
+            roots = materialize(components(links.union(more)), "roots")
+        grouped = classes.select("key", "_least").join(roots.select(c("node").alias("key"), "root"), "key")
+        least = grouped.groupBy("root").agg(F.min("_least").alias("_component"))
+        member = grouped.join(least, "root").select("key", "_component")
+        per_class = classes.select("key", "_least").join(member, "key", "left")
+        return keep(per_class.select("key", F.coalesce("_component", "_least").alias("component_id")), "members")
+
+
+def _holding(candidates: Callable[[], DataFrame], docs: DataFrame, size: int, percent: int, by_class: DataFrame) -> DataFrame:
+    """The candidate pairs that hold; what was written to check them goes."""
+    with scratch(docs.sparkSession) as keep:
+        pairs = materialize(candidates(), "pairs")
+        return keep(holding(pairs, _needed(docs, size, pairs, by_class), percent), "links")
+
+
 def _leading_pairs(lists: DataFrame, percent: int) -> DataFrame:
     """Each class with the least class of a list and size band, for lists in which the two meet often."""
     step = F.log(F.lit(100.0 / percent))

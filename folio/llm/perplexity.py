@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from folio.llm.base import forget, utf8
-from folio.session import materialize
+from folio.session import materialize, scratch
 
 ORDER = 5
 START, END = 2, 3
@@ -309,7 +309,9 @@ def scored(docs: DataFrame, model: HashArrays) -> DataFrame:
 
 def quality_rules(docs: DataFrame, width: float = WIDTH) -> DataFrame:
     """The base counts, ``base_failed``, ``cost``, the language's band (``low, high``) and ``kept`` for each document."""
-    rows = scored(docs, arrays(train(docs)))
+    with scratch(docs.sparkSession):
+        model = arrays(train(docs))
+    rows = scored(docs, model)
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed)
     quartiles = rows.filter(F.col("cost").isNotNull()).groupBy("lang").agg(F.percentile_approx("cost", [0.25, 0.75], 10_000).alias("_q"))
