@@ -2,10 +2,11 @@
 
 The model is a modified Kneser-Ney model of the bytes of a word between a start and an end mark, trained on all
 documents of a language: Spark counts words, then n-grams of words, then distinct left extensions for
-the lower orders, and derives discounts, interpolated probabilities and back-off weights by joins. Tasks get
-it as arrays sorted by a 64-bit hash of (language, order, n-gram), searched by bisection. The arrays hold at
-most ``BUCKETS * SLOTS`` entries whatever the corpus: within a bucket of hashes the most frequent stay, an
-n-gram that had to go is treated as unseen and backs off.
+the lower orders, and derives discounts and interpolated probabilities by joins. Every word that is scored was counted,
+so its n-grams of the highest order are all in the model, and it never backs off. Tasks hold the most frequent
+n-grams in memory, ``HELD`` at most, as sorted arrays searched by bisection. Words with any other n-gram are scored
+once each by a join with the whole table of n-grams, and their scores joined to the documents they occur in.
+None of these joins has a hot key, since what is frequent is held.
 
 A document's score is its mean negative log probability a byte, over its words without digits (numbers, keys and
 addresses are no evidence about the language). Scores of a language are summed up by
@@ -20,11 +21,12 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.base import forget, utf8
@@ -32,7 +34,7 @@ from folio.session import materialize, scratch
 
 ORDER = 5
 START, END = 2, 3
-BUCKETS, SLOTS = 1 << 20, 4
+HELD = 1 << 21
 WIDTH, LEAST_SPREAD = 3.0, 0.15
 _ROOM = 300_000
 
@@ -100,14 +102,14 @@ def count_grams(words: DataFrame) -> DataFrame:
     return words.mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-def train(docs: DataFrame) -> DataFrame:
-    """``lang, k, gram, n, logp, backoff`` for orders 1 to ``ORDER``: probability of a gram's last byte after the others."""
+def fit(words: DataFrame) -> list[DataFrame]:
+    """For orders 1 to ``ORDER``, from counted words: ``lang, gram, n, p``, the probability of a gram's last byte after the others."""
     c = F.col
-    counted = [materialize(count_grams(count_words(docs)), "grams")]
+    counted = [materialize(count_grams(words), "grams")]
     for k in range(ORDER - 1, 0, -1):  # distinct left extensions
         inner = c("gram").bitwiseAND(F.lit((1 << 8 * k) - 1))
         counted.insert(0, materialize(counted[0].groupBy("lang", inner.alias("gram")).agg(F.count("*").alias("n")), "grams"))
-    lower, out = None, None
+    out: list[DataFrame] = []
     for k, grams in enumerate(counted, 1):
         of = grams.groupBy("lang").agg(*[F.sum((c("n") == i).cast("double")).alias(f"_n{i}") for i in range(1, 5)])
         y = c("_n1") / F.greatest(c("_n1") + 2 * c("_n2"), F.lit(1.0))
@@ -122,93 +124,85 @@ def train(docs: DataFrame) -> DataFrame:
         around = rows.groupBy("lang", "_h").agg(F.sum("n").alias("_sum"), F.sum("_cut").alias("_free"))
         rows = rows.join(around, ["lang", "_h"])
         own, free = (c("n") - c("_cut")) / c("_sum"), c("_free") / c("_sum")
-        if lower is None:
+        if not out:
             rows = rows.withColumn("p", own + free / 256.0)
         else:
-            below = lower.select("lang", c("gram").alias("_low"), c("p").alias("_below"))
+            below = out[-1].select("lang", c("gram").alias("_low"), c("p").alias("_below"))
             rows = rows.withColumn("_low", c("gram").bitwiseAND(F.lit((1 << 8 * (k - 1)) - 1))).join(below, ["lang", "_low"])
             rows = rows.withColumn("p", own + free * c("_below"))
-        lower = materialize(rows.select("lang", "gram", "n", "p"), "model")
-        weights = materialize(around.select("lang", c("_h").alias("gram"), F.log(c("_free") / c("_sum")).alias("backoff")), "backoff")
-        found = lower.select("lang", F.lit(k).alias("k"), "gram", "n", F.log("p").alias("logp"), F.lit(0.0).alias("backoff"))
-        behind = weights.select("lang", F.lit(k - 1).alias("k"), "gram", F.lit(0).cast("long").alias("n"), F.lit(None).cast("double").alias("logp"), "backoff")
-        out = found.union(behind) if out is None else out.union(found).union(behind)
-    # A context is a gram of the order below: one row for both; a padded context may be no gram itself.
-    return out.groupBy("lang", "k", "gram").agg(F.max("n").alias("n"), F.max("logp").alias("logp"), F.min("backoff").alias("backoff"))
-
-
-def _keys(lang: int, k: int, grams: np.ndarray) -> np.ndarray:
-    """Hash of (language, order, gram): a multiply-and-shift mix of 64 bits."""
-    with np.errstate(over="ignore"):
-        x = grams.astype(np.uint64) + np.uint64((k * 0x9E3779B97F4A7C15 + lang * 0xD1B54A32D192ED03) & (2**64 - 1))
-        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        return (x ^ (x >> np.uint64(31))).view(np.int64)
-
+        out.append(materialize(rows.select("lang", "gram", "n", "p"), "model"))
+    return out
 
-def _lang_number(lang: str) -> int:
-    import zlib
 
-    return zlib.crc32(lang.encode())
+def train(docs: DataFrame) -> DataFrame:
+    """``lang, k, gram, n, logp`` for orders 1 to ``ORDER``."""
+    orders = [x.select("lang", F.lit(k).alias("k"), "gram", "n", F.log("p").alias("logp")) for k, x in enumerate(fit(count_words(docs)), 1)]
+    return reduce(DataFrame.union, orders)
 
 
-class HashArrays:
-    """The model as arrays sorted by hash."""
+class HeldGrams:
+    """N-grams in memory, sorted by language and bytes; a gram has 40 bits, so the keys are exact."""
 
-    def __init__(self, keys: np.ndarray, logp: np.ndarray, backoff: np.ndarray):
-        if (keys[1:] < keys[:-1]).any():
-            order = np.argsort(keys, kind="stable")
-            keys, logp, backoff = keys[order], logp[order], backoff[order]
-        self.keys, self.logp, self.backoff = keys, logp.astype(np.float32, copy=False), backoff.astype(np.float32, copy=False)
+    def __init__(self, langs: dict[str, int], keys: np.ndarray, logp: np.ndarray):
+        self.langs, self.keys, self.logp = langs, keys, logp
 
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """Places of ``keys``, -1 where absent."""
-        if not len(self.keys):
-            return np.full(len(keys), -1)
+    def find(self, lang: str, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Log probability of each gram, 0 where it is not held; and whether it is."""
+        if lang not in self.langs:
+            return np.zeros(len(grams)), np.zeros(len(grams), bool)
+        keys = grams | self.langs[lang] << 8 * ORDER
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return np.where(self.keys[at] == keys, at, -1)
+        held = self.keys[at] == keys
+        return np.where(held, self.logp[at], 0.0), held
 
     def score(self, lang: str, words: list[bytes]) -> np.ndarray:
-        """Log probability of each word with its end mark."""
+        """Log probability of each word with its end mark, nan where a gram of it is not held."""
         packed, owner = _grams(words)
-        number = _lang_number(lang)
-        total = np.zeros(len(packed))
-        open_ = np.arange(len(packed))
-        for k in range(ORDER, 0, -1):
-            grams = packed[open_] & ((1 << 8 * k) - 1)
-            at = self.find(_keys(number, k, grams))
-            seen = (at >= 0) & ~np.isnan(self.logp[at]) if len(self.keys) else np.zeros(len(at), bool)
-            total[open_[seen]] += self.logp[at[seen]]
-            open_, grams = open_[~seen], grams[~seen]
-            at = self.find(_keys(number, k - 1, grams >> 8))
-            known = at >= 0
-            total[open_[known]] += self.backoff[at[known]]
-        total[open_] += -np.log(256.0)
-        return np.bincount(owner, total, len(words))
-
-
-def arrays(model: DataFrame) -> HashArrays:
-    """The bounded arrays of a model: at most ``SLOTS`` entries in each of ``BUCKETS`` buckets, by count."""
+        logp, held = self.find(lang, packed)
+        return np.bincount(owner, np.where(held, logp, np.nan), len(words))
+
+
+def held_grams(top: DataFrame, room: int) -> tuple[HeldGrams, bool]:
+    """The most frequent of the grams, ``room`` at most; and whether these are all."""
+    level = F.floor(F.log2("n") * 4)
+    least, size, whole = None, 0, True
+    for r in sorted(top.groupBy(level.alias("level")).count().collect(), reverse=True):
+        if size + r["count"] > room:
+            whole = False
+            break
+        least, size = r["level"], size + r["count"]
+    if least is None:
+        return HeldGrams({}, np.zeros(0, np.int64), np.zeros(0)), whole
+    table = top.filter(level >= least).select("lang", "gram", F.log("p").alias("logp")).toArrow()
+    lang = table.column("lang").cast(pa.string()).combine_chunks().dictionary_encode()
+    keys = table.column("gram").to_numpy() | lang.indices.to_numpy().astype(np.int64) << 8 * ORDER
+    order = np.argsort(keys)
+    return HeldGrams({x: k for k, x in enumerate(lang.dictionary.to_pylist())}, keys[order], table.column("logp").to_numpy()[order]), whole
+
+
+def rare_words(words: DataFrame, top: DataFrame, shared) -> DataFrame:
+    """``lang, word, logp`` of the words that hold a gram which ``shared`` has not, each by a join with all grams."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        numbers: dict[str, int] = {}
+        forget()
+        held = HeldGrams(*shared.value)
         for batch in batches:
-            langs = np.array([numbers.setdefault(x, _lang_number(x)) for x in batch.column(0).to_pylist()], np.int64)
-            k, grams = batch.column(1).to_numpy(zero_copy_only=False), batch.column(2).to_numpy(zero_copy_only=False)
-            keys = np.zeros(len(k), np.int64)
-            for lang in np.unique(langs):
-                for order in np.unique(k[langs == lang]):
-                    here = (langs == lang) & (k == order)
-                    keys[here] = _keys(int(lang), int(order), grams[here])
-            yield pa.RecordBatch.from_arrays([pa.array(keys), batch.column(3), batch.column(4), batch.column(5)], ["key", "n", "logp", "backoff"])
-
-    keyed = model.select("lang", "k", "gram", "n", "logp", "backoff").mapInArrow(run, "key long, n long, logp double, backoff double")
-    best = Window.partitionBy(F.pmod("key", F.lit(BUCKETS))).orderBy(F.col("n").desc(), "key")
-    kept = keyed.withColumn("_at", F.row_number().over(best)).filter(F.col("_at") <= SLOTS)
-    table = kept.select("key", F.col("logp").cast("float"), F.coalesce("backoff", F.lit(0.0)).cast("float").alias("backoff")).toArrow()
-    column = lambda name: table.column(name).to_numpy()
-    logp = table.column("logp").to_pandas().to_numpy(dtype=np.float32, na_value=np.nan)
-    return HashArrays(column("key"), logp, column("backoff"))
+            langs = np.array(batch.column(1).to_pylist(), object)
+            for lang in sorted(set(langs)):
+                at = np.flatnonzero(langs == lang)
+                packed, owner = _grams([batch.column(2)[int(k)].as_py() for k in at])
+                logp, found = held.find(lang, packed)
+                part, missing = np.bincount(owner, logp, len(at)), np.bincount(owner[~found], minlength=len(at))
+                rare = missing > 0
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(missing[rare])]), pa.int32()), pa.array(packed[~found]))
+                own = batch.take(pa.array(at[rare]))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(part[rare]), lists], ["_word", "lang", "word", "part", "grams"])
+
+    numbered = words.select(F.monotonically_increasing_id().alias("_word"), "lang", "word")
+    rare = materialize(numbered.mapInArrow(run, "_word long, lang string, word binary, part double, grams array<long>"), "rare_words")
+    pairs = rare.select("_word", "lang", F.explode("grams").alias("gram")).join(top.select("lang", "gram", F.log("p").alias("logp")), ["lang", "gram"])
+    sums = pairs.groupBy("_word").agg(F.sum("logp").alias("logp"))
+    return materialize(rare.join(sums, "_word").select("lang", "word", (F.col("part") + F.col("logp")).alias("logp")), "word_scores")
 
 
 _DIGIT = re.compile(rb"[0-9]").search
@@ -250,24 +244,26 @@ def _per_text(flags: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return (sums[starts[1:]] - sums[starts[:-1]]).astype(np.int64)
 
 
-def _cost(memory: dict[bytes, float], words: list[bytes]) -> float | None:
-    """``memory`` has 0 for a word with a digit; such words don't count."""
+def _cost(memory: dict[bytes, float], words: list[bytes]) -> tuple[float, int, Counter]:
+    """Sum over the words that count, their size, and those of them that ``memory`` has as nan; it has 0 for a word with a digit, which doesn't count."""
     found = list(map(memory.__getitem__, words))
     size = sum(len(w) + 1 for w, p in zip(words, found) if p)
-    return -sum(found) / size if size else None
+    total, rare = sum(found), Counter()
+    if total != total:
+        rare.update(w for w, p in zip(words, found) if p != p)
+        total = sum(p for p in found if p == p)
+    return total, size, rare
 
 
 _BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
-def scored(docs: DataFrame, model: HashArrays) -> DataFrame:
+def scored(docs: DataFrame, shared, rare: DataFrame | None, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """``doc_id, lang``, the base counts and ``cost`` (mean negative log probability a byte, null without words free of digits), written once."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.keys, model.logp, model.backoff))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
-        arrays_ = HashArrays(*shared.value)
+        held = HeldGrams(*shared.value)
         known: dict[str, dict[bytes, float]] = {}
 
         def measure(body: np.ndarray, starts: np.ndarray, langs: list[str]) -> list[tuple]:
@@ -279,7 +275,7 @@ def scored(docs: DataFrame, model: HashArrays) -> DataFrame:
                 if len(memory) * len(known) > _ROOM:
                     memory.clear()
                 fresh = list({w for x, words in zip(langs, lowered) if x == lang for w in words if w not in memory})
-                scores = arrays_.score(lang, fresh).tolist() if fresh else []
+                scores = held.score(lang, fresh).tolist() if fresh else []
                 memory.update((w, 0.0 if _DIGIT(w) else p) for w, p in zip(fresh, scores))
             own = body[starts[0] : starts[-1]]
             chars = _per_text(((own & 0xC0) != 0x80) & ~_BLANK[own], starts - starts[0]).tolist()
@@ -287,7 +283,7 @@ def scored(docs: DataFrame, model: HashArrays) -> DataFrame:
             rows = []
             for lang, part, words, low, n_chars, n_symbols in zip(langs, parts, split, lowered, chars, symbols):
                 lines = [x for x in part.split(b"\n") if x.strip(b" \t\x0b\x0c\r")]
-                rows.append((len(words), n_chars, n_symbols, len(lines) - len(set(lines)), repeated_words(words), _cost(known[lang], low)))
+                rows.append((len(words), n_chars, n_symbols, len(lines) - len(set(lines)), repeated_words(words), *_cost(known[lang], low)))
             return rows
 
         for batch in batches:
@@ -298,20 +294,33 @@ def scored(docs: DataFrame, model: HashArrays) -> DataFrame:
             langs = batch.column(2).to_pylist()
             for at, end in _parts(starts):  # few texts at a time are in words
                 rows += measure(body, starts[at : end + 1], langs[at:end])
-            *counts, cost = zip(*rows)
-            columns = [batch.column(0), batch.column(2), *[pa.array(x, pa.int64()) for x in counts], pa.array(cost, pa.float64())]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "lang", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "cost"])
-
-    rows = materialize(_with_lang(docs).mapInArrow(run, f"doc_id long, lang string, {_BASE}, cost double"), "scored")
-    shared.destroy()
-    return rows
+            *counts, part, size, rare_ = zip(*rows)
+            columns = [batch.column(3), batch.column(0), batch.column(2), *[pa.array(x, pa.int64()) for x in counts], pa.array(part, pa.float64()), pa.array(size, pa.int64())]
+            columns += [pa.array([list(x) for x in rare_], pa.list_(pa.binary())), pa.array([list(x.values()) for x in rare_], pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = f"_row long, doc_id long, lang string, {_BASE}, part double, size long, rare array<binary>, times array<long>"
+    names = [x.split()[0] for x in schema.split(", ")]
+    rows = _with_lang(docs).withColumn("_row", F.monotonically_increasing_id()).mapInArrow(run, schema)
+    part = F.col("part")
+    if rare is not None:
+        rows = materialize(rows, "parts")
+        pairs = rows.select("_row", "lang", F.explode(F.arrays_zip("rare", "times")).alias("_x")).select("_row", "lang", F.col("_x.rare").alias("word"), F.col("_x.times").alias("times"))
+        sums = pairs.join(rare, ["lang", "word"]).groupBy("_row").agg(F.sum(F.col("times") * F.col("logp")).alias("_rest"))
+        rows, part = rows.join(sums, "_row", "left"), part + F.coalesce("_rest", F.lit(0.0))
+    cost = F.when(F.col("size") > 0, -part / F.col("size"))
+    return keep(rows.select("doc_id", "lang", *[x.split()[0] for x in _BASE.split(", ")], cost.alias("cost")), "scored")
 
 
 def quality_rules(docs: DataFrame, width: float = WIDTH) -> DataFrame:
     """The base counts, ``base_failed``, ``cost``, the language's band (``low, high``) and ``kept`` for each document."""
-    with scratch(docs.sparkSession):
-        model = arrays(train(docs))
-    rows = scored(docs, model)
+    with scratch(docs.sparkSession) as keep:
+        words = materialize(count_words(docs), "words")
+        top = fit(words)[-1]
+        held, whole = held_grams(top, HELD)
+        shared = docs.sparkSession.sparkContext.broadcast((held.langs, held.keys, held.logp))
+        rows = scored(docs, shared, None if whole else rare_words(words, top, shared), keep)
+        shared.destroy()
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed)
     quartiles = rows.filter(F.col("cost").isNotNull()).groupBy("lang").agg(F.percentile_approx("cost", [0.25, 0.75], 10_000).alias("_q"))

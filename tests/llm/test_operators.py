@@ -179,6 +179,18 @@ def test_model_probabilities_add_up(docs):
         assert np.exp(part.logp).sum() <= 1 + 1e-9
 
 
+def test_every_counted_gram_is_scored(spark, monkeypatch):
+    monkeypatch.setattr(perplexity, "HELD", 100_000, raising=False)
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(8)) for _ in range(50)) for _ in range(1200)]
+    docs = frame(spark, [(k, t, "en") for k, t in enumerate(texts)] + [(5000, f"{texts[0]} {texts[0][:8]}", "en"), (5001, "xq zj", "la")])
+    logp = {(r.lang, r.gram): r.logp for r in perplexity.train(docs).filter(f"k = {perplexity.ORDER}").collect()}
+    for r in perplexity.quality_rules(docs).join(docs.select("doc_id", "text"), "doc_id").collect():
+        words = [w.encode() for w in r.text.split()]
+        packed, _ = perplexity._grams(words)
+        assert r.cost == pytest.approx(-sum(logp[r.lang, g] for g in packed.tolist()) / len(packed), abs=1e-4)
+
+
 def test_repeats(docs, none):
     texts = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
     count = Counter(t[q : q + 400] for _, t in texts for q in range(len(t) - 399))
