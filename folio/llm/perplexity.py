@@ -8,8 +8,8 @@ n-grams in memory, ``HELD`` at most, as sorted arrays searched by bisection. Wor
 once each by a join with the whole table of n-grams, and their scores joined to the documents they occur in.
 None of these joins has a hot key, since what is frequent is held.
 
-A document's score is its mean negative log probability a byte, over its words without digits (numbers, keys and
-addresses are no evidence about the language). Scores of a language are summed up by
+A document's score is its mean negative log probability a byte, over all its words. All digits count as the same
+byte, so that a number costs what its shape does, in training as in scoring. Scores of a language are summed up by
 their quartiles; a document outside ``[q1 - width * spread, q3 + width * spread]`` is rejected, with the spread
 at least ``LEAST_SPREAD`` so that a language of copies keeps its variants.
 
@@ -19,7 +19,6 @@ rows each get the same result, an empty table none; columns other than ``doc_id,
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from functools import reduce
@@ -37,6 +36,8 @@ START, END = 2, 3
 HELD = 1 << 21
 WIDTH, LEAST_SPREAD = 3.0, 0.15
 _ROOM = 300_000
+# A-Z in lower case, and one class byte for all digits.
+_FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", b"abcdefghijklmnopqrstuvwxyz0000000000")
 
 
 def _with_lang(docs: DataFrame) -> DataFrame:
@@ -76,7 +77,7 @@ def count_words(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for k, (text, lang) in enumerate(zip(batch.column(0), batch.column(1).to_pylist())):
-                held.setdefault(lang, Counter()).update(text.as_py().encode().lower().split())
+                held.setdefault(lang, Counter()).update(text.as_py().encode().translate(_FOLD).split())
                 if k % 64 == 0 and sum(map(len, held.values())) > _ROOM // 2:
                     yield from flush()
         yield from flush()
@@ -205,7 +206,6 @@ def rare_words(words: DataFrame, top: DataFrame, shared) -> DataFrame:
     return materialize(rare.join(sums, "_word").select("lang", "word", (F.col("part") + F.col("logp")).alias("logp")), "word_scores")
 
 
-_DIGIT = re.compile(rb"[0-9]").search
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, 9, 10, 11, 12, 13]] = True
 _SYMBOL = np.zeros(256, bool)
@@ -245,9 +245,9 @@ def _per_text(flags: np.ndarray, starts: np.ndarray) -> np.ndarray:
 
 
 def _cost(memory: dict[bytes, float], words: list[bytes]) -> tuple[float, int, Counter]:
-    """Sum over the words that count, their size, and those of them that ``memory`` has as nan; it has 0 for a word with a digit, which doesn't count."""
+    """Sum of the words' values, their size, and those of them that ``memory`` has as nan, which the sum leaves out."""
     found = list(map(memory.__getitem__, words))
-    size = sum(len(w) + 1 for w, p in zip(words, found) if p)
+    size = sum(map(len, words)) + len(words)
     total, rare = sum(found), Counter()
     if total != total:
         rare.update(w for w, p in zip(words, found) if p != p)
@@ -259,7 +259,7 @@ _BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repe
 
 
 def scored(docs: DataFrame, shared, rare: DataFrame | None, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """``doc_id, lang``, the base counts and ``cost`` (mean negative log probability a byte, null without words free of digits), written once."""
+    """``doc_id, lang``, the base counts and ``cost`` (mean negative log probability a byte, null without words), written once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
@@ -269,14 +269,14 @@ def scored(docs: DataFrame, shared, rare: DataFrame | None, keep: Callable[[Data
         def measure(body: np.ndarray, starts: np.ndarray, langs: list[str]) -> list[tuple]:
             parts = [body[a:b].tobytes() for a, b in zip(starts, starts[1:])]
             split = [x.split() for x in parts]
-            lowered = [[w.lower() for w in words] for words in split]
+            lowered = [[w.translate(_FOLD) for w in words] for words in split]
             for lang in set(langs):
                 memory = known.setdefault(lang, {})
                 if len(memory) * len(known) > _ROOM:
                     memory.clear()
                 fresh = list({w for x, words in zip(langs, lowered) if x == lang for w in words if w not in memory})
                 scores = held.score(lang, fresh).tolist() if fresh else []
-                memory.update((w, 0.0 if _DIGIT(w) else p) for w, p in zip(fresh, scores))
+                memory.update(zip(fresh, scores))
             own = body[starts[0] : starts[-1]]
             chars = _per_text(((own & 0xC0) != 0x80) & ~_BLANK[own], starts - starts[0]).tolist()
             symbols = _per_text(_SYMBOL[own], starts - starts[0]).tolist()

@@ -191,6 +191,22 @@ def test_every_counted_gram_is_scored(spark, monkeypatch):
         assert r.cost == pytest.approx(-sum(logp[r.lang, g] for g in packed.tolist()) / len(packed), abs=1e-4)
 
 
+def test_words_with_digits_are_scored(spark):
+    rng = random.Random(12)
+    syllables = "ba ce di fo gu ka le mi no pu ra se ti vo".split()
+    known = ["".join(rng.choice(syllables) for _ in range(rng.randint(1, 4))) for _ in range(120)]
+    prose = lambda n: [rng.choice(known) for _ in range(n)]
+    rows = [(k, " ".join(prose(80) + [str(rng.randrange(10 ** rng.randint(1, 4))) for _ in range(k % 4)]), "en") for k in range(400)]
+    key = lambda letters, n: "".join(rng.choice(letters) for _ in range(n))
+    kinds = ["0123456789abcdef", "0123456789", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"]
+    rows += [(1000 + k, " ".join("7" + key(letters, 31) for _ in range(20)), "en") for k, letters in enumerate(kinds)]
+    rows += [(1010, " ".join("-".join(key(kinds[0], n) for n in (8, 4, 4, 4, 12)) + "0" for _ in range(20)), "en")]
+    out = {r.doc_id: r for r in perplexity.quality_rules(frame(spark, rows)).collect()}
+    assert all(r.cost is not None and not r.base_failed for r in out.values())
+    assert all(r.kept for k, r in out.items() if k < 1000)
+    assert not out[1000].kept and not out[1010].kept
+
+
 def test_repeats(docs, none):
     texts = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
     count = Counter(t[q : q + 400] for _, t in texts for q in range(len(t) - 399))
