@@ -8,7 +8,9 @@ written once as numbers; then:
 2. Tasks add up ``A'A R`` for the TF-IDF matrix A of all passages, its words the block's, and random R; from the
    sum the driver gets the leading right singular vectors (Nystrom form of the randomised SVD). The
    sum has one row for each word of the block, whatever the corpus.
-3. Overlapping passages of all documents are projected and compared with the projected items by cosine.
+3. Overlapping passages of all documents are projected and compared with the projected items by cosine. Passages
+   around which enough of an item's active words lie are candidates whatever their cosine, and items that can be
+   held without any active word are looked for by all their words, so no item held is missed for its context.
    For each candidate around which enough of the item's words lie, in any order, the longest common
    subsequence of words is found bit-parallel. A
    document holds an item when the subsequence covers ``COVER`` of it, and half of its answer (the words of
@@ -280,8 +282,44 @@ class LeakFinder:
             self.place[k, own] = np.arange(len(own))
             np.add.at(self.often[k], self.place[k, item], 1)
         self.queries = (q / np.maximum(np.linalg.norm(q, axis=1, keepdims=True), 1e-12)).T.copy()
-        # Items without an active word have no direction; they are looked for by their words alone.
-        self.plain = [k for k, item in enumerate(block.items) if not any(self.active[t] for t in item)]
+        # The least words of an item that a text holding it shares with it, and the least active words among these.
+        self.cover = np.where(self.sizes < SHORT, self.sizes, np.ceil(COVER * self.sizes - 1e-9)).astype(np.int64)
+        self.need = self.cover - np.array([sum(not self.active[t] for t in item) for item in block.items])
+        # Weak items can be held without any active word; they are looked for by all their words.
+        self.weak, self.strong = np.flatnonzero(self.need <= 0), np.flatnonzero(self.need > 0)
+        self.shared = (self.place[self.strong, :-1].T >= 0) & self.active[:, None]
+        self.member = self.place[self.weak].T >= 0
+
+    @staticmethod
+    def around(own: np.ndarray, words: int, size: int, need: int) -> np.ndarray:
+        """Starts of the windows around which at least ``need`` of the places ``own`` lie, for an item of ``size`` words."""
+        starts = np.arange(0, max(1, words - WINDOW + STRIDE), STRIDE)
+        return starts[np.searchsorted(own, starts + WINDOW + size) - np.searchsorted(own, starts - size) >= need]
+
+    def by_words(self, held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Text, window start and item wherever the active words leave a long enough subsequence possible, whatever the cosine."""
+        rows, starts, items = [], [], []
+        for k, (_, ids, places, terms) in enumerate(held):
+            there = self.shared[terms]
+            for q in np.flatnonzero(np.count_nonzero(there, axis=0) >= self.need[self.strong]).tolist():
+                item = self.strong[q]
+                at = self.around(places[there[:, q]], len(ids), self.sizes[item], self.need[item])
+                rows.append(np.full(len(at), k))
+                starts.append(at)
+                items.append(np.full(len(at), item))
+        return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, starts, items))
+
+    def cosine(self, item: int, ids: np.ndarray) -> float:
+        """Highest cosine of a text's windows with an item, 0 without active words."""
+        best = 0.0
+        for _, _, places, terms in _tokens([ids], self.active):
+            _, low, high = _window_rows(places, len(ids), WINDOW, STRIDE)
+            sums = np.zeros((len(terms) + 1, self.space.shape[1]), np.float32)
+            np.cumsum(self.space[terms], axis=0, out=sums[1:])
+            v = sums[high] - sums[low]
+            near = v @ self.queries[:, self.owner == item] / np.maximum(np.linalg.norm(v, axis=1, keepdims=True), 1e-12)
+            best = max(best, float(near.max()))
+        return best
 
     def candidates(self, held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Text, window start, item and cosine of near windows, for texts as ``_tokens`` gives them."""
@@ -348,7 +386,10 @@ class LeakFinder:
         out, held, size = [], [], 0
 
         def settle():
-            rows, starts, items, cosine = self.candidates(held)
+            rows, starts, items, _ = self.candidates(held)
+            strong = self.need[items] > 0
+            rows, starts, items = (np.concatenate(x) for x in zip((rows[strong], starts[strong], items[strong]), self.by_words(held)))
+            rows, starts, items = np.unique(np.stack([rows, starts, items]), axis=1)
             long = self.bounds(held, rows, starts, items) >= COVER * self.sizes[items]
             near: dict[tuple[int, int], list[int]] = {}
             for k, item, start in zip(rows[long].tolist(), items[long].tolist(), starts[long].tolist()):
@@ -356,7 +397,7 @@ class LeakFinder:
             for (k, item), found in near.items():
                 n, answered = self.check(item, held[k][1], found)
                 if self.holds(item, n, answered):
-                    out.append((held[k][0], item, n, float(cosine[(rows == k) & (items == item)].max())))
+                    out.append((held[k][0], item, n, self.cosine(item, held[k][1])))
 
         for row in texts_:
             held.append(row)
@@ -368,14 +409,17 @@ class LeakFinder:
             settle()
         return out
 
-    def find_plain(self, row: int, ids: np.ndarray) -> list[tuple[int, int, int, float]]:
+    def find_weak(self, row: int, ids: np.ndarray) -> list[tuple[int, int, int, float]]:
         out = []
-        for item in self.plain:
-            size = len(self.block.items[item])
-            step = max(1, size)
-            n, answered = max((self.check(item, ids, [s]) for s in range(0, max(1, len(ids)), WINDOW + step)), default=(0, 0))
+        there = self.member[ids]
+        for q in np.flatnonzero(np.count_nonzero(there, axis=0) >= self.cover[self.weak]).tolist():
+            item = int(self.weak[q])
+            starts = self.around(np.flatnonzero(there[:, q]), len(ids), self.sizes[item], self.cover[item])
+            rows, items = np.zeros(len(starts), np.int64), np.full(len(starts), item)
+            starts = starts[self.bounds([(row, ids, ids, ids)], rows, starts, items) >= self.cover[item]]
+            n, answered = self.check(item, ids, starts.tolist())
             if self.holds(item, n, answered):
-                out.append((row, item, n, 0.0))
+                out.append((row, item, n, self.cosine(item, ids)))
         return out
 
 
@@ -391,9 +435,9 @@ def _search(block: Block, idf: np.ndarray, space: np.ndarray, numbers: list[np.n
         state["finder"], state["all"] = LeakFinder(block, idf, space), np.ones(len(block.words), bool)
     finder = state["finder"]
     found = finder.find(_tokens(numbers, finder.active))
-    if finder.plain:
+    if len(finder.weak):
         for k, ids, _, _ in _tokens(numbers, state["all"]):
-            found += finder.find_plain(k, ids)
+            found += finder.find_weak(k, ids)
     return found
 
 

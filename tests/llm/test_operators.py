@@ -284,6 +284,20 @@ def test_decontamination(spark, none):
     assert decontaminate.clean(docs, bench.filter("item_id < 0")).count() == docs.count()
 
 
+def test_items_with_few_rare_words_are_found(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    stop, rare = [word() for _ in range(40)], [word() for _ in range(60)]
+    few = [" ".join(rng.sample(stop, 14) + [word()]) for _ in range(6)]
+    bench = spark.createDataFrame([(k, t) for k, t in enumerate(few)] + [(50, " ".join(rare))], "item_id long, text string")
+    rows = [(k, " ".join(rng.sample(stop, 3) + [word() for _ in range(60)] + rng.sample(stop, 4) + [few[k % 6].split()[-1]] * (k < 60)), "en") for k in range(500)]
+    want = set()
+    for k, t in enumerate(few):
+        rows.append((1000 + k, " ".join([*rng.sample(rare, 60), t, *rng.sample(rare, 60)]), "en"))
+        want.add((1000 + k, k))
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, rows), bench).collect()} == want
+
+
 def held_out(df, labels, column):
     data = df.filter("held_out").join(labels, "doc_id").select("predicted", column).toPandas()
     return float((data.predicted == data[column]).mean())
