@@ -358,7 +358,7 @@ class LeakFinder:
         return out
 
     def check(self, item: int, ids: np.ndarray, starts: list[int]) -> tuple[int, int]:
-        """Best common subsequence around the windows, and the answer's part in that place."""
+        """Best common subsequence around the windows, and the answer's part in that place; a place that holds the item goes first."""
         words, answer = self.block.items[item], self.block.answers[item]
         best, done = (0, 0), -1
         for start in sorted(set(starts)):
@@ -371,8 +371,10 @@ class LeakFinder:
             if len(near) < COVER * len(words):
                 continue
             n = common_subsequence(words, near)
-            if n > best[0]:
-                best = (n, common_subsequence(answer, near))
+            if n < COVER * len(words) and n <= best[0]:
+                continue
+            found = (n, common_subsequence(answer, near))
+            best = max(best, found, key=lambda x: (self.holds(item, *x), x[0]))
         return best
 
     def holds(self, item: int, n: int, answered: int) -> bool:

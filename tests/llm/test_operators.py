@@ -298,6 +298,17 @@ def test_items_with_few_rare_words_are_found(spark):
     assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, rows), bench).collect()} == want
 
 
+def test_every_place_of_a_document_is_judged(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    asked, answer = [word() for _ in range(30)], [word() for _ in range(10)]
+    bench = spark.createDataFrame([(1, f"{' '.join(asked)}? {' '.join(answer)}.")], "item_id long, text string")
+    gap = [word() for _ in range(400)]
+    text = " ".join([*gap[:200], *asked[:29], *gap[200:], *asked[:19], *answer[:7]])
+    rows = [(k, " ".join(word() for _ in range(80)), "en") for k in range(50)] + [(100, text, "en"), (101, " ".join([*gap[:200], *asked[:29], *gap[200:]]), "en")]
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, rows), bench).collect()} == {(100, 1)}
+
+
 def held_out(df, labels, column):
     data = df.filter("held_out").join(labels, "doc_id").select("predicted", column).toPandas()
     return float((data.predicted == data[column]).mean())
