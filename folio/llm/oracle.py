@@ -2,4 +2,66 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+#: The checksum is computed from its polynomial, the tree and the climbs by recursion.
+OP11 = """
+WITH RECURSIVE
+crc_table AS (
+    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, byte) ORDER BY byte) AS entries
+    FROM range(256) AS t(byte)
+),
+parts AS (
+    SELECT doc_id, source, text,
+        coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+        || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head,
+        xor(4294967295, list_reduce(
+            list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+            lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1]), 4294967295)) AS crc
+    FROM documents, crc_table
+),
+leaves AS (
+    SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
+        sha256(head || coalesce(strlen(text) || ':' ||
+            CASE WHEN crc % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-')) AS changed
+    FROM parts
+),
+placed AS (
+    SELECT doc_id, leaf, changed, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+        row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n
+    FROM leaves
+),
+levels AS (
+    SELECT 0 AS level, tree, pos, n, leaf AS digest FROM placed
+    UNION ALL
+    SELECT level + 1, tree, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM levels WHERE n > 1 GROUP BY level, tree, pos // 16, n
+),
+subroots AS (SELECT tree, digest AS subroot, count(*) OVER () AS n FROM levels WHERE n = 1),
+tops AS (
+    SELECT 0 AS level, tree AS pos, n, subroot AS digest FROM subroots
+    UNION ALL
+    SELECT level + 1, pos // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY pos)) FROM tops WHERE n > 1 GROUP BY level, pos // 16, n
+),
+nodes AS (
+    SELECT false AS upper, level, tree, pos, n, digest FROM levels
+    UNION ALL SELECT true, level, -1, pos, n, digest FROM tops
+),
+climb AS (
+    SELECT doc_id, placed.pos AS leaf_at, placed.tree AS leaf_tree, false AS upper, 0 AS level, tree, pos, n, changed AS folded, '' AS proof, false AS done FROM placed
+    UNION ALL
+    SELECT doc_id, leaf_at, leaf_tree, upper OR n = 1, CASE WHEN n = 1 THEN 0 ELSE level + 1 END,
+        CASE WHEN n = 1 THEN -1 ELSE tree END, CASE WHEN n = 1 THEN tree ELSE pos // 16 END,
+        CASE WHEN n = 1 THEN (SELECT count(*) FROM subroots) ELSE (n + 15) // 16 END,
+        CASE WHEN n = 1 THEN folded ELSE (
+            SELECT sha256(string_agg(CASE WHEN s.pos = climb.pos THEN folded ELSE s.digest END, '' ORDER BY s.pos))
+            FROM nodes s WHERE s.upper = climb.upper AND s.level = climb.level AND s.tree = climb.tree AND s.pos // 16 = climb.pos // 16) END,
+        CASE WHEN n = 1 THEN proof ELSE proof || coalesce((
+            SELECT string_agg(s.digest, '' ORDER BY s.pos) FROM nodes s
+            WHERE s.upper = climb.upper AND s.level = climb.level AND s.tree = climb.tree AND s.pos // 16 = climb.pos // 16 AND s.pos <> climb.pos), '') END,
+        upper AND n = 1
+    FROM climb WHERE NOT (upper AND n = 1)
+)
+SELECT p.doc_id, p.leaf, s.subroot, t.digest AS root, sha256(c.proof) AS proof_sha256, c.folded AS folded_root, c.folded = t.digest AS verified
+FROM placed p JOIN subroots s USING (tree) JOIN climb c ON c.leaf_tree = p.tree AND c.leaf_at = p.pos AND c.upper AND c.n = 1
+CROSS JOIN (SELECT digest FROM tops WHERE n = 1) t
+"""
+
+ORACLE: dict[str, str] = {"op11_merkle_manifest": OP11}

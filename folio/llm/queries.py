@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from folio.llm.base import table
 from folio.llm.decontaminate import leaks
 from folio.llm.jaccard import jaccard_classes
+from folio.llm.merkle import merkle_report
 from folio.llm.packing import pack
 from folio.llm.perplexity import quality_rules
 from folio.llm.pii import pii_report
@@ -65,10 +66,14 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_secret_scan, op3_decontamination, op4_toxicity, op5_pii, op6_quality_rules, op7_suffix_dedup,
-        op8_best_fit_packing, op9_token_files, op10_jaccard_join,
+        op8_best_fit_packing, op9_token_files, op10_jaccard_join, op11_merkle_manifest,
     )
 }
