@@ -64,4 +64,50 @@ FROM placed p JOIN subroots s USING (tree) JOIN climb c ON c.leaf_tree = p.tree
 CROSS JOIN (SELECT digest FROM tops WHERE n = 1) t
 """
 
-ORACLE: dict[str, str] = {"op11_merkle_manifest": OP11}
+#: Near words meet by their texts without one letter; forms are followed by recursion.
+OP12 = r"""
+WITH RECURSIVE
+crc_table AS (
+    SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END, byte) ORDER BY byte) AS entries
+    FROM range(256) AS t(byte)
+),
+runs AS (
+    SELECT doc_id, run, count(*) AS n FROM (
+        SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run
+        FROM documents)
+    GROUP BY ALL
+),
+hashed AS (
+    SELECT run, n, xor(4294967295, list_reduce(
+        list_transform(range(octet_length(body)), lambda i: ('0x' || substr(hex(body), (2 * i + 1)::BIGINT, 2))::BIGINT),
+        lambda c, b: xor(c >> 8, entries[(xor(c, b) & 255) + 1]), 4294967295)) AS h
+    FROM (SELECT *, encode(coalesce(doc_id::VARCHAR, '') || ':' || run) AS body FROM runs), crc_table
+),
+words AS (
+    SELECT word, sum(n)::BIGINT AS n FROM (
+        SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed)
+    WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+),
+cuts AS (SELECT word, place, left(word, place) || substr(word, place + 2) AS rest FROM (SELECT word, unnest(range(length(word))) AS place FROM words)),
+near AS (
+    SELECT a.word, b.word AS other FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.place = b.place AND a.word <> b.word
+    UNION SELECT c.word, w.word FROM cuts c JOIN words w ON w.word = c.rest
+    UNION SELECT w.word, c.word FROM cuts c JOIN words w ON w.word = c.rest
+),
+best AS (
+    SELECT near.word, count(*) AS n_near, first(other ORDER BY w.n DESC, other) AS other, max(w.n) AS other_n
+    FROM near JOIN words w ON w.word = near.other GROUP BY near.word
+),
+forms AS (
+    SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 2 * n THEN other END AS form, CASE WHEN other_n >= 2 * n THEN other_n END AS form_n
+    FROM words LEFT JOIN best USING (word)
+),
+chain AS (
+    SELECT word, word AS last FROM words
+    UNION ALL SELECT chain.word, forms.form FROM chain JOIN forms ON forms.word = chain.last WHERE forms.form IS NOT NULL
+)
+SELECT f.word, f.form, chain.last AS root, f.n, f.n_near, f.form_n
+FROM forms f JOIN chain USING (word) JOIN forms e ON e.word = chain.last WHERE e.form IS NULL
+"""
+
+ORACLE: dict[str, str] = {"op11_merkle_manifest": OP11, "op12_spelling_variants": OP12}

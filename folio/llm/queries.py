@@ -13,6 +13,7 @@ from folio.llm.perplexity import quality_rules
 from folio.llm.pii import pii_report
 from folio.llm.quality import quality_scores
 from folio.llm.secrets import secret_report
+from folio.llm.spelling import spelling_report
 from folio.llm.suffix import remove_repeats
 from folio.llm.tokens import token_files
 from folio.llm.toxicity import toxicity_scores
@@ -70,10 +71,15 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle_report(table(spark, sf_dir, "documents"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_secret_scan, op3_decontamination, op4_toxicity, op5_pii, op6_quality_rules, op7_suffix_dedup,
         op8_best_fit_packing, op9_token_files, op10_jaccard_join, op11_merkle_manifest,
+        op12_spelling_variants,
     )
 }
