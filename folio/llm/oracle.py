@@ -110,4 +110,19 @@ SELECT f.word, f.form, chain.last AS root, f.n, f.n_near, f.form_n
 FROM forms f JOIN chain USING (word) JOIN forms e ON e.word = chain.last WHERE e.form IS NULL
 """
 
-ORACLE: dict[str, str] = {"op11_merkle_manifest": OP11, "op12_spelling_variants": OP12}
+#: Windows are compared as texts.
+OP13 = r"""
+WITH texts AS (
+    SELECT row_number() OVER () AS id, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+starts AS (SELECT id, words, unnest(range(1, len(words) - 33)) AS k FROM texts),
+windows AS (SELECT id, k, array_to_string(words[k:k + 34], ' ') AS phrase FROM starts),
+often AS (SELECT phrase FROM windows GROUP BY phrase HAVING count(*) > 1),
+gone AS (SELECT DISTINCT id, unnest(range(k, k + 35)) AS place FROM windows SEMI JOIN often USING (phrase)),
+placed AS (SELECT id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS place FROM texts),
+kept AS (SELECT id, count(*) AS n, string_agg(word, ' ' ORDER BY place) AS body FROM placed ANTI JOIN gone USING (id, place) GROUP BY id)
+SELECT doc_id, len(words) AS n_words, len(words) - coalesce(n, 0) AS n_removed, sha256(coalesce(body, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (id)
+"""
+
+ORACLE: dict[str, str] = {"op11_merkle_manifest": OP11, "op12_spelling_variants": OP12, "op13_substring_dedup": OP13}

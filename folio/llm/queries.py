@@ -10,6 +10,7 @@ from folio.llm.jaccard import jaccard_classes
 from folio.llm.merkle import merkle_report
 from folio.llm.packing import pack
 from folio.llm.perplexity import quality_rules
+from folio.llm.phrases import remove_phrases
 from folio.llm.pii import pii_report
 from folio.llm.quality import quality_scores
 from folio.llm.secrets import secret_report
@@ -75,11 +76,15 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_report(table(spark, sf_dir, "documents"))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_phrases(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_quality_classifier, op2_secret_scan, op3_decontamination, op4_toxicity, op5_pii, op6_quality_rules, op7_suffix_dedup,
         op8_best_fit_packing, op9_token_files, op10_jaccard_join, op11_merkle_manifest,
-        op12_spelling_variants,
+        op12_spelling_variants, op13_substring_dedup,
     )
 }
