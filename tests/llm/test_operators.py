@@ -171,12 +171,49 @@ def test_quality_rules(docs, none):
     assert perplexity.quality_rules(none).count() == 0
 
 
-def test_model_probabilities_add_up(docs):
-    model = perplexity.train(docs).filter("lang = 'en' and logp is not null").toPandas()
-    assert abs(np.exp(model[model.k == 1].logp).sum() - 1) < 0.2
-    top = model[model.k == perplexity.ORDER]
-    for _, part in top.groupby(top.gram // 256):
-        assert np.exp(part.logp).sum() <= 1 + 1e-9
+def kneser_ney(words):
+    """A plain model of counted words: the probability of a gram's last byte after the others, and the counts of each order."""
+    top = Counter()
+    for word, n in words.items():
+        body = bytes([perplexity.START]) * (perplexity.ORDER - 1) + word + bytes([perplexity.END])
+        for k in range(len(body) - perplexity.ORDER + 1):
+            top[body[k : k + perplexity.ORDER]] += n
+    orders = {perplexity.ORDER: top}
+    for k in range(perplexity.ORDER - 1, 0, -1):
+        orders[k] = Counter(g[1:] for g in orders[k + 1])
+    cuts, total, free = {}, defaultdict(int), defaultdict(float)
+    for k, grams in orders.items():
+        n = Counter(min(x, 5) for x in grams.values())
+        y = n[1] / max(n[1] + 2 * n[2], 1)
+        cuts[k] = [min(max(i - (i + 1) * y * n[i + 1] / max(n[i], 1), 0.1), i - 0.1) for i in (1, 2, 3)]
+        for g, x in grams.items():
+            total[g[:-1]] += x
+            free[g[:-1]] += cuts[k][min(x, 3) - 1]
+
+    def p(gram):
+        if not gram:
+            return 1 / 256
+        x, h = orders[len(gram)][gram], gram[:-1]
+        own = x - cuts[len(gram)][min(x, 3) - 1] if x else 0
+        return (own + free[h] * p(gram[1:])) / total[h] if h in total else p(gram[1:])
+
+    return p, orders
+
+
+def test_model_is_kneser_ney_and_adds_up(docs):
+    words = defaultdict(Counter)
+    for r in docs.collect():
+        words[r.lang or ""].update((r.text or "").encode().translate(perplexity._FOLD).split())
+    model = {(r.lang, r.k, r.gram): (r.n, r.logp) for r in perplexity.train(docs).collect()}
+    assert {lang for lang, _, _ in model} == {lang for lang in words if words[lang]}
+    for lang, counts in words.items():
+        p, orders = kneser_ney(counts)
+        for k, grams in orders.items():
+            assert {int.from_bytes(g, "big") for g in grams} == {g for own, size, g in model if (own, size) == (lang, k)}
+            for gram, n in grams.items():
+                assert model[lang, k, int.from_bytes(gram, "big")] == (n, pytest.approx(np.log(p(gram)), abs=1e-9))
+            for context in {g[:-1] for g in grams}:
+                assert sum(p(context + bytes([x])) for x in range(256)) == pytest.approx(1, abs=1e-9)
 
 
 def test_every_counted_gram_is_scored(spark, monkeypatch):
