@@ -30,6 +30,29 @@ def number_rows(df: DataFrame, out: str = "ord") -> DataFrame:
     )
 
 
+def number_in_groups(df: DataFrame, group: list[str], order: list[str], out: str = "n_before", size: str = "n_group") -> DataFrame:
+    """Add each row's number from 0 in its group, by ``order``, and the rows of the group.
+
+    Rows are sorted over all tasks by group and order, so a group of any size is spread. What counts the rows before a
+    range has one row for each group and range, and rows meet it by range, never by group alone. Rows equal in
+    ``order`` are numbered in any order; null keys make a group of their own.
+    """
+    ranged = df.repartitionByRange(*group, *order).sortWithinPartitions(*group, *order)
+    placed = materialize(ranged.withColumn("_place", F.monotonically_increasing_id()), "placed")
+    part = F.shiftright("_place", _ROW_BITS)
+    pieces = placed.groupBy(part.alias("_part"), *group).agg(F.min("_place").alias("_first"), F.count("*").alias("_rows"))
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select(
+        "*", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"), F.sum("_rows").over(whole).alias(size)
+    )
+    same = F.shiftright("r._place", _ROW_BITS) == F.col("p._part")
+    for name in group:
+        same = same & F.col(f"r.{name}").eqNullSafe(F.col(f"p.{name}"))
+    number = F.col("r._place") - F.col("p._first") + F.col("p._before")
+    return placed.alias("r").join(pieces.alias("p"), same).select(*[f"r.{c}" for c in df.columns], number.alias(out), F.col(f"p.{size}"))
+
+
 def running_totals(df: DataFrame, key: str, values: list[str], chunk: int = 10_000) -> DataFrame:
     """Running sums of ``values`` by ascending whole-number ``key`` (unique, not negative).
 

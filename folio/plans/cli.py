@@ -39,7 +39,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     three.add_argument("--run-id", required=True)
     three.add_argument("--sample", type=int, default=RUN_SAMPLE, help="0 takes all books")
     three.add_argument("--seed", type=int, default=SEED)
-    three.add_argument("--slices", type=int, default=1)
+    three.add_argument("--slices", type=int, help="parts each attempt is fetched in; by default as many as its addresses need")
     three.add_argument("--report", help="folder for the tables of failed addresses, progress and counters")
     return parser.parse_args(argv)
 

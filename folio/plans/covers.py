@@ -91,15 +91,22 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
         return spark.createDataFrame([], FETCH_LOG)
 
 
-def _fetch_missing(urls: DataFrame, log_path: str, transport: Transport, kind: str, attempt: int, slices: int, **pace):
+#: Addresses asked between two appends to the log, when the number of slices is not stated.
+SLICE_URLS = 50_000
+
+
+def _fetch_missing(urls: DataFrame, log_path: str, transport: Transport, kind: str, attempt: int, slices: int | None, **pace):
     """Append the responses of one attempt, slice by slice; recorded addresses are not asked again.
 
-    A slice that was written stays written whatever happens to the executors afterwards.
+    A slice that was written stays written whatever happens to the executors afterwards. Without ``slices`` there
+    are as many as keep each below about ``SLICE_URLS`` addresses.
     """
     spark = urls.sparkSession
     here = (F.col("kind") == kind) & (F.col("attempt") == attempt)
     done = read_log(spark, log_path).where(here).select("url").distinct()
     missing = materialize(urls.select("url").distinct().join(done, "url", "left_anti"), "missing")
+    if slices is None:
+        slices = -(-missing.count() // SLICE_URLS)
     for part in range(slices):
         slice_ = missing.where(F.pmod(F.xxhash64("url", F.lit("slice")), F.lit(slices)) == part)
         rows = fetch(slice_, transport, kind, attempt, **pace)
@@ -111,7 +118,7 @@ def fetch_attempts(
     log_path: str,
     transport: Transport,
     max_attempts: int = MAX_ATTEMPTS,
-    slices: int = 1,
+    slices: int | None = None,
     mode: str = "auto",
     **pace,
 ) -> Responses:
@@ -153,7 +160,7 @@ def run(
     sample_size: int | None = RUN_SAMPLE,
     seed: int = SEED,
     strict: bool = True,
-    slices: int = 1,
+    slices: int | None = None,
     buckets: int = BUCKETS,
     timeout: float = TIMEOUT_S,
     interval: float = INTERVAL_S,

@@ -2,7 +2,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from folio.operators.number import number_rows, running_totals
+from folio.operators.number import number_in_groups, number_rows, running_totals
 
 
 def test_numbers_follow_input_order(spark):
@@ -28,3 +28,16 @@ def test_running_totals(spark):
         a, b = a + one, b + two
         want.append((key, key * 10, a, b))
     assert got == want
+
+
+def test_numbers_in_groups(spark):
+    random.seed(5)
+    rows = [(random.choice(["hot", "hot", "hot", None, "a", "b"]), random.randrange(40)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "g string, v bigint").repartition(5)
+    got = number_in_groups(df, ["g"], ["v"], "k", "size").collect()
+    assert sorted((r.g or "", r.v) for r in got) == sorted((g or "", v) for g, v in rows)
+    for group in ("hot", None, "a", "b"):
+        mine = sorted((r.k, r.v) for r in got if r.g == group)
+        assert [k for k, _ in mine] == list(range(len(mine)))
+        assert [v for _, v in mine] == sorted(v for g, v in rows if g == group)
+        assert {r["size"] for r in got if r.g == group} == {len(mine)}

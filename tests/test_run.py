@@ -19,7 +19,7 @@ from folio.session import shared_root, work_path
 from folio.sinks.store import bucket_of, covers_with_content, export_cover_files, write_covers
 from folio.sources import fetch as fetch_module
 from folio.sources.covers import existing_ids, existing_ids_in_files, scan_cover_files
-from folio.sources.fetch import fetch
+from folio.sources.fetch import Pace, fetch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors lack the test folder
 
@@ -69,7 +69,7 @@ def test_bad_address_is_a_row(spark):
     def refuse(url, headers, timeout):
         raise ValueError("bad address")
 
-    row = fetch(spark.createDataFrame([("no such thing",)], "url string"), refuse, "page", 1, interval=0).first()
+    row = fetch(spark.createDataFrame([("no such thing",)], "url string"), refuse, "page", 1, interval=0).collect()[0]
     assert row.status is None and "bad address" in row.error
 
 
@@ -82,32 +82,54 @@ def test_transport_over_requests(monkeypatch):
     assert fetch_module.requests_transport("https://a", fetch_module.HEADERS, fetch_module.TIMEOUT_S) == (404, b"gone")
 
 
-def test_hosts_are_paced(spark):
-    stamps = work_path(spark, "stamps")
-    os.makedirs(stamps)
+def stamp(url, headers, timeout):
+    return 200, f"{time.time()} {os.getpid()}".encode()
 
-    def note(url, headers, timeout):
-        with open(f"{stamps}/{time.time_ns()}", "w") as out:
-            out.write(url)
-        return 200, b""
 
-    urls = spark.createDataFrame([(f"https://one/p/{i}",) for i in range(5)], "url string")
-    fetch(urls, note, "page", 1, interval=0.2, urls_per_lane=1000).collect()
-    times = sorted(int(name) for name in os.listdir(stamps))
-    assert min(b - a for a, b in zip(times, times[1:])) >= 0.19e9
+def asked_at(rows):
+    """Seconds of each request, by host."""
+    hosts = {}
+    for row in rows:
+        hosts.setdefault(row.url.split("/")[2], []).append(float(row.body.split()[0]))
+    return {host: sorted(times) for host, times in hosts.items()}
 
 
-def test_large_host_is_split(spark, monkeypatch):
-    urls = spark.range(400).selectExpr("concat('https://one/p/', id) AS url")
+@pytest.mark.parametrize("tasks", [1, 2, 4])
+def test_a_host_takes_an_interval_an_address_whatever_the_tasks(spark, tasks):
+    urls = spark.createDataFrame([(f"https://one/p/{i}",) for i in range(48)] + [(f"https://two/p/{i}",) for i in range(5)], "url string")
+    rows = fetch(urls, stamp, "page", 1, interval=0.1, tasks=tasks).collect()
+    times = asked_at(rows)
+    assert 47 * 0.1 * 0.8 <= times["one"][-1] - times["one"][0] <= 47 * 0.1 * 1.2
+    assert min(b - a for a, b in zip(times["one"], times["one"][1:])) >= 0.05
+    assert 4 * 0.1 * 0.8 <= times["two"][-1] - times["two"][0] <= 4 * 0.1 * 1.6
+    assert len({row.body.split()[1] for row in rows}) == tasks
+
+
+@pytest.mark.parametrize("lanes", [1, 4, 48, 100])
+def test_pace_of_any_number_of_lanes(lanes):
+    paces, asked = [Pace(1.0, 10.0) for _ in range(lanes)], []
+    for place in range(48):
+        pace = paces[place % lanes]
+        asked.append(pace.due("one", place, min(lanes, 48)))
+        pace.asked("one", asked[-1])
+    assert asked == [10.0 + k for k in range(48)]
+
 
-    def where(url, headers, timeout):
-        return 200, str(os.getpid()).encode() + b"/" + str(time.time_ns()).encode()
+def test_a_late_lane_does_not_hurry():
+    pace = Pace(1.0, 0.0)
+    pace.asked("one", 30.0)  # its first address was due at 0
+    assert [pace.due("one", 4, 4), pace.due("two", 4, 4)] == [34.0, 4.0]
 
-    monkeypatch.setattr(fetch_module, "spread_join", lambda *a, **k: spread_join(*a, **k, small_rows=0))
-    rows = fetch(urls, where, "page", 1, interval=0, urls_per_lane=20).withColumn("part", F.spark_partition_id())
-    assert rows.count() == 400
+
+def test_large_host_is_split(spark):
+    urls = spark.range(400).selectExpr("concat('https://one/p/', id) AS url")
+    rows = fetch(urls, stamp, "page", 1, interval=0).withColumn("part", F.spark_partition_id())
     parts = [row["count"] for row in rows.groupBy("part").count().collect()]
-    assert len(parts) > 1 and max(parts) < 400
+    assert parts == [100] * 4
+
+
+def test_nothing_to_fetch(spark):
+    assert fetch(spark.createDataFrame([], "url string"), stamp, "page", 1).collect() == []
 
 
 def outcomes_of(result):
