@@ -30,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -294,21 +295,23 @@ def match(contexts: DataFrame, length: int, shard_words: int = SHARD_WORDS) -> D
 
 
 def _cut(rows: DataFrame, length: int, gram: int) -> DataFrame:
-    """``class, n_removed, kept_sha256`` from ``class, text, places, spans``."""
+    """``class, n_removed, kept_sha256`` from ``class, text, pieces``."""
 
     def make():
         poly = Polynomial()
 
         def step(batch: pa.RecordBatch) -> dict:
+            pieces = batch.column(2)
+            at, spans = pieces.flatten().flatten()
+            sizes = pc.list_value_length(spans).to_numpy()
+            places = spans.flatten().to_numpy() + np.repeat(at.to_numpy(), sizes)
+            begin, end = places[::2], places[1::2] + length
+            ends = np.concatenate([[0], np.cumsum(sizes // 2)])[np.concatenate([[0], np.cumsum(pc.list_value_length(pieces).to_numpy())])]
             removed, sha = [], []
-            for text, pieces in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                phrases = Phrases(text, 1 << 62, gram, poly)
-                depth = np.zeros(len(phrases.start) + 1, np.int64)
-                for piece in pieces:
-                    spans = np.array(piece["spans"], np.int64) + piece["at"]
-                    np.add.at(depth, spans[::2], 1)
-                    np.add.at(depth, spans[1::2] + length, -1)
-                gone = np.cumsum(depth)[:-1] > 0
+            for k, text in enumerate(batch.column(1)):
+                phrases = Phrases(text.as_py(), 1 << 62, gram, poly)
+                n, own = len(phrases.start) + 1, slice(ends[k], ends[k + 1])
+                gone = np.cumsum(np.bincount(begin[own], minlength=n) - np.bincount(end[own], minlength=n))[:-1] > 0
                 removed.append(int(gone.sum()))
                 sha.append(hashlib.sha256(phrases.without(gone)).hexdigest())
             return {"class": batch.column(0), "n_removed": pa.array(removed, pa.int64()), "kept_sha256": sha}
