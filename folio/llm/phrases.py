@@ -250,13 +250,11 @@ def _single_windows(contexts: DataFrame, length: int) -> DataFrame:
     return arrow_map(contexts.select("context", "n", "body"), make, "context binary, at int, window binary, n long, body binary")
 
 
-def match(contexts: DataFrame, length: int, shard_words: int = SHARD_WORDS) -> DataFrame:
-    """``context, spans``: first and last repeated windows of contexts ``key, context, n, words, body``.
+def match(contexts: DataFrame, length: int, shards: int) -> DataFrame:
+    """``context, spans``: first and last repeated windows of contexts ``key, context, n, body``.
 
-    Contexts with the same ``key`` are in the same shard, and a shard has about ``shard_words`` words.
+    Contexts with the same ``key`` are in the same shard.
     """
-    total = contexts.agg(F.sum("words")).first()[0] or 0
-    shards = total // shard_words + 1
 
     def solve(held: list[tuple[bytes, int, bytes]]) -> pa.RecordBatch:
         numbers: dict[bytes, int] = {}
@@ -336,21 +334,22 @@ def remove_phrases(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, many
         leader = F.struct("doc_id", "mark")
         classes = rows.groupBy("sha").agg(F.min(leader).alias("leader"), F.count("*").alias("copies"), F.min_by("grams", leader).alias("grams"))
         classes = materialize(classes.filter(F.size("grams") > 0), "classes")
-        met = materialize(classes.select("sha", F.explode("grams").alias("gram"), "copies"), "met")
-        often = met.groupBy("gram").agg(F.sum("copies").alias("_n")).filter("_n > 1").select("gram")
-        repeated = spread_join(met, often, ["gram"], "left_semi").groupBy("sha").agg(F.collect_set("gram").alias("grams"))
-        wanted = classes.drop("grams").join(repeated, "sha")
-        wanted = _with_text(docs, materialize(wanted, "wanted")).dropDuplicates(["sha"])
-        places = materialize(_places(wanted, length, gram), "places")
+        with scratch(docs.sparkSession) as keep_places:
+            met = materialize(classes.select("sha", F.explode("grams").alias("gram"), "copies"), "met")
+            often = met.groupBy("gram").agg(F.sum("copies").alias("_n")).filter("_n > 1").select("gram")
+            repeated = spread_join(met, often, ["gram"], "left_semi").groupBy("sha").agg(F.collect_set("gram").alias("grams"))
+            wanted = materialize(classes.drop("grams").join(repeated, "sha"), "wanted")
+            places = keep_places(_places(_with_text(docs, wanted).dropDuplicates(["sha"]), length, gram), "places")
         contexts = places.groupBy("context", "gram").agg(F.sum("n").alias("n"), F.max("words").alias("words"), F.max("body").alias("body"))
         contexts = materialize(contexts, "contexts")
         crowded = materialize(contexts.groupBy("gram").agg(F.count("*").alias("_n")).filter(c("_n") > many).select("gram"), "crowded")
         single = materialize(_single_windows(spread_join(contexts, crowded, ["gram"], "left_semi"), length), "single")
         windows = single.groupBy("window").agg(F.sum("n").alias("n"), F.max("body").alias("body"))
-        windows = windows.select(c("window").alias("key"), c("window").alias("context"), "n", F.lit(length).cast("long").alias("words"), "body")
+        windows = windows.select(c("window").alias("key"), c("window").alias("context"), "n", "body")
         others = spread_join(contexts, crowded, ["gram"], "left_anti")
-        others = others.select(c("gram").cast("string").cast("binary").alias("key"), "context", "n", "words", "body")
-        found = materialize(match(materialize(others.union(windows), "reference"), length, shard_words), "found")
+        others = others.select(c("gram").cast("string").cast("binary").alias("key"), "context", "n", "body")
+        words = contexts.agg(F.sum("words")).first()[0] or 0
+        found = materialize(match(others.union(windows), length, words // shard_words + 1), "found")
         hits = single.join(found.select(c("context").alias("window")), "window", "left_semi")
         spans = found.union(hits.groupBy("context").agg(F.flatten(F.collect_list(F.array("at", "at"))).alias("spans")))
         pieces = spread_join(places.select("class", "context", "at"), spans, ["context"]).groupBy("class").agg(F.collect_list(F.struct("at", "spans")).alias("pieces"))
