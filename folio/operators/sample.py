@@ -2,95 +2,92 @@
 
 from __future__ import annotations
 
-from math import ceil, log, sqrt
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from folio.schemas import require_columns
+from folio.session import materialize
 
 # The seed and the two sample sizes in use.
 SEED = 42
 NOTEBOOK_SAMPLE = 1000
 RUN_SAMPLE = 2000
 
-# Below this many rows every partition may as well send its first n rows to the final merge.
-DIRECT_ROWS = 1_000_000
-
-# Up to this many sampled rows are merged in one task.
-MERGE_ROWS = 1_000_000
+# Keys are counted by so many further hex digits at a time: at most 65,536 counts.
+_DIGITS = 4
+_KEY_DIGITS = 32
 
-_KEY_HEX = 15
 
+def _as_text(df: DataFrame, field: T.StructField) -> Column:
+    value = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, T.BinaryType):
+        return F.hex(value)
+    if isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
+        return F.to_json(F.struct(value))
+    return value.cast("string")
 
-def sample_key(seed: int = SEED) -> Column:
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.col("id").cast("string")).cast("binary"))
 
+def row_digest(df: DataFrame) -> Column:
+    """Hash of all columns of a row, by name: equal for equal rows, whatever the order of columns and rows."""
 
-def key_limit(share: float) -> str:
-    """The key below which this share of evenly spread keys lies."""
-    return format(min(ceil(share * 16**_KEY_HEX), 16**_KEY_HEX - 1), f"0{_KEY_HEX}x")
+    def part(field: T.StructField) -> Column:
+        text = _as_text(df, field)
+        return F.coalesce(F.concat(F.octet_length(text).cast("string"), F.lit(":"), text), F.lit("-"))
 
+    fields = sorted(df.schema.fields, key=lambda field: field.name)
+    return F.md5(F.concat(F.lit(""), *map(part, fields)).cast("binary"))
 
-def _narrowed(keyed: DataFrame, n: int, total: int) -> DataFrame:
-    """The rows below a key limit that lets through at least ``n``, and usually few more.
 
-    Keys are spread evenly unless many rows share an id; then the limit is raised until enough pass.
-    """
-    share = (n + 10 * sqrt(n) + 100) / total
-    while share < 0.5:
-        below = keyed.where(F.col("_key") < key_limit(share))
-        if below.count() >= n:
-            return below
-        share *= 4
-    return keyed
+def _copies(digests: DataFrame, seed: int) -> DataFrame:
+    """``_digest, _copy, _key``: a key of its own for each of ``_n`` equal rows."""
+    copies = digests.select("_digest", F.explode(F.sequence(F.lit(1), F.col("_n"))).alias("_copy"))
+    text = F.concat(F.lit(f"{seed}:"), F.col("_digest"), F.lit(":"), F.col("_copy").cast("string"))
+    return copies.withColumn("_key", F.md5(text.cast("binary")))
 
 
-def _smallest(keyed: DataFrame, n: int, total: int) -> DataFrame:
-    """The ``n`` rows with the smallest keys, for an ``n`` too large for one task.
+def key_limit(keys: DataFrame, n: int) -> str:
+    """The beginning of the ``n``-th key: the keys up to it, and no others, are the ``n`` smallest.
 
-    Rows are counted by the front of their key. Fronts that fit whole are taken whole; only the one
-    on the border, about a 65,536th of the sample, goes through a top-n.
+    Keys are counted by their first digits, then those of the range the ``n``-th is in by their next digits, until the
+    range ends with it. Each count is one row a range, however many keys there are.
     """
-    digits = min(32, 4 + ceil(log(max(total / n, 1), 16)))
-    front = F.substring("_key", 1, digits)
-    sizes = keyed.groupBy(front.alias("front")).agg(F.count("*").alias("size"))
-    upto = F.sum("size").over(Window.orderBy("front").rowsBetween(Window.unboundedPreceding, 0))
-    border = sizes.select("front", "size", upto.alias("upto")).where(F.col("upto") >= n).orderBy("front").first()
-    if border is None:
-        return keyed
-    rest = n - (border.upto - border["size"])
-    last = keyed.where(front == border.front).orderBy("_key", "id").limit(rest)
-    return keyed.where(front < border.front).unionByName(last)
-
-
-def sample_exact(
-    df: DataFrame,
-    n: int,
-    seed: int = SEED,
-    strict: bool = False,
-    direct_rows: int = DIRECT_ROWS,
-    merge_rows: int = MERGE_ROWS,
-) -> DataFrame:
+    begun, rest = "", n
+    while True:
+        digits = len(begun) + _DIGITS
+        within = keys.where(F.substring("_key", 1, len(begun)) == begun) if begun else keys
+        sizes = within.groupBy(F.substring("_key", 1, digits).alias("front")).agg(F.count("*").alias("size"))
+        upto = F.sum("size").over(Window.orderBy("front").rowsBetween(Window.unboundedPreceding, 0))
+        border = sizes.select("front", "size", upto.alias("upto")).where(F.col("upto") >= rest).orderBy("front").first()
+        if border.upto == rest or digits >= _KEY_DIGITS:
+            return border.front
+        begun, rest = border.front, rest - (border.upto - border["size"])
+
+
+def sample_exact(df: DataFrame, n: int, seed: int = SEED, strict: bool = False) -> DataFrame:
     """``n`` rows without replacement, in random but reproducible order.
 
-    The rows with the ``n`` smallest keys, where a row's key is a hash of seed and id. On a large
-    input a key limit is set first, so that the final merge sees about ``n`` rows and not ``n``
-    from every partition. A sample too large for one task is cut along the keys instead. With ``strict``, asking for more rows than there are is an error; otherwise
-    all rows come back.
+    The rows with the ``n`` smallest keys, where a row's key is a hash of the seed, of all its columns, and of its number
+    among equal rows. So rows that share an id, or all their values, are drawn each by itself, and the choice does not
+    depend on how the rows are laid out. Only hashes are counted and ranked; the rows meet those chosen by one join,
+    equal ones once. With ``strict``, asking for more rows than there are is an error; otherwise all rows
+    come back.
     """
     if n < 0:
         raise ValueError("sample size must not be negative")
-    require_columns(df, "id")
-    keyed = df.withColumn("_key", sample_key(seed))
-    total = df.count()
+    keyed = df.withColumn("_digest", row_digest(df))
+    digests = materialize(keyed.groupBy("_digest").agg(F.count("*").alias("_n")), "digests")
+    total = digests.agg(F.coalesce(F.sum("_n"), F.lit(0))).first()[0]
     if strict and n > total:
         raise ValueError(f"cannot take {n} rows from {total} without replacement")
-    if total > direct_rows:
-        keyed = _narrowed(keyed, n, total)
-    if n > merge_rows:
-        return _smallest(keyed, n, total).orderBy("_key", "id").drop("_key")
-    return keyed.orderBy("_key", "id").limit(n).drop("_key")
+    chosen = _copies(digests, seed)
+    if n == 0:
+        chosen = chosen.limit(0)
+    elif n < total:
+        limit = key_limit(chosen, n)
+        chosen = chosen.where(F.substring("_key", 1, len(limit)) <= limit)
+    chosen = chosen.select("_digest", "_key")
+    rows = keyed.join(chosen.select("_digest").distinct(), "_digest", "left_semi").dropDuplicates(["_digest"])
+    return rows.join(chosen, "_digest").orderBy("_key").select(*[f"`{c}`" for c in df.columns])
 
 
 def maybe_sample(df: DataFrame, n: int | None, seed: int = SEED, strict: bool = True) -> DataFrame:

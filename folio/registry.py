@@ -95,6 +95,14 @@ def sample_2000(spark, sf_dir):
     return load_catalog(spark, path, RUN_SAMPLE, strict=False)
 
 
+def sample_shared_ids(spark, sf_dir):
+    """A sample of rows of which many share an id, and some all their values."""
+    shared = fixtures.books(spark, sf_dir).selectExpr(
+        "CAST(CAST(id AS BIGINT) DIV 1000 AS STRING) AS id", "num_reviews % 10 AS num_reviews"
+    )
+    return sample_exact(shared, 1500)
+
+
 def sample_input(spark, sf_dir):
     """The sampled books in run order, numbered, with the file each cover would get."""
     return collect.scrape_input(number_rows(sample_2000(spark, sf_dir)))
@@ -312,6 +320,7 @@ QUERIES: dict[str, Query] = {
     "sample_1000": sample_1000,
     "sample_2000": sample_2000,
     "sample_input": sample_input,
+    "sample_shared_ids": sample_shared_ids,
     "genre_lists": genre_lists,
     "genre_parse_report": genre_parse_report,
     "genre_explode": genre_explode,
