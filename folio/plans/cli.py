@@ -2,7 +2,7 @@
 
     cli.py curate  SOURCE CURATED [--format parquet]
     cli.py genres  CURATED
-    cli.py collect CURATED STORE LOG --run-id ID [--sample 2000]
+    cli.py collect CURATED STORE LOG --run-id ID [--sample 2000] [--images FOLDER]
 """
 
 from __future__ import annotations
@@ -40,6 +40,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     three.add_argument("--sample", type=int, default=RUN_SAMPLE, help="0 takes all books")
     three.add_argument("--seed", type=int, default=SEED)
     three.add_argument("--slices", type=int, help="parts each attempt is fetched in; by default as many as its addresses need")
+    three.add_argument("--images", help="folder of {id}.jpg files: books that have one are not tried, new covers are put there")
     three.add_argument("--report", help="folder for the tables of failed addresses, progress and counters")
     return parser.parse_args(argv)
 
@@ -79,6 +80,7 @@ def run_command(spark: SparkSession, args: argparse.Namespace) -> None:
             sample_size=args.sample or None,
             seed=args.seed,
             slices=args.slices,
+            images=args.images,
         )
         if args.report:  # what the run found outlives its work folder
             for name in ("failed", "progress", "counters"):

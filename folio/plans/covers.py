@@ -28,7 +28,8 @@ from folio.operators.sample import RUN_SAMPLE, SEED
 from folio.operators.spread import spread_join
 from folio.schemas import FETCH_LOG
 from folio.session import materialize
-from folio.sinks.store import BUCKETS, write_covers
+from folio.sinks.files import existing_ids_in_files, export_cover_files, finish_exports
+from folio.sinks.store import BUCKETS, covers_with_content, write_covers
 from folio.sources.catalog import load_catalog
 from folio.sources.covers import existing_ids
 from folio.sources.fetch import INTERVAL_S, TIMEOUT_S, Transport, fetch
@@ -164,15 +165,21 @@ def run(
     buckets: int = BUCKETS,
     timeout: float = TIMEOUT_S,
     interval: float = INTERVAL_S,
+    images: str | None = None,
 ) -> CoverRun:
     """Sample the curated table, fetch what has no cover yet, store the accepted covers, report.
 
     Give a new ``run_id`` for a new try at the books that are still open, and the old one to go on
-    with a run that broke off.
+    with a run that broke off. With ``images``, a book that has a file ``{id}.jpg`` in that folder is not tried either,
+    and the covers of the run are put there as files, too.
     """
     books = scrape_input(number_rows(load_catalog(spark, curated, sample_size, seed, strict)))
     books = materialize(books, "books")
-    existing = materialize(existing_ids(spark, store), "existing")
+    existing = existing_ids(spark, store)
+    if images is not None:
+        finish_exports(spark, images)
+        existing = existing.union(existing_ids_in_files(spark, images)).distinct()
+    existing = materialize(existing, "existing")
     responses = fetch_attempts(
         resume_todo(books, existing),
         f"{log.rstrip('/')}/run={run_id}",
@@ -183,4 +190,6 @@ def run(
     )
     result = collect_covers(books, responses, existing)
     store_covers(result, responses, store, buckets)
+    if images is not None:
+        export_cover_files(covers_with_content(result.covers, image_bodies(responses.log)).dropDuplicates(["id"]), images)
     return result

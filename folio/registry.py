@@ -17,9 +17,10 @@ from folio.operators.sample import NOTEBOOK_SAMPLE, RUN_SAMPLE, sample_exact
 from folio.plans.catalogue import curate_to, genre_profile
 from folio.plans.covers import collect_covers, read_responses, store_covers
 from folio.session import materialize, work_path
-from folio.sinks.store import export_cover_files, write_curated
+from folio.sinks.files import existing_ids_in_files, export_cover_files
+from folio.sinks.store import write_curated
 from folio.sources.catalog import load_books, load_catalog
-from folio.sources.covers import existing_ids, existing_ids_in_files, scan_cover_files
+from folio.sources.covers import existing_ids, scan_cover_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 

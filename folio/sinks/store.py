@@ -1,12 +1,7 @@
-"""Curated table, covers table, loose cover files."""
+"""Curated table and covers table."""
 
 from __future__ import annotations
 
-import posixpath
-import uuid
-from collections.abc import Iterator
-
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -64,39 +59,3 @@ def write_covers(
             .drop("_slot")
         )
     rows.write.mode("append").partitionBy("bucket").parquet(store)
-
-
-def _write_files(directory: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyarrow import fs
-
-        if "://" in directory or directory.startswith("file:"):
-            files, base = fs.FileSystem.from_uri(directory)
-        else:
-            files, base = fs.LocalFileSystem(), directory
-        files.create_dir(base)
-        for batch in batches:
-            written = 0
-            for book_id, content in zip(batch.column("id"), batch.column("content")):
-                name = book_id.as_py()
-                if name is None or "/" in name:
-                    raise ValueError(f"id {name!r} cannot name a file")
-                if content.as_py() is None:
-                    continue
-                part = posixpath.join(base, f".{uuid.uuid4().hex}.part")
-                with files.open_output_stream(part) as out:
-                    out.write(content.as_buffer())
-                files.move(part, posixpath.join(base, f"{name}.jpg"))
-                written += 1
-            yield pa.RecordBatch.from_pydict({"written": pa.array([written], pa.int64())})
-
-    return run
-
-
-def export_cover_files(covers: DataFrame, directory: str) -> int:
-    """Write ``{id}.jpg`` files below a folder all executors reach; returns how many.
-
-    Each file is written under another name first and then moved, so a repeated task leaves whole files.
-    """
-    written = covers.select("id", "content").mapInArrow(_write_files(directory), "written long")
-    return written.agg(F.coalesce(F.sum("written"), F.lit(0))).first()[0]

@@ -17,11 +17,6 @@ def scan_cover_files(spark: SparkSession, directory: str) -> DataFrame:
     return files.select(F.regexp_extract("path", _ID_IN_PATH, 1).alias("id"), "path", "length", "content")
 
 
-def existing_ids_in_files(spark: SparkSession, directory: str) -> DataFrame:
-    """Ids that have a file; file contents are not read."""
-    return scan_cover_files(spark, directory).select("id").distinct()
-
-
 def existing_ids(spark: SparkSession, store: str) -> DataFrame:
     """Ids in the covers table at ``store``; none when it has not been written yet."""
     try:

@@ -16,9 +16,11 @@ from folio.plans import cli as command
 from folio.plans.catalogue import genre_profile
 from folio.plans.covers import fetch_attempts, read_log, run
 from folio.session import shared_root, work_path
-from folio.sinks.store import bucket_of, covers_with_content, export_cover_files, write_covers
+from folio.sinks import files as files_module
+from folio.sinks.files import existing_ids_in_files, export_cover_files, finish_exports, qualified, read_manifest
+from folio.sinks.store import bucket_of, covers_with_content, write_covers
 from folio.sources import fetch as fetch_module
-from folio.sources.covers import existing_ids, existing_ids_in_files, scan_cover_files
+from folio.sources.covers import existing_ids, scan_cover_files
 from folio.sources.fetch import Pace, fetch
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors lack the test folder
@@ -159,6 +161,17 @@ def test_run_resumes(spark):
     assert {(row.width, row.height, bytes(row.content)) for row in stored.collect()} == {(200, 300, GOOD)}
 
 
+def test_run_resumes_over_loose_files(spark):
+    curated, images = catalogue(spark), work_path(spark, "images")
+    bad = {str(n) for n in range(20) if n % 10 in (3, 4, 5)}
+    run(spark, curated, work_path(spark, "store"), work_path(spark, "log"), site, "one", sample_size=20, interval=0, images=images)
+    assert pictures(images) == sorted(f"{n}.jpg" for n in range(20) if str(n) not in bad)
+    store = work_path(spark, "store")  # another store: only the files tell what is done
+    again = run(spark, curated, store, work_path(spark, "log"), healed, "two", sample_size=20, interval=0, images=images)
+    assert outcomes_of(again) == {str(n): "success" if str(n) in bad else "skipped" for n in range(20)}
+    assert pictures(images) == sorted(f"{n}.jpg" for n in range(20))
+
+
 def test_broken_off_run_goes_on(spark):
     curated, log = catalogue(spark, 6), work_path(spark, "log")
     todo = spark.read.parquet(curated)
@@ -247,16 +260,60 @@ def test_only_the_checked_bytes_are_stored(spark):
     assert [(row.id, bytes(row.content)) for row in rows] == [("1", GOOD)]
 
 
+def pictures(folder):
+    return sorted(name for name in os.listdir(folder) if name.endswith(".jpg"))
+
+
 def test_loose_files(spark):
     folder = work_path(spark, "files")
     covers = spark.createDataFrame([("1", GOOD), ("2", WIDE), ("3", None)], "id string, content binary")
     assert export_cover_files(covers, folder) == 2
     assert export_cover_files(covers, f"file://{folder}") == 2  # again: same files
-    assert sorted(os.listdir(folder)) == ["1.jpg", "2.jpg"]
+    assert pictures(folder) == ["1.jpg", "2.jpg"] and os.listdir(f"{folder}/_exports") == []
     assert {row.id: bytes(row.content) for row in scan_cover_files(spark, folder).collect()} == {"1": GOOD, "2": WIDE}
     assert sorted(row.id for row in existing_ids_in_files(spark, folder).collect()) == ["1", "2"]
+
+
+@pytest.mark.parametrize("name", ["../x", None, "..", ""])
+def test_a_failed_export_leaves_no_file(spark, name):
+    folder = work_path(spark, "files")
+    rows = [(str(i), GOOD) for i in range(40)] + [(name, GOOD)]
     with pytest.raises(Exception, match="cannot name a file"):
-        export_cover_files(spark.createDataFrame([("../x", GOOD)], "id string, content binary"), folder)
+        export_cover_files(spark.createDataFrame(rows, "id string, content binary").repartition(4), folder)
+    assert pictures(folder) == [] and finish_exports(spark, folder) == 0
+    assert existing_ids_in_files(spark, folder).count() == 0
+
+
+def test_a_committed_export_is_carried_to_its_end(spark, monkeypatch):
+    folder = work_path(spark, "files")
+    covers = spark.createDataFrame([(str(i), GOOD) for i in range(9)], "id string, content binary").repartition(3)
+    real = files_module.finish_exports
+    monkeypatch.setattr(files_module, "finish_exports", lambda *a: 0)  # the driver is lost after the commit
+    export_cover_files(covers, folder)
+    monkeypatch.setattr(files_module, "finish_exports", real)
+    assert pictures(folder) == []
+    aside = f"{folder}/_exports/{os.listdir(folder + '/_exports')[0]}"
+    task = next(name for name in os.listdir(aside) if os.path.isdir(f"{aside}/{name}"))
+    moved = next(name for name in os.listdir(f"{aside}/{task}") if name.endswith(".jpg"))
+    os.rename(f"{aside}/{task}/{moved}", f"{folder}/{moved}")  # as if an executor had been lost while moving
+    assert finish_exports(spark, folder) == 9
+    assert pictures(folder) == sorted(f"{i}.jpg" for i in range(9))
+    assert sorted(row.id for row in read_manifest(spark, folder).collect()) == [str(i) for i in range(9)]
+
+
+def test_files_from_before_the_manifest_count(spark):
+    folder = work_path(spark, "files")
+    os.makedirs(folder)
+    open(f"{folder}/old.jpg", "wb").write(GOOD)
+    assert [row.id for row in existing_ids_in_files(spark, folder).collect()] == ["old"]
+    export_cover_files(spark.createDataFrame([("new", GOOD)], "id string, content binary"), folder)
+    assert sorted(row.id for row in existing_ids_in_files(spark, folder).collect()) == ["new", "old"]
+    assert "binaryFile" not in plan(existing_ids_in_files(spark, folder))  # the folder is not listed again
+
+
+def test_paths_get_their_scheme(spark):
+    assert qualified(spark, "/a/b/") == "file:/a/b"
+    assert files_module._open("file:/a/b")[1] == "/a/b"
 
 
 def test_shared_folder_is_the_named_one(spark):
@@ -297,6 +354,6 @@ def test_work_is_dropped(spark, monkeypatch):
 
 def test_commands():
     args = command.parse(["collect", "c", "s", "l", "--run-id", "r"])
-    assert (args.sample, args.seed, args.slices) == (2000, 42, 1)
+    assert (args.sample, args.seed, args.slices, args.images) == (2000, 42, None, None)
     assert command.parse(["curate", "a", "b"]).min_ratings == 7500
     assert command.parse(["genres", "a"]).top == 29
