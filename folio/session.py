@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -69,6 +70,33 @@ def drop_work(spark: SparkSession) -> None:
     _delete(spark, _work_root(spark))
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that nothing refers to any more.
+
+    It does so once the driver's collector has found out, which may take long on a driver with little to do.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+@contextmanager
+def noting() -> Iterator[list[str]]:
+    """The paths of the tables that are materialized inside and stay; nothing is deleted."""
+    outer, own = _SCRATCH.get(), []
+    _SCRATCH.set(own)
+    try:
+        yield own
+    finally:
+        _SCRATCH.set(outer)
+
+
+def drop_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete materialized tables that nothing reads any more."""
+    for path in paths:
+        _delete(spark, path)
+    free_shuffles(spark)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
     """Tables materialized inside are deleted at the end; the function it gives writes one that stays.
@@ -89,8 +117,7 @@ def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFram
         yield keep
     finally:
         _SCRATCH.set(outer)
-        for path in own:
-            _delete(spark, path)
+        drop_tables(spark, own)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
