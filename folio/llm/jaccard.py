@@ -15,7 +15,7 @@ components is missed.
 
 Null, empty and blank texts have no shingles and stand alone. With fewer words than a shingle the whole
 sequence is the one shingle. Repeated rows fall into one class; rows that share an id are told apart by
-text. An empty table gives an empty result; columns other than ``doc_id`` and ``text`` are ignored.
+text. A row without an id is linked like any other; a component whose ids are all null has the id null. An empty table gives an empty result; columns other than ``doc_id`` and ``text`` are ignored.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.base import arrow_map, forget, texts, words_of
@@ -122,7 +122,7 @@ _OCC = "CASE WHEN n >= 30 THEN 3 ELSE 1 END"
 
 
 def short_lists(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) -> DataFrame:
-    """``doc_id, n, key, short``: set size, class, and the shingles whose lists are merged."""
+    """``doc_id, mark, n, key, short``: set size, class, and the shingles whose lists are merged."""
     shared = docs.sparkSession.sparkContext.broadcast(sketch)
 
     def make():
@@ -131,7 +131,7 @@ def short_lists(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) ->
 
         def step(batch: pa.RecordBatch) -> dict:
             n, key, short, ends = [], [], [], [0]
-            for text in (x.as_py() for x in batch.column(1)):
+            for text in (x.as_py() for x in batch.column(2)):
                 s = shingles.of(text)
                 n.append(len(s))
                 if not len(s):
@@ -146,17 +146,26 @@ def short_lists(docs: DataFrame, size: int, percent: int, sketch: np.ndarray) ->
                 ends.append(ends[-1] + lists)
             values = np.concatenate(short) if short else np.zeros(0, np.int64)
             arrays = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
-            return {"doc_id": batch.column(0), "n": pa.array(n, pa.int64()), "key": pa.array(key, pa.int64()), "short": arrays}
+            return {"doc_id": batch.column(0), "mark": batch.column(1), "n": pa.array(n, pa.int64()), "key": pa.array(key, pa.int64()), "short": arrays}
 
         return step
 
-    return arrow_map(texts(docs), make, "doc_id long, n long, key long, short array<long>")
+    return arrow_map(_marked(docs), make, "doc_id long, mark long, n long, key long, short array<long>")
+
+
+def row_mark() -> Column:
+    """A hash of a row's id and text, by which its class finds it again, null ids included."""
+    return F.xxhash64("doc_id", F.coalesce(F.col("text"), F.lit("")))
+
+
+def _marked(docs: DataFrame) -> DataFrame:
+    return texts(docs).select("doc_id", row_mark().alias("mark"), "text")
 
 
 def sets_of(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
-    """``key, body``: the sorted shingles of the classes in ``wanted`` (``key, doc_id``), as bytes.
+    """``key, body``: the sorted shingles of the classes in ``wanted`` (``key, mark``), as bytes.
 
-    A filter of fixed size over the wanted ids spares most other documents the work; what it lets
+    A filter of fixed size over the wanted rows spares most other documents the work; what it lets
     through in error is dropped by the join.
     """
     bits = 23
@@ -176,7 +185,7 @@ def sets_of(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
         total = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in frame["body"]])
         return pd.DataFrame({"slice": [int(frame["slice"].iloc[0])], "body": [total.tobytes()]})
 
-    marks = wanted.select("doc_id").mapInArrow(mark, "slice int, body binary").groupBy("slice").applyInPandas(either, "slice int, body binary")
+    marks = wanted.select("mark").mapInArrow(mark, "slice int, body binary").groupBy("slice").applyInPandas(either, "slice int, body binary")
     rows = {r.slice: r.body for r in marks.collect()}
     none = bytes((1 << bits) // 8 // _SLICES)
     shared = docs.sparkSession.sparkContext.broadcast(b"".join(rows.get(k, none) for k in range(_SLICES)))
@@ -197,12 +206,12 @@ def sets_of(docs: DataFrame, size: int, wanted: DataFrame) -> DataFrame:
 
         return step
 
-    found = arrow_map(texts(docs).filter(F.col("doc_id").isNotNull()), make, "key long, body binary")
+    found = arrow_map(_marked(docs).select("mark", "text"), make, "key long, body binary")
     return found.join(wanted.select("key"), "key", "left_semi").groupBy("key").agg(F.min("body").alias("body"))
 
 
-def _places(ids: pa.Array, bits: int) -> np.ndarray:
-    x = ids.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64) * _M[0]
+def _places(marks: pa.Array, bits: int) -> np.ndarray:
+    x = marks.to_numpy().view(np.uint64) * _M[0]
     return (x >> np.uint64(64 - bits)).astype(np.int64)
 
 
@@ -231,34 +240,46 @@ def holding(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def jaccard_classes(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
-    """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
-    c = F.col
-    rows = materialize(short_lists(docs, size, percent, frequency_sketch(docs, size)), "short")
-    out = rows.select("doc_id", c("n").alias("n_shingles"), "key").join(_members(rows, docs, size, percent), "key", "left")
-    return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    """``doc_id, n_shingles, component_id`` for every row of ``docs``; a component's id is null where all its ids are."""
+    rows, roots = _components(docs, size, percent)
+    least = roots.groupBy("root").agg(F.min("least").alias("component_id"))
+    members = roots.join(least, "root").select("key", "component_id")
+    out = rows.select("doc_id", F.col("n").alias("n_shingles"), "key").join(members, "key", "left")
+    return out.select("doc_id", "n_shingles", F.when(F.col("key").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
 
-def _members(rows: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """``key, component_id`` of every class, from the rows of ``short_lists``."""
-    c = F.col
+def jaccard_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
+    """``doc_id, mark, group`` for every row: rows have the same group if links join them, whatever their ids."""
+    rows, roots = _components(docs, size, percent)
+    joined = rows.join(roots.select("key", "root"), "key", "left")
+    alone = F.struct(F.lit(1).alias("alone"), F.xxhash64("doc_id", "mark").alias("of"))
+    group = F.when(F.col("root").isNull(), alone).otherwise(F.struct(F.lit(0).alias("alone"), F.col("root").alias("of")))
+    return joined.select("doc_id", "mark", group.alias("group"))
+
+
+def _components(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``short_lists``; and ``key, least, root`` of every class: its least id and its component."""
     with scratch(docs.sparkSession) as keep:
-        classes = rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("_least"), F.first("n").alias("n"), F.count("*").alias("_copies"))
-        classes = materialize(classes, "classes")
-        # Rows of one class have the same lists.
-        postings = rows.filter("n > 0").dropDuplicates(["key"]).select("key", "n", F.explode("short").alias("h"))
-        often = postings.groupBy("h").agg(F.count("*").alias("_in_list")).filter("_in_list > 1")
-        lists = materialize(postings.join(often, "h"), "lists")
-        by_class = classes.select("key", c("_least").alias("doc_id"))
-        links = _holding(lambda: _leading_pairs(lists, percent), docs, size, percent, by_class)
-        roots = materialize(components(links), "roots")
-        more = _holding(lambda: _search(lists, roots, percent), docs, size, percent, by_class)
-        if not more.isEmpty():
-            roots = materialize(components(links.union(more)), "roots")
-        grouped = classes.select("key", "_least").join(roots.select(c("node").alias("key"), "root"), "key")
-        least = grouped.groupBy("root").agg(F.min("_least").alias("_component"))
-        member = grouped.join(least, "root").select("key", "_component")
-        per_class = classes.select("key", "_least").join(member, "key", "left")
-        return keep(per_class.select("key", F.coalesce("_component", "_least").alias("component_id")), "members")
+        rows = keep(short_lists(docs, size, percent, frequency_sketch(docs, size)), "short")
+        return rows, _members(rows, docs, size, percent, keep)
+
+
+def _members(rows: DataFrame, docs: DataFrame, size: int, percent: int, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    c = F.col
+    classes = rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.min("mark").alias("mark"), F.first("n").alias("n"))
+    classes = materialize(classes, "classes")
+    # Rows of one class have the same lists.
+    postings = rows.filter("n > 0").dropDuplicates(["key"]).select("key", "n", F.explode("short").alias("h"))
+    often = postings.groupBy("h").agg(F.count("*").alias("_in_list")).filter("_in_list > 1")
+    lists = materialize(postings.join(often, "h"), "lists")
+    by_class = classes.select("key", "mark")
+    links = _holding(lambda: _leading_pairs(lists, percent), docs, size, percent, by_class)
+    roots = materialize(components(links), "roots")
+    more = _holding(lambda: _search(lists, roots, percent), docs, size, percent, by_class)
+    if not more.isEmpty():
+        roots = materialize(components(links.union(more)), "roots")
+    rooted = classes.select("key", "least").join(roots.select(c("node").alias("key"), "root"), "key", "left")
+    return keep(rooted.select("key", "least", F.coalesce("root", "key").alias("root")), "members")
 
 
 def _holding(candidates: Callable[[], DataFrame], docs: DataFrame, size: int, percent: int, by_class: DataFrame) -> DataFrame:

@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folio.llm.base import forget, utf8
 from folio.session import materialize, scratch
@@ -40,11 +41,12 @@ _ROOM = 300_000
 _FOLD = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", b"abcdefghijklmnopqrstuvwxyz0000000000")
 
 
-def _with_lang(docs: DataFrame) -> DataFrame:
+def _with_lang(docs: DataFrame, whole: str | None = None) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
         F.coalesce(F.col("lang"), F.lit("")).alias("lang"),
+        *([F.struct("*").alias(whole)] if whole else []),
     )
 
 
@@ -258,8 +260,11 @@ def _cost(memory: dict[bytes, float], words: list[bytes]) -> tuple[float, int, C
 _BASE = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
-def scored(docs: DataFrame, shared, rare: DataFrame | None, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """``doc_id, lang``, the base counts and ``cost`` (mean negative log probability a byte, null without words), written once."""
+def scored(docs: DataFrame, shared, rare: DataFrame | None, keep: Callable[[DataFrame, str], DataFrame], whole: bool = False) -> DataFrame:
+    """``doc_id, lang``, the base counts and ``cost`` (mean negative log probability a byte, null without words), written once.
+
+    With ``whole``, each row also has the row of ``docs`` it stands for, as ``_docs``.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
@@ -297,11 +302,15 @@ def scored(docs: DataFrame, shared, rare: DataFrame | None, keep: Callable[[Data
             *counts, part, size, rare_ = zip(*rows)
             columns = [batch.column(3), batch.column(0), batch.column(2), *[pa.array(x, pa.int64()) for x in counts], pa.array(part, pa.float64()), pa.array(size, pa.int64())]
             columns += [pa.array([list(x) for x in rare_], pa.list_(pa.binary())), pa.array([list(x.values()) for x in rare_], pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    schema = f"_row long, doc_id long, lang string, {_BASE}, part double, size long, rare array<binary>, times array<long>"
-    names = [x.split()[0] for x in schema.split(", ")]
-    rows = _with_lang(docs).withColumn("_row", F.monotonically_increasing_id()).mapInArrow(run, schema)
+            yield pa.RecordBatch.from_arrays([*columns, *batch.columns[4:]], names)
+
+    fields = T.StructType.fromDDL(f"_row long, doc_id long, lang string, {_BASE}, part double, size long, rare array<binary>, times array<long>")
+    rows = _with_lang(docs, "_docs" if whole else None).withColumn("_row", F.monotonically_increasing_id())
+    own = [x for x in rows.columns if x == "_docs"]
+    rows = rows.select("doc_id", "text", "lang", "_row", *own)
+    schema = T.StructType([*fields, *[rows.schema[x] for x in own]])
+    names = schema.names
+    rows = rows.mapInArrow(run, schema)
     part = F.col("part")
     if rare is not None:
         rows = materialize(rows, "parts")
@@ -309,17 +318,20 @@ def scored(docs: DataFrame, shared, rare: DataFrame | None, keep: Callable[[Data
         sums = pairs.join(rare, ["lang", "word"]).groupBy("_row").agg(F.sum(F.col("times") * F.col("logp")).alias("_rest"))
         rows, part = rows.join(sums, "_row", "left"), part + F.coalesce("_rest", F.lit(0.0))
     cost = F.when(F.col("size") > 0, -part / F.col("size"))
-    return keep(rows.select("doc_id", "lang", *[x.split()[0] for x in _BASE.split(", ")], cost.alias("cost")), "scored")
+    return keep(rows.select("doc_id", "lang", *[x.split()[0] for x in _BASE.split(", ")], cost.alias("cost"), *own), "scored")
+
 
+def quality_rules(docs: DataFrame, width: float = WIDTH, whole: bool = False) -> DataFrame:
+    """The base counts, ``base_failed``, ``cost``, the language's band (``low, high``) and ``kept`` for each document.
 
-def quality_rules(docs: DataFrame, width: float = WIDTH) -> DataFrame:
-    """The base counts, ``base_failed``, ``cost``, the language's band (``low, high``) and ``kept`` for each document."""
+    With ``whole``, also the document's own row as ``_docs``.
+    """
     with scratch(docs.sparkSession) as keep:
         words = materialize(count_words(docs), "words")
         top = fit(words)[-1]
-        held, whole = held_grams(top, HELD)
+        held, complete = held_grams(top, HELD)
         shared = docs.sparkSession.sparkContext.broadcast((held.langs, held.keys, held.logp))
-        rows = scored(docs, shared, None if whole else rare_words(words, top, shared), keep)
+        rows = scored(docs, shared, None if complete else rare_words(words, top, shared), keep, whole)
         shared.destroy()
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     rows = rows.withColumn("base_failed", failed)
@@ -328,4 +340,7 @@ def quality_rules(docs: DataFrame, width: float = WIDTH) -> DataFrame:
     spread = F.greatest(q3 - q1, F.lit(LEAST_SPREAD))
     bands = quartiles.select("lang", (q1 - width * spread).alias("low"), (q3 + width * spread).alias("high"))
     inside = F.col("cost").isNull() | F.col("cost").between(F.col("low"), F.col("high"))
+    bands = materialize(bands, "bands")
+    # A row a language, or a group of null: few; should there be very many, the join finds its own way.
+    bands = F.broadcast(bands) if bands.count() <= 10_000 else bands
     return rows.join(bands, "lang", "left").withColumn("kept", ~F.col("base_failed") & inside)

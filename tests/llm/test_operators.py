@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from folio.llm import decontaminate, jaccard, packing, perplexity, pii, quality, secrets, suffix, tokens, toxicity
@@ -292,6 +293,14 @@ def test_jaccard(monkeypatch, docs, none, size, percent, long_):
     assert jaccard.jaccard_classes(none).count() == 0
 
 
+def test_classes_without_an_id_are_linked(spark):
+    words = [f"w{k}" for k in range(120)]
+    text = lambda first, last: " ".join([f"x{k}" for k in range(first)] + words[first : 120 - last] + [f"y{k}" for k in range(last)])
+    rows = [(7, text(0, 0), "en"), (None, text(4, 0), "en"), (3, text(8, 0), "en"), (None, text(60, 0), "en"), (None, "a b", "en")]
+    out = jaccard.jaccard_classes(frame(spark, rows))
+    assert got(out, "doc_id", "component_id") == sorted([(7, 3), (None, 3), (3, 3), (None, None), (None, None)], key=repr)
+
+
 def test_components(spark):
     links = spark.createDataFrame([(k, k + 1) for k in range(60)] + [(100, 101), (101, 102), (103, 100), (7, 7)], "a long, b long")
     want = [(k, 0) for k in range(61)] + [(k, 100) for k in range(100, 104)]
@@ -379,6 +388,9 @@ def test_pipeline(spark, sf_dir, docs):
         after = stage(spark, rows, sf_dir)
         assert after.columns == rows.columns and after.count() <= rows.count(), name
         rows = after
+    odd = docs.withColumn("_row", F.xxhash64("doc_id")).withColumn("_docs", F.lit("x")).withColumn("cost", F.lit(1.5))
+    for stage in (corpus_pipeline.quality, corpus_pipeline.near_duplicates):
+        assert stage(spark, odd, sf_dir).exceptAll(odd).count() == 0  # whole rows, values of any further column included
     kept = corpus_pipeline.near_duplicates(spark, docs, sf_dir)
     want = {c for _, _, c in brute_classes([(k, r.text) for k, r in enumerate(docs.collect())], 5, 80)}
     assert kept.count() == len(want) and kept.columns == docs.columns
