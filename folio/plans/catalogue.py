@@ -13,6 +13,7 @@ from folio.operators.genres import (
     genre_counts,
     genre_distinct,
     genre_frequent,
+    genre_parse_report,
     genre_top,
 )
 from folio.session import materialize
@@ -26,6 +27,7 @@ class GenreProfile:
     top: DataFrame
     frequent: DataFrame
     distinct: DataFrame
+    parsed: DataFrame  # how many genre texts were read, and how many are malformed and counted for nothing
 
 
 @dataclass
@@ -43,7 +45,11 @@ def curate_to(
     return Curated(spark.read.parquet(target), funnel.get)
 
 
-def genre_profile(books: DataFrame, top: int = TOP_GENRES, min_count: int = MIN_COUNT) -> GenreProfile:
-    """Histogram of the genres, counted once, and the reports drawn from it."""
-    counts = materialize(genre_counts(books), "genres")
-    return GenreProfile(counts, genre_top(counts, top), genre_frequent(counts, min_count), genre_distinct(counts))
+def genre_profile(books: DataFrame, top: int = TOP_GENRES, min_count: int = MIN_COUNT, fail: bool = False) -> GenreProfile:
+    """Histogram of the genres, counted once, and the reports drawn from it.
+
+    Malformed genre texts are left out of the histogram and counted in ``parsed``; with ``fail`` they are an error.
+    """
+    counts = materialize(genre_counts(books, fail), "genres")
+    distinct, parsed = genre_distinct(counts), genre_parse_report(books)
+    return GenreProfile(counts, genre_top(counts, top), genre_frequent(counts, min_count), distinct, parsed)

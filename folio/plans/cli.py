@@ -20,6 +20,10 @@ from folio.session import build_session, drop_work
 from folio.sources.fetch import requests_transport
 
 
+#: Rows of a list that are printed; the whole list is stored.
+SHOWN = 1000
+
+
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="folio")
     commands = parser.add_subparsers(dest="command", required=True)
@@ -32,6 +36,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     two.add_argument("curated")
     two.add_argument("--top", type=int, default=TOP_GENRES)
     two.add_argument("--min-count", type=int, default=MIN_COUNT)
+    two.add_argument("--fail", action="store_true", help="stop at a malformed genre text")
+    two.add_argument("--report", help="folder for the whole histogram and the count of malformed texts")
     three = commands.add_parser("collect")
     three.add_argument("curated")
     three.add_argument("store")
@@ -41,7 +47,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     three.add_argument("--seed", type=int, default=SEED)
     three.add_argument("--slices", type=int, help="parts each attempt is fetched in; by default as many as its addresses need")
     three.add_argument("--images", help="folder of {id}.jpg files: books that have one are not tried, new covers are put there")
-    three.add_argument("--report", help="folder for the tables of failed addresses, progress and counters")
+    three.add_argument("--report", help="folder for the tables of failed addresses, progress and counters; beside the log by default")
     return parser.parse_args(argv)
 
 
@@ -61,14 +67,30 @@ def print_all(df: DataFrame) -> None:
         print(*row, sep="\t")
 
 
+def print_first(df: DataFrame, what: str, rows: int = SHOWN) -> None:
+    """Print the first rows and say how many there are."""
+    print(*df.columns, sep="\t")
+    for row in df.limit(rows).collect():
+        print(*row, sep="\t")
+    print(f"{df.count()} {what}, the first {rows} at most shown")
+
+
+def store_report(folder: str, **tables: DataFrame) -> None:
+    for name, rows in tables.items():
+        rows.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/{name}")
+
+
 def run_command(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "curate":
         print(curate_to(spark, args.source, args.curated, args.format, args.min_ratings).funnel)
     elif args.command == "genres":
-        profile = genre_profile(spark.read.parquet(args.curated), args.top, args.min_count)
+        profile = genre_profile(spark.read.parquet(args.curated), args.top, args.min_count, args.fail)
         profile.top.show(args.top, truncate=False)
         profile.distinct.show()
+        profile.parsed.show()
         print_all(profile.frequent)
+        if args.report:
+            store_report(args.report, counts=profile.counts, parsed=profile.parsed)
     else:
         result = run(
             spark,
@@ -82,12 +104,13 @@ def run_command(spark: SparkSession, args: argparse.Namespace) -> None:
             slices=args.slices,
             images=args.images,
         )
-        if args.report:  # what the run found outlives its work folder
-            for name in ("failed", "progress", "counters"):
-                getattr(result, name).write.mode("overwrite").parquet(f"{args.report.rstrip('/')}/{name}")
-        print_all(result.failed.orderBy("ord"))
-        print_all(result.progress.orderBy("i"))
+        # What the run found outlives its work folder; the list of failures may be as long as the catalogue.
+        report = args.report or f"{args.log.rstrip('/')}-report/run={args.run_id}"
+        store_report(report, failed=result.failed, progress=result.progress, counters=result.counters)
+        print_first(spark.read.parquet(f"{report}/failed").orderBy("ord"), "failed")
+        print_first(result.progress.orderBy("i"), "progress lines")
         result.counters.show()
+        print(f"whole report: {report}")
 
 
 if __name__ == "__main__":

@@ -137,6 +137,16 @@ def genre_distinct(spark, sf_dir):
     return genres.genre_distinct(_genre_counts(spark, sf_dir))
 
 
+def genre_distinct_approx(spark, sf_dir):
+    """Distinct genres of each tenth of the catalogue, and of all of it, from one stored sketch a hundredth."""
+    path = work_path(spark, "sketches")
+    books = _curated(spark, sf_dir).withColumn("part", F.col("num_reviews") % 100)
+    genres.genre_sketches(books, "part").write.parquet(path)
+    sketches = spark.read.parquet(path).withColumn("tenth", F.col("part") % 10)
+    by_tenth = genres.genre_distinct_approx(sketches, "tenth")
+    return by_tenth.union(genres.genre_distinct_approx(sketches).select(F.lit(None).cast("bigint"), "n_genres"))
+
+
 def genre_frequent(spark, sf_dir):
     return genres.genre_frequent(_genre_counts(spark, sf_dir))
 
@@ -327,6 +337,7 @@ QUERIES: dict[str, Query] = {
     "genre_explode": genre_explode,
     "genre_counts": genre_counts,
     "genre_distinct": genre_distinct,
+    "genre_distinct_approx": genre_distinct_approx,
     "genre_frequent": genre_frequent,
     "genre_frequent_count": genre_frequent_count,
     "genre_ranked": genre_ranked,

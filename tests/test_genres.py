@@ -7,8 +7,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from compare import plan
 from folio.functions.genres import is_plain_list, parse_genres
 from folio.operators import genres
+from folio.plans.catalogue import genre_profile
 
 EDGES = {
     "[]": [],
@@ -94,3 +96,30 @@ def test_ranking_threshold_and_top(spark):
     assert [row.genre for row in genres.genre_top(counts, 3).collect()] == ["c", "a", "b"]
     assert [row.genre for row in genres.genre_ranked(counts).collect()] == ["c", "a", "b", "d"]
     assert genres.genre_frequent_count(counts, 3).first()[0] == 1  # strictly above
+
+
+def test_odd_lists_are_read_once(spark):
+    books = frame(spark, ["['a', None]", "('b',)", "['c']", "[]", "junk", None]).withColumn("id", F.monotonically_increasing_id())
+    rows = genres.genre_explode(books, "id")
+    assert plan(rows).count("ArrowEvalPython") == plan(genres.with_genre_list(books)).count("ArrowEvalPython") > 0
+    assert sorted((row.genre or "") for row in rows.collect()) == ["", "a", "b", "c"]
+
+
+def test_malformed_texts_are_counted(spark):
+    profile = genre_profile(frame(spark, ["['a']", "['a', 'it\\'s']", "oops", "[1", None]), min_count=0)
+    assert tuple(profile.parsed.first()) == (1, 1, 2)
+    assert {tuple(row) for row in profile.counts.collect()} == {("a", 2), ("it's", 1)}
+    with pytest.raises(Exception, match="not a genre list"):
+        genre_profile(frame(spark, ["['a']", "oops"]), fail=True)
+
+
+def test_sketches_are_close_and_merge(spark):
+    books = spark.range(40_000).selectExpr("id % 8 AS part", "array('g' || id % 20000, 'h' || id, 'same', null) AS genres")
+    sketches = genres.genre_sketches(books, "part")
+    assert sketches.count() == 8
+    per = {row.part: row.n_genres for row in genres.genre_distinct_approx(sketches, "part").collect()}
+    for part in range(8):
+        assert abs(per[part] - 7501) < 5 * 0.013 * 7501  # 2,500 shared, 5,000 of its own, and one
+    assert abs(genres.genre_distinct_approx(sketches).first()[0] - 60_001) < 5 * 0.013 * 60_001
+    assert genres.genre_distinct_approx(sketches.limit(0)).first()[0] == 0
+    assert max(len(row.sketch) for row in sketches.collect()) < 5000
