@@ -185,3 +185,21 @@ def fetch_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(NULL AS STRING) AS error",
     )
     return page_rows.unionByName(image_rows)
+
+
+def page_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page response per page, in Latin-1 by its header, in Latin-1 by its own word, or in UTF-8 without a word."""
+    return table(spark, sf_dir, "pages").selectExpr(
+        "url",
+        "'page' AS kind",
+        "1 AS attempt",
+        "200 AS status",
+        """concat('<html><head>', CASE page_id % 3 WHEN 1 THEN '<meta charset="ISO-8859-1">' ELSE '' END,
+                  '<meta property="og:image" content="https://img.example/\u00e9t\u00e9/', page_id, '.jpg"></head>',
+                  regexp_replace(html, '[^ -~]|<meta', ' ')) AS text""",
+        "CASE page_id % 3 WHEN 0 THEN 'Latin-1' END AS charset",
+        "page_id",
+    ).selectExpr(
+        "url", "kind", "attempt", "status", "charset",
+        "CASE WHEN page_id % 3 < 2 THEN encode(text, 'ISO-8859-1') ELSE CAST(text AS BINARY) END AS body",
+    )

@@ -21,6 +21,7 @@ from folio.sinks.files import existing_ids_in_files, export_cover_files
 from folio.sinks.store import write_curated
 from folio.sources.catalog import load_books, load_catalog
 from folio.sources.covers import existing_ids, scan_cover_files
+from folio.sources.responses import page_attempts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -195,6 +196,11 @@ def pages_with_cover(spark, sf_dir):
     return _cover_urls(spark, sf_dir).where(is_usable_url(F.col("img_url"))).select("page_id", "url", "img_url")
 
 
+def pages_by_charset(spark, sf_dir):
+    """Cover addresses with accents, from pages in several charsets."""
+    return page_attempts(fixtures.page_bodies(spark, sf_dir), mode="native").select("url", "img_url")
+
+
 def valid_geometry(spark, sf_dir):
     width, height = F.col("width"), F.col("height")
     return fixtures.image_log(spark, sf_dir).select(
@@ -348,6 +354,7 @@ QUERIES: dict[str, Query] = {
     "cover_url_auto": cover_url_auto,
     "valid_cover_urls": valid_cover_urls,
     "pages_with_cover": pages_with_cover,
+    "pages_by_charset": pages_by_charset,
     "valid_geometry": valid_geometry,
     "cover_probe": cover_probe,
     "covers_scan": covers_scan,

@@ -23,6 +23,7 @@ FETCH_LOG = T.StructType(
         T.StructField("status", T.IntegerType()),  # null when the request itself failed
         T.StructField("body", T.BinaryType()),
         T.StructField("error", T.StringType()),
+        T.StructField("charset", T.StringType()),  # as the response states it, null when it does not
     ]
 )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import time
 from collections.abc import Callable, Iterator, Mapping
 from itertools import chain
@@ -20,19 +21,25 @@ HEADERS = {"User-Agent": "Mozilla/5.0"}
 TIMEOUT_S = 10.0
 INTERVAL_S = 1.0
 
-# (address, headers, timeout) -> (status, body); raises when the request fails
-Transport = Callable[[str, Mapping[str, str], float], tuple[int, bytes]]
+# (address, headers, timeout) -> (status, body) or (status, body, charset); raises when the request fails
+Transport = Callable[[str, Mapping[str, str], float], tuple]
 
 FLUSH_BYTES = 16 << 20
 START_S = 1.5
 
 
-def requests_transport(url: str, headers: Mapping[str, str], timeout: float) -> tuple[int, bytes]:
+def stated_charset(content_type: str | None) -> str | None:
+    """The charset a Content-Type header names."""
+    found = re.search(r"""charset\s*=\s*["']?([^\s;"']+)""", content_type or "", re.I)
+    return found[1] if found else None
+
+
+def requests_transport(url: str, headers: Mapping[str, str], timeout: float) -> tuple[int, bytes, str | None]:
     """Transport over the ``requests`` package, where the executors have it."""
     import requests
 
     response = requests.get(url, headers=dict(headers), timeout=timeout)
-    return response.status_code, response.content
+    return response.status_code, response.content, stated_charset(response.headers.get("Content-Type"))
 
 
 class Pace:
@@ -70,11 +77,11 @@ def _fetch_batches(transport: Transport, kind: str, attempt: int, headers, timeo
                     time.sleep(wait)
                 pace.asked(host, time.monotonic())
                 try:
-                    status, body = transport(url, headers, timeout)
-                    row = (url, kind, attempt, status, body, None)
+                    status, body, *charset = transport(url, headers, timeout)
+                    row = (url, kind, attempt, status, body, None, *(charset or [None]))
                     held += len(body)
                 except Exception as error:  # a failed request is a row, not a failed job
-                    row = (url, kind, attempt, None, None, f"{type(error).__name__}: {error}")
+                    row = (url, kind, attempt, None, None, f"{type(error).__name__}: {error}", None)
                 rows.append(row)
                 if held >= FLUSH_BYTES:
                     yield _frame(rows, columns)

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from folio.functions.charset import with_text
 from folio.functions.html import with_cover_url
 from folio.functions.images import with_image_size
 from folio.operators.collect import OK_STATUS
 
 
 def page_attempts(fetch_log: DataFrame, mode: str = "auto") -> DataFrame:
-    """``url, attempt, status, img_url`` of the page responses; only OK bodies are searched."""
+    """``url, attempt, status, img_url`` of the page responses; only OK bodies are searched, as text of their charset."""
+    charset = F.col("charset") if "charset" in fetch_log.columns else F.lit(None).cast("string")
     pages = fetch_log.where(F.col("kind") == "page").select(
-        "url", "attempt", "status", F.when(F.col("status") == OK_STATUS, F.col("body").cast("string")).alias("html")
+        "url", "attempt", "status", F.when(F.col("status") == OK_STATUS, F.col("body")).alias("body"), charset.alias("charset")
     )
-    return with_cover_url(pages, mode=mode)
+    return with_cover_url(with_text(pages, "body", "charset", "html", any_charset=mode != "native"), mode=mode)
 
 
 def image_attempts(fetch_log: DataFrame) -> DataFrame:

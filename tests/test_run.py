@@ -78,10 +78,10 @@ def test_bad_address_is_a_row(spark):
 def test_transport_over_requests(monkeypatch):
     def get(url, headers, timeout):
         assert (url, headers, timeout) == ("https://a", {"User-Agent": "Mozilla/5.0"}, 10.0)
-        return types.SimpleNamespace(status_code=404, content=b"gone")
+        return types.SimpleNamespace(status_code=404, content=b"gone", headers={"Content-Type": "text/html; Charset='x-y'"})
 
     monkeypatch.setitem(sys.modules, "requests", types.SimpleNamespace(get=get))
-    assert fetch_module.requests_transport("https://a", fetch_module.HEADERS, fetch_module.TIMEOUT_S) == (404, b"gone")
+    assert fetch_module.requests_transport("https://a", fetch_module.HEADERS, fetch_module.TIMEOUT_S) == (404, b"gone", "x-y")
 
 
 def stamp(url, headers, timeout):
@@ -96,6 +96,14 @@ def asked_at(rows):
     return {host: sorted(times) for host, times in hosts.items()}
 
 
+def test_charset_reaches_the_log(spark):
+    def answer(url, headers, timeout):
+        return 200, "été".encode("latin-1"), "latin-1"
+
+    row = fetch(spark.createDataFrame([("https://a/1",)], "url string"), answer, "page", 1, interval=0).collect()[0]
+    assert (row.charset, bytes(row.body)) == ("latin-1", b"\xe9t\xe9")
+
+
 @pytest.mark.parametrize("tasks", [1, 2, 4])
 def test_a_host_takes_an_interval_an_address_whatever_the_tasks(spark, tasks):
     urls = spark.createDataFrame([(f"https://one/p/{i}",) for i in range(48)] + [(f"https://two/p/{i}",) for i in range(5)], "url string")
