@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from folio.functions.images import is_too_small, is_too_wide, is_valid_geometry
 from folio.functions.urls import BAD_KEYWORDS, cover_target, has_bad_keyword
 from folio.operators.number import running_totals
+from folio.operators.sift import anti_join
 from folio.operators.spread import spread_join
 from folio.schemas import require_columns
 from folio.session import materialize
@@ -62,8 +63,11 @@ def scrape_input(books: DataFrame, directory: str = "images") -> DataFrame:
 
 
 def resume_todo(books: DataFrame, existing: DataFrame) -> DataFrame:
-    """Books that have no cover yet."""
-    return spread_join(books, existing.select("id"), ["id"], "left_anti")
+    """Books that have no cover yet.
+
+    The ids of both sides go through a filter of the other's; only what may match is shuffled.
+    """
+    return anti_join(books, existing, ["id"], lambda left, right: spread_join(left, right, ["id"], "left_anti"))
 
 
 def ok_responses(responses: DataFrame) -> DataFrame:
@@ -223,11 +227,11 @@ def covers_dedup(outcomes: DataFrame, attempts: DataFrame) -> DataFrame:
 
 
 def covers_described(covers: DataFrame, images: DataFrame) -> DataFrame:
-    """Add ``length, digest, width, height`` of the accepted image, and how many ``records`` would do."""
+    """Add ``length, digest, width, height`` of the accepted image and where the log has it: ``file, row`` of one record."""
     good = images.where((F.col("status") == OK_STATUS) & is_valid_geometry(F.col("width"), F.col("height")))
-    image = F.min(F.struct("digest", "length", "width", "height")).alias("image")
-    once = good.groupBy("img_url", "attempt").agg(image, F.count("*").alias("records"))
-    return spread_join(covers, once, ["img_url", "attempt"]).select(*covers.columns, "image.*", "records")
+    image = F.min(F.struct("digest", "length", "width", "height", "file", "row")).alias("image")
+    once = good.groupBy("img_url", "attempt").agg(image)
+    return spread_join(covers, once, ["img_url", "attempt"]).select(*covers.columns, "image.*")
 
 
 def run_counters(outcomes: DataFrame) -> DataFrame:

@@ -33,13 +33,13 @@ from folio.sinks.store import BUCKETS, covers_with_content, write_covers
 from folio.sources.catalog import load_catalog
 from folio.sources.covers import existing_ids
 from folio.sources.fetch import INTERVAL_S, TIMEOUT_S, Transport, fetch
-from folio.sources.responses import image_attempts, image_bodies, page_attempts
+from folio.sources.responses import image_attempts, image_bodies, in_files, page_attempts
 
 
 @dataclass
 class CoverRun:
     outcomes: DataFrame  # ord, id, url, attempt, outcome, reason
-    covers: DataFrame  # ord, id, url, attempt, img_url, digest, length, width, height, records
+    covers: DataFrame  # ord, id, url, attempt, img_url, digest, length, width, height, file, row
 
     @property
     def counters(self) -> DataFrame:
@@ -56,13 +56,14 @@ class CoverRun:
 
 @dataclass
 class Responses:
-    log: DataFrame  # the responses with their bodies
+    log: DataFrame  # the responses with their bodies, in files
     pages: DataFrame  # url, attempt, status, img_url
-    images: DataFrame  # img_url, attempt, status, length, digest, width, height
+    images: DataFrame  # img_url, attempt, status, length, digest, file, row, width, height
 
 
 def read_responses(fetch_log: DataFrame, mode: str = "auto") -> Responses:
     """Search the pages and size the images of a log; each body is read once."""
+    fetch_log = in_files(fetch_log)
     return Responses(
         fetch_log,
         materialize(page_attempts(fetch_log, mode), "pages"),
@@ -191,5 +192,5 @@ def run(
     result = collect_covers(books, responses, existing)
     store_covers(result, responses, store, buckets)
     if images is not None:
-        export_cover_files(covers_with_content(result.covers, image_bodies(responses.log)).dropDuplicates(["id"]), images)
+        export_cover_files(covers_with_content(result.covers, image_bodies(responses.log)), images)
     return result

@@ -5,11 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folio.operators.sift import sift
 from folio.operators.spread import spread_join
 
 BUCKETS = 16
-FILE_BYTES = 128 << 20
-LARGE_BYTES = 1 << 40
+TASK_BYTES = 1 << 30
 
 
 def write_curated(books: DataFrame, path: str) -> None:
@@ -24,38 +24,22 @@ def bucket_of(book_id: Column, buckets: int = BUCKETS) -> Column:
 def covers_with_content(covers: DataFrame, bodies: DataFrame, tasks: int | None = None) -> DataFrame:
     """``id, img_url, width, height, length, content``: the accepted bytes of each id.
 
-    ``covers`` is narrow and holds the digest of the bytes that passed the checks. The bytes meet it
-    once, after everything has been decided, and any others recorded for the address are left out.
+    ``covers`` is narrow and names the place of the one record of the log whose bytes are stored. A filter over these
+    places keeps all other bodies where they are, so what is shuffled is what is stored, however often a
+    response was recorded.
     """
-    keys = ["img_url", "attempt", "digest"]
+    keys = ["img_url", "attempt", "file", "row"]
     narrow = covers.select("id", *keys, "width", "height", "length")
-    digested = bodies.withColumn("digest", F.xxhash64("content"))
-    matched = spread_join(narrow, digested, keys, tasks=tasks)
+    matched = spread_join(narrow, sift(bodies, narrow, ["file", "row"]), keys, tasks=tasks)
     return matched.select("id", "img_url", "width", "height", "length", "content")
 
 
-def write_covers(
-    covers: DataFrame, bodies: DataFrame, store: str, buckets: int = BUCKETS, large_bytes: int = LARGE_BYTES
-) -> None:
-    """Append covers with their bytes to the store, one row per id, in files of about ``FILE_BYTES``.
+def write_covers(covers: DataFrame, bodies: DataFrame, store: str, buckets: int = BUCKETS, task_bytes: int = TASK_BYTES) -> None:
+    """Append covers with their bytes to the store, one row per id.
 
-    A large store is written straight from the join, whose tasks are sized to give each bucket one
-    file: the bytes are shuffled once. A small one, where the join needs no shuffle of the bytes, is
-    laid out by bucket. So is one with repeated records of a response, which that shuffle drops.
+    The bytes are shuffled once, by the join that finds them, into tasks of about ``task_bytes``; each task writes a
+    file a bucket.
     """
-    total, records = covers.agg(F.coalesce(F.sum("length"), F.lit(0)), F.coalesce(F.max("records"), F.lit(0))).first()
-    files = max(1, -(-total // FILE_BYTES))
-    bucket = bucket_of(F.col("id"), buckets)
-    if total > large_bytes and records <= 1:
-        rows = covers_with_content(covers, bodies, tasks=-(-files // buckets)).withColumn("bucket", bucket)
-    else:
-        per_bucket = -(-files // buckets)
-        slot = F.pmod(F.xxhash64(F.col("id"), F.lit("slot")), F.lit(per_bucket)).cast("int")
-        rows = (
-            covers_with_content(covers, bodies)
-            .withColumns({"bucket": bucket, "_slot": slot})
-            .repartition(buckets * per_bucket, "bucket", "_slot")
-            .dropDuplicates(["bucket", "_slot", "id"])
-            .drop("_slot")
-        )
-    rows.write.mode("append").partitionBy("bucket").parquet(store)
+    total = covers.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    rows = covers_with_content(covers, bodies, tasks=max(1, -(-total // task_bytes)))
+    rows.withColumn("bucket", bucket_of(F.col("id"), buckets)).write.mode("append").partitionBy("bucket").parquet(store)

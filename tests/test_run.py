@@ -11,6 +11,8 @@ from compare import plan
 from pyspark.sql import functions as F
 from test_images import jpeg, png
 
+from folio.operators import collect
+from folio.operators.sift import sift
 from folio.operators.spread import spread_join
 from folio.plans import cli as command
 from folio.plans.catalogue import genre_profile
@@ -22,6 +24,7 @@ from folio.sinks.store import bucket_of, covers_with_content, write_covers
 from folio.sources import fetch as fetch_module
 from folio.sources.covers import existing_ids, scan_cover_files
 from folio.sources.fetch import Pace, fetch
+from folio.sources.responses import image_attempts, image_bodies
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors lack the test folder
 
@@ -205,28 +208,30 @@ def test_strict_sample(spark):
         run(spark, catalogue(spark, 3), "s", "l", site, "x", sample_size=4)
 
 
-def described(won, content, length=None, records=1):
-    return won.withColumns(
-        {
-            "width": F.lit(200),
-            "height": F.lit(300),
-            "length": F.lit(length or len(content)).cast("bigint"),
-            "digest": F.xxhash64(F.lit(content)),
-            "records": F.lit(records).cast("bigint"),
-        }
-    )
+def logged(spark, rows, files=3):
+    """Image responses ``img_url, attempt, content`` as a log in files, as the job leaves it."""
+    path = work_path(spark, "log")
+    rows.selectExpr("img_url AS url", "'image' AS kind", "attempt", "200 AS status", "content AS body").repartition(files).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def described(won, log, length=None):
+    covers = collect.covers_described(won, image_attempts(log))
+    return covers if length is None else covers.withColumn("length", F.lit(length).cast("bigint"))
 
 
 @pytest.fixture
 def shared_picture(spark, monkeypatch):
-    """One picture serves two thirds of the ids; joins take the spread path."""
+    """One picture serves two thirds of the ids, recorded many times; joins take the spread path."""
     from folio.sinks import store as store_module
 
     monkeypatch.setattr(store_module, "spread_join", lambda *a, **k: spread_join(*a, **k, small_rows=0, lanes=16))
     won = spark.range(90).selectExpr(
         "CAST(id AS STRING) AS id", "CASE WHEN id % 3 = 0 THEN concat('i', id) ELSE 'shared' END AS img_url", "1 AS attempt"
     )
-    return won, won.select("img_url", "attempt").distinct().withColumn("content", F.lit(GOOD))
+    once = won.select("img_url", "attempt").distinct().withColumn("content", F.lit(GOOD))
+    repeated = once.where("img_url = 'shared'").crossJoin(spark.range(50)).drop("id")
+    return won, logged(spark, once.union(repeated))
 
 
 def check_store(spark, path):
@@ -237,34 +242,30 @@ def check_store(spark, path):
     return len(stored.inputFiles())
 
 
-def test_small_store_drops_repeated_records(spark, shared_picture):
-    won, bodies = shared_picture
-    doubled = bodies.union(bodies.where("img_url = 'shared'"))
+@pytest.mark.parametrize(("length", "files"), [(None, 2), (50_000_000, 7)])
+def test_store(spark, shared_picture, length, files):
+    won, log = shared_picture
     path = work_path(spark, "store")
-    # Taken for 900 megabytes: seven files or more over two buckets.
-    write_covers(described(won, GOOD, 10_000_000, 2), doubled, path, buckets=2, large_bytes=0)
-    assert check_store(spark, path) > 2
+    write_covers(described(won, log, length), image_bodies(log), path, buckets=2)
+    assert check_store(spark, path) >= files  # 4.5 gigabytes are five tasks of two files, if each has ids of both buckets
 
 
-def test_large_store_shuffles_bytes_once(spark, shared_picture):
-    won, bodies = shared_picture
-    path = work_path(spark, "store")
-    write_covers(described(won, GOOD, 10_000_000), bodies, path, buckets=2, large_bytes=0)
-    assert check_store(spark, path) > 2
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
-    try:
-        text = plan(covers_with_content(described(won, GOOD), bodies, tasks=5).withColumn("bucket", bucket_of(F.col("id"), 2)))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", 10 << 20)
-    # Each side once, by the join's keys; further ones only make the fixture.
-    assert text.count("REPARTITION_BY_NUM") == 2
-    assert "SortMergeJoin" in text.split("Exchange")[0]
+def test_bodies_that_are_not_stored_stay_where_they_are(spark):
+    pictures_ = spark.range(300).selectExpr("concat('i', id) AS img_url", "1 AS attempt")
+    log = logged(spark, pictures_.crossJoin(spark.range(40)).select("img_url", "attempt", F.lit(GOOD).alias("content")))
+    won = pictures_.withColumn("id", F.col("img_url"))
+    covers, bodies = described(won, log), image_bodies(log)
+    assert bodies.count() == 12_000
+    assert sift(bodies, covers, ["file", "row"]).count() < 320  # what the one shuffle of bytes moves
+    assert covers_with_content(covers, bodies).count() == 300
+    shape = lambda n: [line for line in plan(covers_with_content(covers.limit(n), bodies, tasks=2)).splitlines() if line.startswith("(")]
+    assert len(shape(1)) == len(shape(300))
 
 
 def test_only_the_checked_bytes_are_stored(spark):
     won = spark.createDataFrame([("1", "a", 1)], "id string, img_url string, attempt int")
-    bodies = spark.createDataFrame([("a", 1, WIDE), ("a", 1, GOOD)], "img_url string, attempt int, content binary")
-    rows = covers_with_content(described(won, GOOD), bodies).collect()
+    log = logged(spark, spark.createDataFrame([("a", 1, WIDE), ("a", 1, GOOD), ("a", 2, GOOD), ("b", 1, GOOD)], "img_url string, attempt int, content binary"))
+    rows = covers_with_content(described(won, log), image_bodies(log)).collect()
     assert [(row.id, bytes(row.content)) for row in rows] == [("1", GOOD)]
 
 
