@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import re
 from collections.abc import Callable, Iterator
@@ -24,10 +25,35 @@ def shared(name: str, make: Callable[[], object]):
     return _SHARED[name]
 
 
+def trim() -> None:
+    """Give memory that is free inside this worker process back to the machine, where the C library can."""
+    pa.default_memory_pool().release_unused()
+    with suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def forget() -> None:
     """Free what earlier tasks left in this worker process."""
     _SHARED.clear()
-    pa.default_memory_pool().release_unused()
+    trim()
+
+
+def tidied(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, in a process that holds nothing of earlier tasks and keeps nothing of this one."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
+        yield from run(batches)
+        trim()
+
+    return whole
+
+
+def portions(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """Batches of ``rows`` rows at most, for steps that hold several times a batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,6 +88,8 @@ def arrow_map(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], dict]
                 columns = step(batch)
                 if columns is not None and len(columns[names[0]]):
                     yield pa.RecordBatch.from_arrays([pa.array(columns[n]) if not isinstance(columns[n], pa.Array) else columns[n] for n in names], names)
+        step = None
+        trim()
 
     return df.mapInArrow(run, schema)
 

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.base import forget, texts
+from folio.llm.base import forget, portions, texts, tidied
 from folio.session import materialize, scratch
 
 BLOCK_ITEMS = 256
@@ -481,10 +481,10 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             state: dict = {}
-            for batch in batches:
+            for batch in portions(batches):
                 numbers = [word_ids(sent.value[0].words, x.as_py() or "") for x in batch.column(at)]
                 held = {k for k, *_ in _search(*sent.value, numbers, state)}
                 yield batch.filter(pa.array([k not in held for k in range(batch.num_rows)], pa.bool_())) if held else batch
 
-        rows = rows.mapInArrow(run, docs.schema)
+        rows = rows.mapInArrow(tidied(run), docs.schema)
     return rows

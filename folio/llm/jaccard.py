@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folio.llm.base import arrow_map, forget, texts, words_of
+from folio.llm.base import arrow_map, forget, texts, tidied, words_of
 from folio.llm.components import components
 from folio.session import materialize, scratch
 
@@ -104,7 +104,7 @@ def frequency_sketch(docs: DataFrame, size: int, bits: int = SKETCH_BITS) -> np.
         some = [k for k, p in enumerate(parts) if p.strip(b"\0")]
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([parts[k] for k in some], pa.binary())], ["slice", "body"])
 
-    rows = _summed(texts(docs).select("text").mapInArrow(run, "slice int, body binary"))
+    rows = _summed(texts(docs).select("text").mapInArrow(tidied(run), "slice int, body binary"))
     empty = np.zeros((1 << bits) // _SLICES, np.int32).tobytes()
     return np.frombuffer(b"".join(rows.get(k, empty) for k in range(_SLICES)), np.int32)
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folio.llm.base import forget, utf8
+from folio.llm.base import forget, tidied, utf8
 from folio.session import materialize, scratch
 
 ORDER = 5
@@ -84,7 +84,7 @@ def count_words(docs: DataFrame) -> DataFrame:
                     yield from flush()
         yield from flush()
 
-    rows = _with_lang(docs).select("text", "lang").mapInArrow(run, "lang string, word binary, n long")
+    rows = _with_lang(docs).select("text", "lang").mapInArrow(tidied(run), "lang string, word binary, n long")
     return rows.groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
@@ -310,7 +310,7 @@ def scored(docs: DataFrame, shared, rare: DataFrame | None, keep: Callable[[Data
     rows = rows.select("doc_id", "text", "lang", "_row", *own)
     schema = T.StructType([*fields, *[rows.schema[x] for x in own]])
     names = schema.names
-    rows = rows.mapInArrow(run, schema)
+    rows = rows.mapInArrow(tidied(run), schema)
     part = F.col("part")
     if rare is not None:
         rows = materialize(rows, "parts")

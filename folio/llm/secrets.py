@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from folio.llm.automaton import Automaton
-from folio.llm.base import arrow_map, texts, utf8
+from folio.llm.base import arrow_map, portions, texts, tidied, utf8
 
 
 def any_case(word: str) -> str:
@@ -169,11 +169,9 @@ def redact(docs: DataFrame, mark: str = "[{kind}]") -> DataFrame:
         return step
 
     def run(batches):
-        step = None
-        for batch in batches:
-            if batch.num_rows:
-                step = step or make()
-                columns = step(batch)
-                yield pa.RecordBatch.from_arrays([columns[n] for n in batch.schema.names], batch.schema.names)
-
-    return docs.mapInArrow(run, docs.schema)
+        step = make()
+        for batch in portions(batches):
+            columns = step(batch)
+            yield pa.RecordBatch.from_arrays([columns[n] for n in batch.schema.names], batch.schema.names)
+
+    return docs.mapInArrow(tidied(run), docs.schema)
