@@ -8,9 +8,10 @@ written once as numbers; then:
 2. Tasks add up ``A'A R`` for the TF-IDF matrix A of all passages, its words the block's, and random R; from the
    sum the driver gets the leading right singular vectors (Nystrom form of the randomised SVD). The
    sum has one row for each word of the block, whatever the corpus.
-3. Overlapping passages of all documents are projected and compared with the projected items by cosine. Passages
-   around which enough of an item's active words lie are candidates whatever their cosine, and items that can be
-   held without any active word are looked for by all their words, so no item held is missed for its context.
+3. Overlapping passages of all documents are projected and compared with the projected items by cosine: that is how an
+   item is found. Only *thin* items, which ``THIN`` active words or fewer may be all that is left of, have no
+   direction of their own in a passage; passages with these words around them are candidates whatever their cosine, and
+   items that can be held without any active word are looked for by all their words.
    For each candidate around which enough of the item's words lie, in any order, the longest common
    subsequence of words is found bit-parallel. A
    document holds an item when the subsequence covers ``COVER`` of it, and half of its answer (the words of
@@ -40,6 +41,7 @@ BLOCK_ITEMS = 256
 WINDOW, STRIDE = 64, 32
 STOP_SHARE = 0.02
 COSINE = 0.2
+THIN = 3
 COVER, SURE, SHORT = 0.6, 0.8, 8
 _OUTER = string.punctuation + "«»„“”‘’‚…–—¿¡·"
 _OUTER_SET = frozenset(_OUTER)
@@ -287,7 +289,9 @@ class LeakFinder:
         self.need = self.cover - np.array([sum(not self.active[t] for t in item) for item in block.items])
         # Weak items can be held without any active word; they are looked for by all their words.
         self.weak, self.strong = np.flatnonzero(self.need <= 0), np.flatnonzero(self.need > 0)
-        self.shared = (self.place[self.strong, :-1].T >= 0) & self.active[:, None]
+        # Thin items can be held by so few active words that what stands around them decides the cosine.
+        self.thin = self.strong[self.need[self.strong] <= THIN]
+        self.shared = (self.place[self.thin, :-1].T >= 0) & self.active[:, None]
         self.member = self.place[self.weak].T >= 0
 
     @staticmethod
@@ -297,12 +301,12 @@ class LeakFinder:
         return starts[np.searchsorted(own, starts + WINDOW + size) - np.searchsorted(own, starts - size) >= need]
 
     def by_words(self, held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Text, window start and item wherever the active words leave a long enough subsequence possible, whatever the cosine."""
+        """Text, window start and thin item wherever the active words leave a long enough subsequence possible, whatever the cosine."""
         rows, starts, items = [], [], []
         for k, (_, ids, places, terms) in enumerate(held):
             there = self.shared[terms]
-            for q in np.flatnonzero(np.count_nonzero(there, axis=0) >= self.need[self.strong]).tolist():
-                item = self.strong[q]
+            for q in np.flatnonzero(np.count_nonzero(there, axis=0) >= self.need[self.thin]).tolist():
+                item = self.thin[q]
                 at = self.around(places[there[:, q]], len(ids), self.sizes[item], self.need[item])
                 rows.append(np.full(len(at), k))
                 starts.append(at)
@@ -357,6 +361,18 @@ class LeakFinder:
             out[part] = np.minimum(seen, self.often[items[part]]).sum(1)
         return out
 
+    def enough(self, held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]], rows: np.ndarray, starts: np.ndarray, items: np.ndarray) -> np.ndarray:
+        """Whether as many active words of the item lie around each window as holding it takes, repeats counted."""
+        edge = np.concatenate([[0], np.cumsum([len(ids) for _, ids, _, _ in held])])
+        places = np.concatenate([places + e for (_, _, places, _), e in zip(held, edge)])
+        terms = np.concatenate([terms for *_, terms in held])
+        first = np.searchsorted(places, edge[rows] + np.maximum(starts - self.sizes[items], 0))
+        size = np.searchsorted(places, np.minimum(edge[rows] + starts + WINDOW + self.sizes[items], edge[rows + 1])) - first
+        owner = np.repeat(np.arange(len(rows)), size)
+        inner = np.arange(len(owner)) - np.repeat(np.cumsum(size) - size, size)
+        found = self.place[items[owner], terms[first[owner] + inner]] >= 0
+        return np.bincount(owner[found], minlength=len(rows)) >= self.need[items]
+
     def check(self, item: int, ids: np.ndarray, starts: list[int]) -> tuple[int, int]:
         """Best common subsequence around the windows, and the answer's part in that place; a place that holds the item goes first."""
         words, answer = self.block.items[item], self.block.answers[item]
@@ -391,15 +407,8 @@ class LeakFinder:
             rows, starts, items, _ = self.candidates(held)
             strong = self.need[items] > 0
             rows, starts, items = (np.concatenate(x) for x in zip((rows[strong], starts[strong], items[strong]), self.by_words(held)))
-            rows, starts, items = np.unique(np.stack([rows, starts, items]), axis=1)
-            long = self.bounds(held, rows, starts, items) >= COVER * self.sizes[items]
-            near: dict[tuple[int, int], list[int]] = {}
-            for k, item, start in zip(rows[long].tolist(), items[long].tolist(), starts[long].tolist()):
-                near.setdefault((k, item), []).append(start)
-            for (k, item), found in near.items():
-                n, answered = self.check(item, held[k][1], found)
-                if self.holds(item, n, answered):
-                    out.append((held[k][0], item, n, self.cosine(item, held[k][1])))
+            likely = self.enough(held, rows, starts, items)
+            out.extend(self.settled(held, rows[likely], starts[likely], items[likely]))
 
         for row in texts_:
             held.append(row)
@@ -411,18 +420,32 @@ class LeakFinder:
             settle()
         return out
 
-    def find_weak(self, row: int, ids: np.ndarray) -> list[tuple[int, int, int, float]]:
-        out = []
-        there = self.member[ids]
-        for q in np.flatnonzero(np.count_nonzero(there, axis=0) >= self.cover[self.weak]).tolist():
-            item = int(self.weak[q])
-            starts = self.around(np.flatnonzero(there[:, q]), len(ids), self.sizes[item], self.cover[item])
-            rows, items = np.zeros(len(starts), np.int64), np.full(len(starts), item)
-            starts = starts[self.bounds([(row, ids, ids, ids)], rows, starts, items) >= self.cover[item]]
-            n, answered = self.check(item, ids, starts.tolist())
+    def settled(self, held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]], rows: np.ndarray, starts: np.ndarray, items: np.ndarray) -> Iterator[tuple[int, int, int, float]]:
+        """The items held around the given windows."""
+        long = self.bounds(held, rows, starts, items) >= COVER * self.sizes[items]
+        near: dict[tuple[int, int], list[int]] = {}
+        for k, item, start in zip(rows[long].tolist(), items[long].tolist(), starts[long].tolist()):
+            near.setdefault((k, item), []).append(start)
+        for (k, item), found in near.items():
+            n, answered = self.check(item, held[k][1], found)
             if self.holds(item, n, answered):
-                out.append((row, item, n, self.cosine(item, ids)))
-        return out
+                yield held[k][0], item, n, self.cosine(item, held[k][1])
+
+    def find_weak(self, texts_: list[tuple[int, np.ndarray]], chunk: int = 64) -> Iterator[tuple[int, int, int, float]]:
+        """The same for weak items, by all their words."""
+        for at in range(0, len(texts_), chunk):
+            held = [(k, ids, ids, ids) for k, ids in texts_[at : at + chunk]]
+            rows, starts, items = [], [], []
+            for k, (_, ids, _, _) in enumerate(held):
+                there = self.member[ids]
+                for q in np.flatnonzero(np.count_nonzero(there, axis=0) >= self.cover[self.weak]).tolist():
+                    item = int(self.weak[q])
+                    found = self.around(np.flatnonzero(there[:, q]), len(ids), self.sizes[item], self.cover[item])
+                    rows.append(np.full(len(found), k))
+                    starts.append(found)
+                    items.append(np.full(len(found), item))
+            if rows:
+                yield from self.settled(held, *(np.concatenate(x) for x in (rows, starts, items)))
 
 
 def _finder(ids: DataFrame, block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -438,8 +461,7 @@ def _search(block: Block, idf: np.ndarray, space: np.ndarray, numbers: list[np.n
     finder = state["finder"]
     found = finder.find(_tokens(numbers, finder.active))
     if len(finder.weak):
-        for k, ids, _, _ in _tokens(numbers, state["all"]):
-            found += finder.find_weak(k, ids)
+        found += finder.find_weak([(k, ids) for k, ids, _, _ in _tokens(numbers, state["all"])])
     return found
 
 

@@ -344,6 +344,45 @@ def test_items_with_few_rare_words_are_found(spark):
     assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame(spark, rows), bench).collect()} == want
 
 
+def test_items_are_found_by_their_cosine(spark, monkeypatch):
+    """Items that are not thin are found by the latent space alone: not where its directions belong to other items."""
+    rng = random.Random(17)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    stop = [word() for _ in range(30)]
+    mixed = lambda n: [rng.choice(stop) if rng.random() < 0.5 else word() for _ in range(n)]
+    items = [mixed(40) for _ in range(30)]
+    changed = lambda item, share: [word() if rng.random() < share else w for w in item]
+    rows, want = [], {0.0: set(), 0.2: set(), 0.3: set()}
+    for k in range(600):
+        t = mixed(150)
+        if k % 2:
+            share = (0.0, 0.2, 0.3)[k // 2 % 3]
+            at, item = rng.randrange(150), k % 30
+            t[at:at] = changed(items[item], share)
+            want[share].add((k, item))
+        rows.append((k, " ".join(t), "en"))
+    docs, bench = frame(spark, rows), spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(items)], "item_id long, text string")
+    block = next(iter(decontaminate.blocks(bench)))
+    idf, space = decontaminate._finder(decontaminate.numbered(docs, block), block)
+    numbers = [decontaminate.word_ids(block.words, t) for _, t, _ in rows]
+
+    def find(thin=decontaminate.THIN, turned=False):
+        monkeypatch.setattr(decontaminate, "THIN", thin)
+        finder = decontaminate.LeakFinder(block, idf, space)
+        if turned:  # each item has the direction of another
+            finder.queries = np.roll(finder.queries, 1, axis=1)
+        state = {"finder": finder, "all": np.ones(len(block.words), bool)}
+        return {(k, block.item_ids[item]) for k, item, *_ in decontaminate._search(block, idf, space, numbers, state)}
+
+    found, everything = find(), find(thin=1000)  # by their words, whatever the cosine
+    assert found <= everything <= set().union(*want.values())
+    for pairs in want.values():
+        assert len(found & pairs) >= 0.94 * len(everything & pairs)
+    assert want[0.0] <= found
+    assert len(find(turned=True)) < len(found) / 2
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()} == found
+
+
 def test_every_place_of_a_document_is_judged(spark):
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
