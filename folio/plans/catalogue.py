@@ -18,7 +18,7 @@ from folio.operators.genres import (
 )
 from folio.session import materialize
 from folio.sinks.store import write_curated
-from folio.sources.catalog import load_books
+from folio.sources.catalog import read_books
 
 
 @dataclass
@@ -34,15 +34,30 @@ class GenreProfile:
 class Curated:
     books: DataFrame
     funnel: dict[str, int]  # books before and after each filter
+    n_bad: int = 0  # records of the raw files that are no books
 
 
 def curate_to(
-    spark: SparkSession, source: str, target: str, fmt: str = "parquet", min_ratings: int = MIN_RATINGS, **options: str
+    spark: SparkSession,
+    source: str,
+    target: str,
+    fmt: str = "parquet",
+    min_ratings: int = MIN_RATINGS,
+    quarantine: str | None = None,
+    **options,
 ) -> Curated:
-    """Read a catalogue, write the curated books, and go on from the written table."""
-    books, funnel = curate_observed(load_books(spark, source, fmt, **options), min_ratings)
+    """Read a catalogue, write the curated books, and go on from the written table.
+
+    Records that are no books are counted in the same pass and, if there are any, written to ``quarantine`` (``file,
+    record``).
+    """
+    raw, records = read_books(spark, source, fmt, **options)
+    books, funnel = curate_observed(raw, min_ratings)
     write_curated(books, target)
-    return Curated(spark.read.parquet(target), funnel.get)
+    n_bad = records.seen.get["n_bad"] if records else 0
+    if n_bad and quarantine:
+        records.bad.write.mode("overwrite").parquet(quarantine)
+    return Curated(spark.read.parquet(target), funnel.get, n_bad)
 
 
 def genre_profile(books: DataFrame, top: int = TOP_GENRES, min_count: int = MIN_COUNT, fail: bool = False) -> GenreProfile:

@@ -1,6 +1,6 @@
 """Command line, for ``spark-submit``:
 
-    cli.py curate  SOURCE CURATED [--format parquet]
+    cli.py curate  SOURCE CURATED [--format parquet] [--quarantine TABLE]
     cli.py genres  CURATED
     cli.py collect CURATED STORE LOG --run-id ID [--sample 2000] [--images FOLDER]
 """
@@ -32,6 +32,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     one.add_argument("curated")
     one.add_argument("--format", default="parquet")
     one.add_argument("--min-ratings", type=int, default=MIN_RATINGS)
+    one.add_argument("--quarantine", help="table for records that are no books")
     two = commands.add_parser("genres")
     two.add_argument("curated")
     two.add_argument("--top", type=int, default=TOP_GENRES)
@@ -82,7 +83,9 @@ def store_report(folder: str, **tables: DataFrame) -> None:
 
 def run_command(spark: SparkSession, args: argparse.Namespace) -> None:
     if args.command == "curate":
-        print(curate_to(spark, args.source, args.curated, args.format, args.min_ratings).funnel)
+        done = curate_to(spark, args.source, args.curated, args.format, args.min_ratings, args.quarantine)
+        print(done.funnel)
+        print(f"records that are no books: {done.n_bad}")
     elif args.command == "genres":
         profile = genre_profile(spark.read.parquet(args.curated), args.top, args.min_count, args.fail)
         profile.top.show(args.top, truncate=False)

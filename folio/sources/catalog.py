@@ -8,8 +8,12 @@ from pyspark.sql import types as T
 
 from folio.operators.sample import SEED, maybe_sample
 from folio.schemas import require_columns
+from folio.sources.records import Records, read_csv, read_json
 
 REQUIRED = ("id", "url", "genres", "num_ratings", "num_reviews")
+#: Types of the needed columns in JSON; a list of genres is read as its JSON text.
+NAMED = {"id": "string", "url": "string", "genres": "string", "num_ratings": "double", "num_reviews": "double"}
+CSV_DIALECT = {"header": "true", "escape": '"'}
 
 
 def conform(books: DataFrame) -> DataFrame:
@@ -23,20 +27,37 @@ def conform(books: DataFrame) -> DataFrame:
     return books.withColumns(settled) if settled else books
 
 
-def load_books(
+def read_books(
     spark: SparkSession,
     path: str,
     fmt: str = "parquet",
     split: str | None = None,
+    schema: dict[str, str] | None = None,
     **options: str,
-) -> DataFrame:
-    """Read a catalogue in Parquet, JSON lines or CSV; ``split`` names a folder below ``path``."""
+) -> tuple[DataFrame, Records | None]:
+    """A catalogue in Parquet, JSON lines or CSV, and for the latter two what its files hold beside books.
+
+    ``split`` names a folder below ``path``. JSON's further columns are those of ``schema``, types by name, if given.
+    With ``options`` of another dialect than a header and doubled quotes, CSV is left to Spark's reader.
+    """
     if split:
         path = f"{path.rstrip('/')}/{split}"
-    if fmt == "csv":
-        # Without inference: one pass, numbers settled by conform. Quoted texts may hold line breaks.
-        options = {"header": "true", "escape": '"', "multiLine": "true", **options}
-    return conform(spark.read.format(fmt).options(**options).load(path))
+    if fmt == "json" and not options:
+        records = read_json(spark, path, NAMED, schema)
+    elif fmt == "csv" and options.items() <= CSV_DIALECT.items():
+        records = read_csv(spark, path)
+    else:
+        if fmt == "csv":
+            options = {**CSV_DIALECT, "multiLine": "true", **options}
+        return conform(spark.read.format(fmt).options(**options).load(path)), None
+    return conform(records.rows), records
+
+
+def load_books(
+    spark: SparkSession, path: str, fmt: str = "parquet", split: str | None = None, schema: dict[str, str] | None = None, **options: str
+) -> DataFrame:
+    """The books of a catalogue; what is no book is left out, see ``read_books``."""
+    return read_books(spark, path, fmt, split, schema, **options)[0]
 
 
 def load_catalog(
