@@ -43,9 +43,12 @@ def test_items_are_split_once(stored):
     assert plan(genres.genre_counts(stored)).count("regexp_extract_all") <= 2  # optimized once, printed per node
 
 
-def test_sample_is_a_top_n(stored):
+def test_sample_sorts_only_what_is_drawn(stored):
     text = plan(sample_exact(stored, 10))
-    assert "TakeOrderedAndProject" in text and "Window" not in text
+    # Rows meet the hashes that were drawn; nothing gathers the top n of all rows in one task.
+    assert "LeftSemi" in text and "TakeOrderedAndProject" not in text and "Window" not in text
+    tree = text[: text.index("(1)")]
+    assert tree.index("Sort") < tree.index("Join")
 
 
 def test_native_extraction_has_no_shuffle_and_no_python(spark, sf_dir):
