@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from folio.functions.headers import bmp_size, gif_size, png_size, webp_size
+
 # Smallest width and height, and the widest aspect of a cover.
 MIN_WIDTH = 100
 MIN_HEIGHT = 150
@@ -153,7 +155,7 @@ def _read_sizes(content: str):
                 (None if image.as_buffer() is None else read_size(image.as_buffer())) or (None, None)
                 for image in batch.column(content)
             ]
-            for at, name in enumerate(("width", "height")):
+            for at, name in enumerate(("_width", "_height")):
                 batch = batch.append_column(name, pa.array([size[at] for size in sizes], pa.int32()))
             yield batch.drop_columns([content])
 
@@ -163,19 +165,21 @@ def _read_sizes(content: str):
 def with_image_size(images: DataFrame, content: str = "content") -> DataFrame:
     """Replace ``content`` by ``format``, ``width``, ``height``; null width and height mean unreadable.
 
-    Only bytes of a known format are streamed through Python, and none come back.
+    Sizes are read by expressions where the header is in a fixed place or a walk of few steps. Only the bytes of JPEG images,
+    and of those whose walk is longer, are streamed through Python, and none come back.
     """
     kept = [field for field in images.schema.fields if field.name != content]
-    known = images.withColumn("format", sniff_format(F.col(content)))
-    asked = known.select(
-        *[field.name for field in kept],
-        "format",
-        F.when(F.col("format").isNotNull(), F.col(content)).alias(content),
-    )
-    added = [("format", T.StringType()), ("width", T.IntegerType()), ("height", T.IntegerType())]
-    return asked.mapInArrow(
-        _read_sizes(content), T.StructType([*kept, *[T.StructField(name, kind) for name, kind in added]])
-    )
+    names = [field.name for field in kept]
+    body, kind = F.col(content), F.col("format")
+    (png, png_done), (gif, gif_done) = png_size(body), gif_size(body)
+    native = F.when(kind == "png", png).when(kind == "gif", gif).when(kind == "bmp", bmp_size(body, BMP_HEADERS, BMP_BITS)).when(kind == "webp", webp_size(body))
+    settled = F.when(kind == "png", png_done).when(kind == "gif", gif_done).otherwise(kind != "jpeg")
+    known = images.withColumn("format", sniff_format(body)).select(*names, "format", native.alias("_size"), F.when(~settled, body).alias(content))
+    limit = (F.col("_size.width") * F.col("_size.height") <= MAX_PIXELS) & (F.greatest("_size.width", "_size.height") < 1 << 31)
+    asked = known.select(*names, "format", *[F.when(limit, F.col(f"_size.{x}")).cast("int").alias(x) for x in ("width", "height")], content)
+    added = [T.StructField("format", T.StringType()), *[T.StructField(x, T.IntegerType()) for x in ("width", "height", "_width", "_height")]]
+    read = asked.mapInArrow(_read_sizes(content), T.StructType([*kept, *added]))
+    return read.select(*names, "format", *[F.coalesce(x, F.col(f"_{x}")).alias(x) for x in ("width", "height")])
 
 
 def aspect_ratio(width: Column, height: Column) -> Column:

@@ -1,3 +1,4 @@
+import random
 import struct
 import zlib
 
@@ -94,6 +95,41 @@ def test_probe(spark):
     assert got == {**want, **{name: (None, None) for name in [*BAD, "null"]}}
 
 
+def extended_gif(blocks, frame=True):
+    """A GIF with an extension of that many sub-blocks before its frame."""
+    data = gif(120, 200)
+    extension = b"\x21\xfe" + b"".join(bytes([9]) + b"123456789" for _ in range(blocks)) + b"\x00"
+    return data[:13] + extension + (data[13:] if frame else b"")
+
+
+def test_native_sizes_are_those_of_the_reader(spark):
+    rng = random.Random(8)
+    images = [data for data, *_ in GOOD.values()] + list(BAD.values()) + [extended_gif(5), extended_gif(1000), extended_gif(3, frame=False)]
+    images += [png(3, 4, b"".join(chunk(b"tEXt", b"k") for _ in range(n))) for n in (3, 600)]
+    images += [png(3, 4, chunk(b"a\x01bc", b"")), png(3, 4, chunk(b"zzZZ", b""))]
+    for data in list(images):
+        for _ in range(25):  # cut off, or with a byte changed
+            changed = bytearray(data[: rng.randint(0, min(len(data), 90))] if rng.random() < 0.5 else data[:400])
+            if changed and rng.random() < 0.7:
+                changed[rng.randrange(min(len(changed), 60))] = rng.randrange(256)
+            images.append(bytes(changed))
+    rows = with_image_size(spark.createDataFrame(list(enumerate(images)), "id int, content binary")).collect()
+    got = {row.id: (row.width, row.height) for row in rows}
+    want = {k: read_size(data) or (None, None) for k, data in enumerate(images)}
+    assert {k: (images[k][:60], got[k], want[k]) for k in want if got[k] != want[k]} == {}
+
+
+def test_only_jpeg_goes_through_python(spark, monkeypatch):
+    kind = type(spark.range(0))
+    data = [d for d, *_ in GOOD.values()] + list(BAD.values())
+    sent = []
+    real = kind.mapInArrow
+    monkeypatch.setattr(kind, "mapInArrow", lambda df, *a, **k: (sent.append(df), real(df, *a, **k))[1])
+    with_image_size(spark.createDataFrame(list(enumerate(data)), "id int, content binary"))
+    bodies = [bytes(row.content) for row in sent[0].where("content IS NOT NULL").collect()]
+    assert bodies and all(body.startswith(b"\xff\xd8\xff") for body in bodies)
+
+
 GEOMETRY = {
     (100, 150): True,
     (99, 150): False,
