@@ -36,6 +36,15 @@ def books(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def odd_genres(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A book per part whose genre list is an escaped literal, a tuple, no list, or of mixed quotes."""
+    return table(spark, sf_dir, "part").selectExpr(
+        "CAST(p_partkey AS STRING) AS id",
+        r"""CASE p_partkey % 4 WHEN 0 THEN concat("['", p_name, "\\'s', None]") WHEN 1 THEN concat('("', p_type, '",)')
+            WHEN 2 THEN concat('no list ', p_name) ELSE concat('["', p_brand, "\", '", p_type, "']") END AS genres""",
+    )
+
+
 def page_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The pages, each with one of nine kinds of cover markup put into its head."""
     page = "CAST(page_id AS STRING)"

@@ -134,6 +134,24 @@ def genre_counts(spark, sf_dir):
     return _genre_counts(spark, sf_dir)
 
 
+def genre_literals(spark, sf_dir):
+    """Lists that only the literal reader can take, book by book."""
+    return genres.genre_explode(fixtures.odd_genres(spark, sf_dir), "id")
+
+
+def genre_literals_report(spark, sf_dir):
+    return genres.genre_parse_report(fixtures.odd_genres(spark, sf_dir))
+
+
+def genre_literals_frequent(spark, sf_dir):
+    """Genres of such lists above a count that small tables reach."""
+    return genres.genre_frequent(genres.genre_counts(fixtures.odd_genres(spark, sf_dir)), 2)
+
+
+def genre_literals_frequent_count(spark, sf_dir):
+    return genres.genre_frequent_count(genres.genre_counts(fixtures.odd_genres(spark, sf_dir)), 2)
+
+
 def genre_distinct(spark, sf_dir):
     return genres.genre_distinct(_genre_counts(spark, sf_dir))
 
@@ -342,6 +360,10 @@ QUERIES: dict[str, Query] = {
     "genre_parse_report": genre_parse_report,
     "genre_explode": genre_explode,
     "genre_counts": genre_counts,
+    "genre_literals": genre_literals,
+    "genre_literals_report": genre_literals_report,
+    "genre_literals_frequent": genre_literals_frequent,
+    "genre_literals_frequent_count": genre_literals_frequent_count,
     "genre_distinct": genre_distinct,
     "genre_distinct_approx": genre_distinct_approx,
     "genre_frequent": genre_frequent,
