@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folio.llm.base import arrow_map, texts
-from folio.session import materialize
+from folio.session import materialize, scratch
 
 BLOCK = 1000
 _EMPTY = hashlib.sha256(b"").hexdigest()
@@ -352,42 +352,66 @@ def _cut(rows: DataFrame) -> DataFrame:
 def remove_repeats(docs: DataFrame, length: int = 400, gram: int = 200, block: int = BLOCK) -> DataFrame:
     """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` for every row of ``docs``."""
     c = F.col
-    rows = materialize(anchors(docs, length, gram), "anchors")
-    classes = rows.groupBy("key").agg(F.min("doc_id").alias("leader"), F.count("*").alias("copies"), F.max("n_bytes").alias("n_bytes"), F.max("sha").alias("sha"))
-    classes = materialize(classes, "classes")
-    leaders = rows.filter(F.size("grams") > 0).join(classes.select("key", "leader"), "key").filter(c("doc_id").eqNullSafe(c("leader"))).dropDuplicates(["key"])
-    met = materialize(leaders.select("key", F.explode("grams").alias("gram")), "met")
-    often = met.groupBy("gram").agg(F.count("*").alias("_n")).filter("_n > 1").select("gram")
-    repeated = met.join(often, "gram").groupBy("key").agg(F.collect_set("gram").alias("grams"))
-    repeated = materialize(repeated.join(classes.select("key", "leader"), "key"), "repeated")
-    # The texts of classes with a repeated anchor, one of each.
-    ids = repeated.select("leader").distinct()
-    leads = texts(docs).join(ids, c("doc_id").eqNullSafe(c("leader")), "left_semi")
-    named = arrow_map(leads, _named, "key binary, text string")
-    wanted = materialize(named.join(repeated.select("key", "grams"), "key").dropDuplicates(["key"]), "wanted")
-    found = materialize(contexts(wanted, length, gram), "contexts")
-    equal = found.groupBy(*_ID).agg(F.sum("n").alias("total"), F.min("key").alias("key"))
-    equal = materialize(equal, "equal")
-    several = equal.groupBy("gram").agg(F.count("*").alias("_contexts")).filter("_contexts > 1")
-    one_each = materialize(found.join(equal.drop("total"), [*_ID, "key"]).join(several, "gram").select(*_ID, "body", "_contexts"), "mixed")
-    sorted_ = sort_contexts(one_each.filter(c("_contexts") <= block), length)
-    spread = spread_contexts(one_each.filter(c("_contexts") > block), length)
-    partly = materialize(sorted_.union(spread), "sorted")
-    whole = F.array(F.struct(c("near").alias("a"), c("far").alias("b")))
-    spans = equal.filter("total > 1").select(*_ID, whole.alias("spans")).union(
-        partly.join(equal.filter("total = 1").select(*_ID), _ID).select(*_ID, "spans")
-    )
-    ranges = _class_spans(found.select(*_ID, "key", "at").join(spans, _ID), length)
-    cut = _cut(wanted.select("key", "text").join(ranges, "key"))
-    per = classes.join(cut, "key", "left")
-    copied = (c("copies") > 1) & (c("n_bytes") >= length)
-    per = per.select(
-        "key",
-        F.when(copied, c("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
-        F.when(copied, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
-        F.when(copied, F.lit(_EMPTY)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
-    )
-    return rows.select("doc_id", "n_bytes", "key").join(per, "key").select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    with scratch(docs.sparkSession) as keep:
+        rows = materialize(anchors(docs, length, gram), "anchors")
+        classes = rows.groupBy("key").agg(F.min("doc_id").alias("leader"), F.count("*").alias("copies"), F.max("n_bytes").alias("n_bytes"), F.max("sha").alias("sha"))
+        classes = materialize(classes, "classes")
+        wanted = _texts_of(docs, _repeated_anchors(rows, classes))
+        cut = _cut(wanted.select("key", "text").join(_ranges(wanted, length, gram, block), "key"))
+        per = classes.join(materialize(cut, "cut"), "key", "left")
+        copied = (c("copies") > 1) & (c("n_bytes") >= length)
+        per = per.select(
+            "key",
+            F.when(copied, c("n_bytes")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
+            F.when(copied, F.lit(1)).otherwise(F.coalesce("n_spans", F.lit(0))).cast("long").alias("n_spans"),
+            F.when(copied, F.lit(_EMPTY)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
+        )
+        out = rows.select("doc_id", "n_bytes", "key").join(per, "key")
+        return keep(out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"), "repeats")
+
+
+def _repeated_anchors(rows: DataFrame, classes: DataFrame) -> DataFrame:
+    """``key, leader, grams``: the anchors of each class that are met more than once."""
+    with scratch(rows.sparkSession) as keep:
+        leaders = rows.filter(F.size("grams") > 0).join(classes.select("key", "leader"), "key").filter(F.col("doc_id").eqNullSafe(F.col("leader"))).dropDuplicates(["key"])
+        met = materialize(leaders.select("key", F.explode("grams").alias("gram")), "met")
+        often = met.groupBy("gram").agg(F.count("*").alias("_n")).filter("_n > 1").select("gram")
+        repeated = met.join(often, "gram").groupBy("key").agg(F.collect_set("gram").alias("grams"))
+        return keep(repeated.join(classes.select("key", "leader"), "key"), "repeated")
+
+
+def _texts_of(docs: DataFrame, repeated: DataFrame) -> DataFrame:
+    """``key, text, grams`` of the classes with a repeated anchor, one text of each."""
+    with scratch(docs.sparkSession) as keep:
+        ids = repeated.select("leader").distinct()
+        leads = texts(docs).join(ids, F.col("doc_id").eqNullSafe(F.col("leader")), "left_semi")
+        named = arrow_map(leads, _named, "key binary, text string")
+        return keep(named.join(repeated.select("key", "grams"), "key").dropDuplicates(["key"]), "wanted")
+
+
+def _ranges(wanted: DataFrame, length: int, gram: int, block: int) -> DataFrame:
+    """``key, ranges``: the byte ranges of each class that are repeated."""
+    c = F.col
+    with scratch(wanted.sparkSession) as keep:
+        found = materialize(contexts(wanted, length, gram), "contexts")
+        equal = materialize(found.groupBy(*_ID).agg(F.sum("n").alias("total"), F.min("key").alias("key")), "equal")
+        partly = _compared(found, equal, length, block)
+        whole = F.array(F.struct(c("near").alias("a"), c("far").alias("b")))
+        spans = equal.filter("total > 1").select(*_ID, whole.alias("spans")).union(
+            partly.join(equal.filter("total = 1").select(*_ID), _ID).select(*_ID, "spans")
+        )
+        return keep(_class_spans(found.select(*_ID, "key", "at").join(spans, _ID), length), "ranges")
+
+
+def _compared(found: DataFrame, equal: DataFrame, length: int, block: int) -> DataFrame:
+    """Repeated distances of the contexts whose anchor has others."""
+    c = F.col
+    with scratch(found.sparkSession) as keep:
+        several = equal.groupBy("gram").agg(F.count("*").alias("_contexts")).filter("_contexts > 1")
+        one_each = materialize(found.join(equal.drop("total"), [*_ID, "key"]).join(several, "gram").select(*_ID, "body", "_contexts"), "mixed")
+        sorted_ = sort_contexts(one_each.filter(c("_contexts") <= block), length)
+        spread = spread_contexts(one_each.filter(c("_contexts") > block), length)
+        return keep(sorted_.union(spread), "sorted")
 
 
 def _named():
