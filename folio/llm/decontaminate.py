@@ -57,7 +57,7 @@ def word_ids(words: dict[str, int], text: str) -> np.ndarray:
     """Number of each blank-separated word of a text among the block's words, -1 for others."""
     raw = text.lower().split()
     ids = list(map(words.get, raw, repeat(-1)))
-    for k, word in enumerate(raw):
+    for k, word in [(k, word) for k, word in enumerate(raw) if not word.isalnum()]:
         if word[-1] in _OUTER_SET or word[0] in _OUTER_SET:
             ids[k] = words.get(word.strip(_OUTER), -1)
     return np.array(ids, np.int32)
@@ -292,7 +292,6 @@ class LeakFinder:
         # Thin items can be held by so few active words that what stands around them decides the cosine.
         self.thin = self.strong[self.need[self.strong] <= THIN]
         self.shared = (self.place[self.thin, :-1].T >= 0) & self.active[:, None]
-        self.member = self.place[self.weak].T >= 0
 
     @staticmethod
     def around(own: np.ndarray, words: int, size: int, need: int) -> np.ndarray:
@@ -327,15 +326,18 @@ class LeakFinder:
 
     def candidates(self, held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Text, window start, item and cosine of near windows, for texts as ``_tokens`` gives them."""
-        vectors, rows, starts = [], [], []
+        rows, starts, low, high, before = [], [], [], [], 0
         for k, (_, ids, places, terms) in enumerate(held):
-            start, low, high = _window_rows(places, len(ids), WINDOW, STRIDE)
-            sums = np.zeros((len(terms) + 1, self.space.shape[1]), np.float32)
-            np.cumsum(self.space[terms], axis=0, out=sums[1:])
-            vectors.append(sums[high] - sums[low])
+            start, a, b = _window_rows(places, len(ids), WINDOW, STRIDE)
             rows.append(np.full(len(start), k))
             starts.append(start)
-        v, rows, starts = np.concatenate(vectors), np.concatenate(rows), np.concatenate(starts)
+            low.append(a + before)
+            high.append(b + before)
+            before += len(terms)
+        rows, starts, low, high = (np.concatenate(x) for x in (rows, starts, low, high))
+        sums = np.zeros((before + 1, self.space.shape[1]), np.float32)
+        np.cumsum(self.space[np.concatenate([terms for *_, terms in held])], axis=0, out=sums[1:])
+        v = sums[high] - sums[low]
         size = np.maximum(np.linalg.norm(v, axis=1), 1e-12)
         cosine = v @ self.queries
         w, q = np.nonzero(cosine >= (COSINE * size)[:, None])
@@ -432,20 +434,28 @@ class LeakFinder:
                 yield held[k][0], item, n, self.cosine(item, held[k][1])
 
     def find_weak(self, texts_: list[tuple[int, np.ndarray]], chunk: int = 64) -> Iterator[tuple[int, int, int, float]]:
-        """The same for weak items, by all their words."""
+        """The same for weak items, by all their words: counted by strides first, then around each window that is left."""
         for at in range(0, len(texts_), chunk):
             held = [(k, ids, ids, ids) for k, ids in texts_[at : at + chunk]]
-            rows, starts, items = [], [], []
-            for k, (_, ids, _, _) in enumerate(held):
-                there = self.member[ids]
-                for q in np.flatnonzero(np.count_nonzero(there, axis=0) >= self.cover[self.weak]).tolist():
-                    item = int(self.weak[q])
-                    found = self.around(np.flatnonzero(there[:, q]), len(ids), self.sizes[item], self.cover[item])
-                    rows.append(np.full(len(found), k))
-                    starts.append(found)
-                    items.append(np.full(len(found), item))
-            if rows:
-                yield from self.settled(held, *(np.concatenate(x) for x in (rows, starts, items)))
+            sizes = np.array([len(ids) for _, ids, _, _ in held])
+            strides = -(-sizes // STRIDE)
+            first = np.cumsum(strides) - strides
+            body = np.concatenate([ids for _, ids, _, _ in held])
+            stride = np.repeat(first, sizes) + (np.arange(len(body)) - np.repeat(np.cumsum(sizes) - sizes, sizes)) // STRIDE
+            windows = np.maximum(1, -(-(sizes - WINDOW + STRIDE) // STRIDE))  # as ``around`` has them
+            rows = np.repeat(np.arange(len(held)), windows)
+            starts = (np.arange(len(rows)) - np.repeat(np.cumsum(windows) - windows, windows)) * STRIDE
+            for item in self.weak.tolist():
+                size, width = self.sizes[item], self.often.shape[1]
+                place = self.place[item, body]
+                found = place >= 0
+                seen = np.zeros((int(strides.sum()) + 1, width), np.int64)
+                np.cumsum(np.bincount(stride[found] * width + place[found], minlength=(len(seen) - 1) * width).reshape(-1, width), axis=0, out=seen[1:])
+                low = first[rows] + np.maximum(starts - size, 0) // STRIDE
+                high = first[rows] + np.minimum(-(-(starts + WINDOW + size) // STRIDE), strides[rows])
+                near = np.minimum(seen[high] - seen[low], self.often[item]).sum(1) >= self.cover[item]
+                if near.any():
+                    yield from self.settled(held, rows[near], starts[near], np.full(int(near.sum()), item))
 
 
 def _finder(ids: DataFrame, block: Block) -> tuple[np.ndarray, np.ndarray]:
