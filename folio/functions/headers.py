@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-STEPS = 64
+STEPS = 16
 # How a walk stands: under way, at what it looked for, or at an end that makes the image unreadable.
 _WALKING, _FOUND, _LOST = 0, 1, 2
 
