@@ -329,32 +329,38 @@ def _with_text(docs: DataFrame, rows: DataFrame) -> DataFrame:
 def remove_phrases(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, many: int = MANY, shard_words: int = SHARD_WORDS) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_sha256`` for every row of ``docs``."""
     c = F.col
-    with scratch(docs.sparkSession) as keep:
-        rows = materialize(_anchored(docs, length, gram), "anchored")
-        leader = F.struct("doc_id", "mark")
-        classes = rows.groupBy("sha").agg(F.min(leader).alias("leader"), F.count("*").alias("copies"), F.min_by("grams", leader).alias("grams"))
-        classes = materialize(classes.filter(F.size("grams") > 0), "classes")
-        with scratch(docs.sparkSession) as keep_places:
-            met = materialize(classes.select("sha", F.explode("grams").alias("gram"), "copies"), "met")
-            often = met.groupBy("gram").agg(F.sum("copies").alias("_n")).filter("_n > 1").select("gram")
-            repeated = spread_join(met, often, ["gram"], "left_semi").groupBy("sha").agg(F.collect_set("gram").alias("grams"))
-            wanted = materialize(classes.drop("grams").join(repeated, "sha"), "wanted")
-            places = keep_places(_places(_with_text(docs, wanted).dropDuplicates(["sha"]), length, gram), "places")
-        contexts = places.groupBy("context", "gram").agg(F.sum("n").alias("n"), F.max("words").alias("words"), F.max("body").alias("body"))
-        contexts = materialize(contexts, "contexts")
-        crowded = materialize(contexts.groupBy("gram").agg(F.count("*").alias("_n")).filter(c("_n") > many).select("gram"), "crowded")
-        single = materialize(_single_windows(spread_join(contexts, crowded, ["gram"], "left_semi"), length), "single")
-        windows = single.groupBy("window").agg(F.sum("n").alias("n"), F.max("body").alias("body"))
-        windows = windows.select(c("window").alias("key"), c("window").alias("context"), "n", "body")
-        others = spread_join(contexts, crowded, ["gram"], "left_anti")
-        others = others.select(c("gram").cast("string").cast("binary").alias("key"), "context", "n", "body")
-        words = contexts.agg(F.sum("words")).first()[0] or 0
-        found = materialize(match(others.union(windows), length, words // shard_words + 1), "found")
-        hits = single.join(found.select(c("context").alias("window")), "window", "left_semi")
-        spans = found.union(hits.groupBy("context").agg(F.flatten(F.collect_list(F.array("at", "at"))).alias("spans")))
-        pieces = spread_join(places.select("class", "context", "at"), spans, ["context"]).groupBy("class").agg(F.collect_list(F.struct("at", "spans")).alias("pieces"))
-        pieces = materialize(pieces.join(classes.select(c("sha").alias("class"), "leader"), "class"), "pieces")
+    spark = docs.sparkSession
+    with scratch(spark) as keep:
+        with scratch(spark) as keep_pieces:
+            anchored = materialize(_anchored(docs, length, gram), "anchored")
+            rows = keep_pieces(anchored.select("doc_id", "n_words", c("sha").alias("class")), "rows")
+            leader = F.struct("doc_id", "mark")
+            classes = anchored.groupBy("sha").agg(F.min(leader).alias("leader"), F.count("*").alias("copies"), F.min_by("grams", leader).alias("grams"))
+            classes = materialize(classes.filter(F.size("grams") > 0), "classes")
+            with scratch(spark) as keep_contexts:
+                with scratch(spark) as keep_places:
+                    met = materialize(classes.select("sha", F.explode("grams").alias("gram"), "copies"), "met")
+                    often = met.groupBy("gram").agg(F.sum("copies").alias("_n")).filter("_n > 1").select("gram")
+                    repeated = spread_join(met, often, ["gram"], "left_semi").groupBy("sha").agg(F.collect_set("gram").alias("grams"))
+                    wanted = materialize(classes.drop("grams").join(repeated, "sha"), "wanted")
+                    places = keep_places(_places(_with_text(docs, wanted).dropDuplicates(["sha"]), length, gram), "places")
+                contexts = places.groupBy("context", "gram").agg(F.sum("n").alias("n"), F.max("words").alias("words"), F.max("body").alias("body"))
+                contexts = keep_contexts(contexts, "contexts")
+                where = keep_contexts(places.select("class", "context", "at"), "where")
+            with scratch(spark) as keep_spans:
+                crowded = materialize(contexts.groupBy("gram").agg(F.count("*").alias("_n")).filter(c("_n") > many).select("gram"), "crowded")
+                single = materialize(_single_windows(spread_join(contexts, crowded, ["gram"], "left_semi"), length), "single")
+                windows = single.groupBy("window").agg(F.sum("n").alias("n"), F.max("body").alias("body"))
+                windows = windows.select(c("window").alias("key"), c("window").alias("context"), "n", "body")
+                others = spread_join(contexts, crowded, ["gram"], "left_anti")
+                others = others.select(c("gram").cast("string").cast("binary").alias("key"), "context", "n", "body")
+                words = contexts.agg(F.sum("words")).first()[0] or 0
+                found = materialize(match(others.union(windows), length, words // shard_words + 1), "found")
+                hits = single.join(found.select(c("context").alias("window")), "window", "left_semi")
+                spans = keep_spans(found.union(hits.groupBy("context").agg(F.flatten(F.collect_list(F.array("at", "at"))).alias("spans"))), "spans")
+            pieces = spread_join(where, spans, ["context"]).groupBy("class").agg(F.collect_list(F.struct("at", "spans")).alias("pieces"))
+            pieces = keep_pieces(pieces.join(classes.select(c("sha").alias("class"), "leader"), "class"), "pieces")
         cut = _cut(_with_text(docs, pieces).dropDuplicates(["class"]), length, gram)
         cut = materialize(cut, "cut")
-        out = spread_join(rows.select("doc_id", "n_words", c("sha").alias("class")), cut, ["class"], "left")
+        out = spread_join(rows, cut, ["class"], "left")
         return keep(out.select("doc_id", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"), F.coalesce("kept_sha256", F.lower(F.hex("class"))).alias("kept_sha256")), "phrases")

@@ -3,6 +3,7 @@
 import hashlib
 import random
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from compare import duck, duck_rows, spark_rows
@@ -10,6 +11,7 @@ from compare import duck, duck_rows, spark_rows
 from folio.llm import phrases
 from folio.llm.oracle import ORACLE
 from folio.llm.queries import QUERIES
+from folio.session import shared_root
 
 
 def plain(rows, length):
@@ -63,6 +65,19 @@ def test_one_place_in_many_documents(spark):
     assert found(phrases.remove_phrases(frame(spark, rows), many=50, shard_words=1000)) == plain(rows, 35)
 
 
+def test_tables_behind_the_spans_are_gone_when_texts_are_cut(spark, rows, monkeypatch):
+    tables = lambda: set(Path(shared_root(spark)).glob("folio-*/*"))
+    cut, there, before = phrases._cut, [], tables()
+
+    def seen(*args):
+        there.extend(path.name.rsplit("-", 1)[0] for path in tables() - before)
+        return cut(*args)
+
+    monkeypatch.setattr(phrases, "_cut", seen)
+    assert found(phrases.remove_phrases(frame(spark, rows), length=8, gram=3)) == plain(rows, 8)
+    assert "pieces" in there and not {"anchored", "classes", "places", "contexts", "found", "single"} & set(there)
+
+
 def test_very_long_and_empty(spark):
     rng = random.Random(9)
     long = " ".join(f"u{rng.randrange(10**9)}" for _ in range(150_000))
