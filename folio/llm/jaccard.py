@@ -9,9 +9,9 @@ documents share is exact, a good one keeps lists of common passages out of the m
 
 Long lists of near copies would still yield all pairs. So classes are linked first to one class of each
 short list (of nearly equal size), and the components of the links that hold are found. What remains to be
-searched is each list's classes outside its commonest component against the whole list, long lists only for pairs
-that could meet nowhere else; the candidates of this search are complete, so no link between two
-components is missed.
+searched is each list's classes outside its commonest component against the whole list, in long lists only by
+their differences to one class of the list: near copies below the threshold meet where they differ alike, not in all they
+have in common. The candidates of this search are complete, so no link between two components is missed.
 
 Null, empty and blank texts have no shingles and stand alone. With fewer words than a shingle the whole
 sequence is the one shingle. Repeated rows fall into one class; rows that share an id are told apart by
@@ -34,6 +34,8 @@ from folio.session import materialize, scratch
 SKETCH_BITS = 20
 #: Lists of more classes are long in the search across components.
 LONG = 64
+#: Shingles, of those in which two classes differ alike from a third, that are looked for.
+MEET = 2
 _SLICES = 64
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0x27D4EB2F165667C5)]
 
@@ -215,11 +217,13 @@ def _places(marks: pa.Array, bits: int) -> np.ndarray:
     return (x >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def holding(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs ``a, b`` whose sets reach the overlap, counted by bisection of one set in the other."""
+def _with_sets(pairs: DataFrame, sets: DataFrame, *more: str) -> DataFrame:
     both = pairs.join(sets.select(F.col("key").alias("a"), F.col("body").alias("_x")), "a")
-    both = both.join(sets.select(F.col("key").alias("b"), F.col("body").alias("_y")), "b").select("a", "b", "_x", "_y")
+    return both.join(sets.select(F.col("key").alias("b"), F.col("body").alias("_y")), "b").select("a", "b", *more, "_x", "_y")
+
 
+def holding(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a, b`` whose sets reach the overlap, counted by bisection of one set in the other."""
     def make():
         def step(batch: pa.RecordBatch) -> dict:
             kept = []
@@ -236,7 +240,7 @@ def holding(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
         return step
 
-    return arrow_map(both, make, "a long, b long")
+    return arrow_map(_with_sets(pairs, sets), make, "a long, b long")
 
 
 def jaccard_classes(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFrame:
@@ -260,11 +264,12 @@ def jaccard_groups(docs: DataFrame, size: int = 3, percent: int = 90) -> DataFra
 def _components(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """The rows of ``short_lists``; and ``key, least, root`` of every class: its least id and its component."""
     with scratch(docs.sparkSession) as keep:
-        rows = keep(short_lists(docs, size, percent, frequency_sketch(docs, size)), "short")
-        return rows, _members(rows, docs, size, percent, keep)
+        sketch = frequency_sketch(docs, size)
+        rows = keep(short_lists(docs, size, percent, sketch), "short")
+        return rows, _members(rows, docs, size, percent, sketch, keep)
 
 
-def _members(rows: DataFrame, docs: DataFrame, size: int, percent: int, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+def _members(rows: DataFrame, docs: DataFrame, size: int, percent: int, sketch: np.ndarray, keep: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     c = F.col
     classes = rows.filter("n > 0").groupBy("key").agg(F.min("doc_id").alias("least"), F.min("mark").alias("mark"), F.first("n").alias("n"))
     classes = materialize(classes, "classes")
@@ -275,7 +280,11 @@ def _members(rows: DataFrame, docs: DataFrame, size: int, percent: int, keep: Ca
     by_class = classes.select("key", "mark")
     links = _holding(lambda: _leading_pairs(lists, percent), docs, size, percent, by_class)
     roots = materialize(components(links), "roots")
-    more = _holding(lambda: _search(lists, roots, percent), docs, size, percent, by_class)
+    differ = None
+    if long_ := _long_lists(lists, links, roots, docs, size, percent, by_class, sketch):
+        differ, links = long_
+        roots = materialize(components(links), "roots")
+    more = _holding(lambda: _search(lists, roots, percent, differ), docs, size, percent, by_class)
     if not more.isEmpty():
         roots = materialize(components(links.union(more)), "roots")
     rooted = classes.select("key", "least").join(roots.select(c("node").alias("key"), "root"), "key", "left")
@@ -313,31 +322,129 @@ def _needed(docs: DataFrame, size: int, pairs: DataFrame, by_class: DataFrame) -
     return materialize(sets_of(docs, size, materialize(keys.join(by_class, "key"), "wanted")), "sets")
 
 
-def _search(lists: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def _placed(lists: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """The rows of lists with several components: of a class its size ``n``, its short lists ``p``, ``u`` of them not long."""
+    c = F.col
+    least = _up(c("n") * percent, 100)
+    merged = F.least(c("n"), c("n") - least + F.expr(_OCC))
+    long_ = lists.groupBy("key").agg(F.sum((c("_in_list") > LONG).cast("long")).alias("_long"))
+    placed = lists.join(long_, "key").select("h", "key", "n", merged.alias("p"), (merged - c("_long")).alias("u"), c("_in_list").alias("top"))
+    return _mixed(placed, roots, ["h"])
+
+
+def _mixed(rows: DataFrame, roots: DataFrame, on: list[str]) -> DataFrame:
+    """The rows of lists with several components, with their ``root``, and whether that is ``_in`` most rows of the list."""
+    rooted = rows.join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    per = rooted.groupBy(*on, "root").agg(F.count("*").alias("_n"))
+    several = per.groupBy(*on).agg(F.max(F.struct("_n", "root"))["root"].alias("_main"), F.count("*").alias("_roots")).filter("_roots > 1")
+    return rooted.join(several.drop("_roots"), on).withColumn("_in", F.col("root") == F.col("_main")).drop("_main")
+
+
+def _across(rows: DataFrame, on: list[str], percent: int, also: Column) -> DataFrame:
+    """Pairs of a list's rows from different components, sizes permitting; a pair's columns end with ``a`` and ``b``."""
+    c = F.col
+    of = {name: "" if name == "key" else name[0] for name in rows.columns if name not in (*on, "_in")}
+    few = rows.filter(~c("_in")).select(*on, *[c(x).alias(y + "a") for x, y in of.items()])
+    all_ = rows.select(*on, *[c(x).alias(y + "b") for x, y in of.items()], "_in")
+    fits = (c("na") * 100 >= c("nb") * percent) & (c("nb") * 100 >= c("na") * percent)
+    met = few.join(all_, on).filter((c("ra") != c("rb")) & fits & (c("_in") | (c("a") < c("b"))) & also)
+    return met.withColumns({"a": F.least("a", "b"), "b": F.greatest("a", "b")})
+
+
+def _bounds(percent: int) -> tuple[Column, Column]:
+    """What a pair has to share, and how often it has to meet in lists that are not long."""
+    c = F.col
+    share = _up((c("na") + c("nb")) * percent, 100 + percent)
+    return share, F.least(c("ua") - c("na") + share, c("ub") - c("nb") + share)
+
+
+def _search(lists: DataFrame, roots: DataFrame, percent: int, differ: DataFrame | None) -> DataFrame:
     """Candidate pairs of classes in different components.
 
     Lists beyond ``LONG`` classes are divided from the rest once more. Let a have n shingles, u of its short lists
     not long, and let a partner have to share v: it may miss n - v of a's shingles, so it shares at least
     u - (n - v) of the u. The one of a pair whose short lists end first in the common order finds all it shares
     of them in the other's short lists. So where the number is 1 or more for both, the pair meets that often in
-    lists that are not long; only the other pairs are looked for in long lists.
+    lists that are not long; the other pairs meet there as often as they have to in all, or in a long list. Those
+    of a long list are looked for by their differences to one class (``differ``): let x and y be how many shingles only
+    one of a or b and that class has, and m the most in which a and b may differ. With x + y <= m both are
+    linked to that class. Else their differences have t = (x + y - m) / 2 shingles in common, rounded up, the first ``MEET`` of
+    them early in any order that all share. What near copies have in common is in no difference, so they meet only
+    where they differ alike.
     """
     c = F.col
-    least = _up(c("n") * percent, 100)
-    merged = F.least(c("n"), c("n") - least + F.expr(_OCC))
-    long_ = lists.groupBy("key").agg(F.sum((c("_in_list") > LONG).cast("long")).alias("_long"))
-    placed = lists.join(long_, "key").join(roots.select(c("node").alias("key"), "root"), "key", "left")
-    placed = placed.select("h", "key", "n", merged.alias("p"), (merged - c("_long")).alias("u"), (c("_in_list") > LONG).alias("long"), F.coalesce("root", "key").alias("root"))
-    per = placed.groupBy("h", "root").agg(F.count("*").alias("_n"))
-    mixed = per.groupBy("h").agg(F.max(F.struct("_n", "root"))["root"].alias("_main"), F.count("*").alias("_roots")).filter("_roots > 1").select("h", "_main")
-    rows = materialize(placed.join(mixed, "h"), "mixed")
-    few = rows.filter(c("root") != c("_main")).select("h", "long", *[c(x).alias(y) for x, y in (("key", "a"), ("n", "na"), ("p", "pa"), ("u", "ua"), ("root", "ra"))])
-    all_ = rows.select("h", *[c(x).alias(y) for x, y in (("key", "b"), ("n", "nb"), ("p", "pb"), ("u", "ub"), ("root", "rb"))], (c("root") == c("_main")).alias("_in"))
-    fits = (c("na") * 100 >= c("nb") * percent) & (c("nb") * 100 >= c("na") * percent)
-    share = _up((c("na") + c("nb")) * percent, 100 + percent)
-    bound = F.least(c("ua") - c("na") + share, c("ub") - c("nb") + share)
-    met = few.join(all_, "h").filter((c("ra") != c("rb")) & fits & (c("_in") | (c("a") < c("b"))) & (~c("long") | (bound <= 0)))
+    share, bound = _bounds(percent)
     of_pair = [bound.alias("bound"), (share - F.greatest(c("na") - c("pa"), c("nb") - c("pb"))).alias("least")]
-    met = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "long", *of_pair)
-    pairs = met.groupBy("a", "b").agg(F.count("*").alias("_met"), F.sum((~c("long")).cast("long")).alias("_short"), F.first("bound").alias("bound"), F.first("least").alias("least"))
-    return pairs.filter((c("_short") >= c("bound")) & ((c("bound") > 0) | (c("_met") >= c("least")))).select("a", "b")
+    rows = materialize(_placed(lists, roots, percent).filter(c("top") <= LONG).drop("top"), "mixed")
+    met = _across(rows, ["h"], percent, F.lit(True)).select("a", "b", *of_pair)
+    met = met.groupBy("a", "b").agg(F.count("*").alias("_met"), F.first("bound").alias("bound"), F.first("least").alias("least"))
+    pairs = met.filter(c("_met") >= F.when(c("bound") > 0, c("bound")).otherwise(c("least"))).select("a", "b")
+    if differ is None:
+        return pairs
+    rows = materialize(_mixed(differ, roots, ["lead", "e"]), "mixed")
+    t = F.greatest(F.lit(1), _up(c("xa") + c("xb") - (c("na") + c("nb") - 2 * share), 2))
+    early = (bound <= 0) & (t <= c("xa")) & (t <= c("xb")) & (c("ia") < c("xa") - t + MEET) & (c("ib") < c("xb") - t + MEET)
+    met = _across(rows, ["lead", "e"], percent, early).select("lead", "a", "b", F.least(t, F.lit(MEET)).alias("t"))
+    met = met.groupBy("lead", "a", "b").agg(F.count("*").alias("_met"), F.first("t").alias("t"))
+    return pairs.union(met.filter("_met >= t").select("a", "b")).distinct()
+
+
+def _long_lists(lists: DataFrame, links: DataFrame, roots: DataFrame, docs: DataFrame, size: int, percent: int, by_class: DataFrame, sketch: np.ndarray) -> tuple[DataFrame, DataFrame] | None:
+    """How classes in long lists differ from the least class of the list; ``links``, and those to that class and among classes that differ alike.
+
+    The rows ``key, n, u, lead, x, i, e`` name the first shingles ``e`` of the difference, from 0, of all ``x``.
+    """
+    c = F.col
+    with scratch(docs.sparkSession) as keep:
+        rows = materialize(_placed(lists, roots, percent).filter(c("top") > LONG).drop("_in"), "long")
+        lead = rows.groupBy("h").agg(F.min("key").alias("lead"))
+        led = rows.join(lead, "h").filter("key != lead").groupBy(c("key").alias("a"), c("lead").alias("b"))
+        pairs = materialize(led.agg(F.first("n").alias("n"), F.first("u").alias("u")), "to_lead")
+        if pairs.isEmpty():
+            return None
+        sets = _needed(docs, size, pairs, by_class)
+        far = materialize(differences(pairs, sets, percent, sketch), "differences")
+        differ = far.select(c("a").alias("key"), "n", "u", c("b").alias("lead"), c("far").alias("x"), F.posexplode("first").alias("i", "e"))
+        differ = keep(differ, "differ")
+        links = links.union(far.filter("links").select("a", "b"))
+        # Of those that differ alike, the one nearest to the lead is the likeliest to be linked to the others.
+        alike = _mixed(differ, roots, ["lead", "e"])
+        hub = alike.groupBy("lead", "e").agg(F.min(F.struct("x", "key", "root")).alias("hub"))
+        to_hub = alike.join(hub, ["lead", "e"]).filter(c("root") != c("hub.root"))
+        near = to_hub.select(F.least("key", "hub.key").alias("a"), F.greatest("key", "hub.key").alias("b")).distinct()
+        links = keep(links.union(holding(materialize(near, "to_hub"), sets, percent)).distinct(), "links")
+        return differ, links
+
+
+def differences(pairs: DataFrame, sets: DataFrame, percent: int, sketch: np.ndarray) -> DataFrame:
+    """``a, b, n, u, far, links, first`` for ``a, b, n, u``: how many shingles only one has, whether the pair holds, the first of these shingles.
+
+    Those come first that few classes near ``b`` should have in their own difference to it: shingles of ``b`` are missing
+    rarely where they are frequent, and other classes near it miss some of them.
+    """
+    shared = pairs.sparkSession.sparkContext.broadcast(sketch)
+
+    def make():
+        counts = shared.value
+        mask = np.uint64(len(counts) - 1)
+
+        def step(batch: pa.RecordBatch) -> dict:
+            far, links, first, ends = [], [], [], [0]
+            for x, y in zip(batch.column(4), batch.column(5)):
+                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                only = np.setxor1d(x, y, assume_unique=True)
+                both = (len(x) + len(y) - len(only)) // 2
+                often = counts[(only & mask).astype(np.int64)]
+                most = counts[(y & mask).astype(np.int64)].max()
+                often = np.where(np.isin(only, y, assume_unique=True), most - often + most // 8, often)
+                kept = only[np.argsort(often, kind="stable")[: len(x) * (100 - percent) // percent + MEET]]  # ties by hash
+                far.append(len(only))
+                links.append(100 * both >= percent * (both + len(only)))
+                first.append(kept.view(np.int64))
+                ends.append(ends[-1] + len(kept))
+            arrays = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(first)))
+            return {**{name: batch.column(k) for k, name in enumerate("abnu")}, "far": pa.array(far, pa.int64()), "links": pa.array(links, pa.bool_()), "first": arrays}
+
+        return step
+
+    return arrow_map(_with_sets(pairs, sets, "n", "u"), make, "a long, b long, n long, u long, far long, links boolean, first array<long>")
