@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from folio.llm import decontaminate, jaccard, packing, perplexity, pii, quality, secrets, suffix, tokens, toxicity
+from folio.llm import base, decontaminate, jaccard, packing, perplexity, pii, quality, secrets, suffix, tokens, toxicity
 from folio.llm.base import TokenIds, words_of
 from folio.llm.components import components
 from folio.llm.queries import vocabulary
@@ -67,6 +67,11 @@ def test_token_ids_are_the_library_s():
     assert [np.frombuffer(x, "<u4").tolist() for x in memory.encode(texts)] == [w.ids for w in want]
 
 
+def test_even_texts_are_told_by_bytes():
+    texts = [a + b for a in map(chr, range(128)) for b in map(chr, range(128))] + ["é.", "é..", "—", "a. b, c"]
+    assert [base._even(x) for x in texts] == [not base._UNEVEN.search(x) for x in texts]
+
+
 def test_elias_fano_round_trip():
     rng = np.random.default_rng(3)
     for n, top in ((0, 1), (1, 0), (5, 3), (300, 10), (1000, 10**12)):
