@@ -250,6 +250,11 @@ def test_words_with_digits_are_scored(spark):
     assert not out[1000].kept and not out[1010].kept
 
 
+def test_joins_of_repeats_are_the_same_at_every_size(docs):
+    plan = suffix.remove_repeats(docs)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastHashJoin" not in plan
+
+
 def test_repeats(docs, none):
     texts = [(r.doc_id, (r.text or "").encode()) for r in docs.collect()]
     count = Counter(t[q : q + 400] for _, t in texts for q in range(len(t) - 399))
