@@ -25,7 +25,7 @@ from folio.llm.packing import pack
 from folio.llm.perplexity import quality_rules
 from folio.llm.queries import vocabulary
 from folio.llm.secrets import redact
-from folio.session import drop_tables, noting, work_path
+from folio.session import bound_batches, drop_tables, noting, work_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 #: Tables the result of the stage before is read from; they go once that result has been written.
@@ -33,10 +33,11 @@ _BEHIND: list[str] = []
 
 
 def stage(make: Stage) -> Stage:
-    """A stage that deletes what the one before has left, unless its own input still reads it."""
+    """A stage that deletes what the one before has left, unless its own input still reads it; batches are bounded."""
 
     @wraps(make)
     def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bound_batches(spark)
         read = docs.inputFiles()
         done = [path for path in _BEHIND if not any(path in file for file in read)]
         drop_tables(spark, done)

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -15,6 +16,7 @@ from folio.llm import base, decontaminate, jaccard, packing, perplexity, pii, qu
 from folio.llm.base import TokenIds, words_of
 from folio.llm.components import components
 from folio.llm.queries import vocabulary
+from folio.session import BATCH_BYTES
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, key string, n long, _row long"
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -447,6 +449,26 @@ def test_fold():
     assert toxicity.fold("1d10t, ÏDIOT! trаsh sc​um $tupid 10 $$$", table) == " idiot idiot trash scum stupid "
 
 
+def test_stages_send_long_texts_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["rows", "bytes"])
+
+    @corpus_pipeline.stage
+    def measured(spark, docs, sf_dir):
+        return docs.select("text").mapInArrow(sizes, "rows long, bytes long")
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        found = measured(spark, spark.range(0, 60, 1, 1).select(F.repeat(F.lit("x"), 200_000).alias("text")), "").collect()
+    finally:
+        spark.conf.set(key, before)
+    assert sum(r.rows for r in found) == 60
+    assert max(r.bytes for r in found) < BATCH_BYTES + 300_000
+
+
 def test_pipeline(spark, sf_dir, docs):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in corpus_pipeline.STAGES[:-1]:
