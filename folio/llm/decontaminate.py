@@ -114,9 +114,9 @@ def numbered(docs: DataFrame, block: Block) -> DataFrame:
 
 def _tokens(numbers: Iterable[np.ndarray], active: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
     """Row, all word numbers, and the places and numbers of words that are active, for texts that have any."""
+    known = np.append(active, False)  # also for the number -1
     for k, ids in enumerate(numbers):
-        places = np.flatnonzero(ids >= 0)
-        places = places[active[ids[places]]]
+        places = np.flatnonzero(known[ids])
         if len(places):
             yield k, ids, places, ids[places]
 
@@ -187,6 +187,25 @@ def passage_counts(ids: DataFrame, block: Block) -> tuple[np.ndarray, float]:
     return out[:n], float(out[n])
 
 
+def _row_sums(table: np.ndarray, rows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of the table's ``rows`` from each place in ``first`` to the next, for short runs: the k-th of all runs at once."""
+    size = np.diff(np.append(first, len(rows)))
+    order = np.argsort(-size, kind="stable")
+    first, size = first[order], size[order]
+    total = table[rows[first]]
+    for k in range(1, int(size.max(initial=0))):
+        longer = np.searchsorted(-size, -k)
+        total[:longer] += table[rows[first[:longer] + k]]
+    out = np.empty_like(total)
+    out[order] = total
+    return out
+
+
+def _windows(words: np.ndarray) -> np.ndarray:
+    """How many windows texts of so many words have."""
+    return np.maximum(1, -(-(words - WINDOW + STRIDE) // STRIDE))
+
+
 def _window_rows(places: np.ndarray, words: int, size: int, stride: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts of the windows that hold an active word, and the range of active words of each."""
     starts = np.arange(0, max(1, words - size + stride), stride)
@@ -212,7 +231,7 @@ def latent_space(ids: DataFrame, block: Block, idf: np.ndarray, seed: int = 5) -
             return
         terms, first, size = terms[several], np.flatnonzero(new[several]), size[size > 1]
         weight = idf[terms].astype(np.float32)
-        y = np.add.reduceat(weighted[terms], first, axis=0) / np.add.reduceat(weight**2, first)[:, None]
+        y = _row_sums(weighted, terms, first) / np.add.reduceat(weight**2, first)[:, None]
         order = np.argsort(terms, kind="stable")
         owner, terms = np.repeat(np.arange(len(size)), size)[order], terms[order]
         starts = np.flatnonzero(np.concatenate([[True], terms[1:] != terms[:-1]]))
@@ -292,25 +311,29 @@ class LeakFinder:
         # Thin items can be held by so few active words that what stands around them decides the cosine.
         self.thin = self.strong[self.need[self.strong] <= THIN]
         self.shared = (self.place[self.thin, :-1].T >= 0) & self.active[:, None]
-
-    @staticmethod
-    def around(own: np.ndarray, words: int, size: int, need: int) -> np.ndarray:
-        """Starts of the windows around which at least ``need`` of the places ``own`` lie, for an item of ``size`` words."""
-        starts = np.arange(0, max(1, words - WINDOW + STRIDE), STRIDE)
-        return starts[np.searchsorted(own, starts + WINDOW + size) - np.searchsorted(own, starts - size) >= need]
+        self.by_cosine = np.flatnonzero(self.need[self.owner] > THIN)
 
     def by_words(self, held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Text, window start and thin item wherever the active words leave a long enough subsequence possible, whatever the cosine."""
-        rows, starts, items = [], [], []
-        for k, (_, ids, places, terms) in enumerate(held):
-            there = self.shared[terms]
-            for q in np.flatnonzero(np.count_nonzero(there, axis=0) >= self.need[self.thin]).tolist():
-                item = self.thin[q]
-                at = self.around(places[there[:, q]], len(ids), self.sizes[item], self.need[item])
-                rows.append(np.full(len(at), k))
-                starts.append(at)
-                items.append(np.full(len(at), item))
-        return tuple(np.concatenate(x) if x else np.zeros(0, np.int64) for x in (rows, starts, items))
+        size = np.array([len(ids) for _, ids, _, _ in held])
+        own = np.array([len(terms) for *_, terms in held])
+        there = self.shared[np.concatenate([terms for *_, terms in held])]
+        often = np.add.reduceat(there, np.cumsum(own) - own, axis=0, dtype=np.int64)
+        row, thin = np.nonzero(often >= self.need[self.thin])
+        pair = np.full(often.shape, -1)
+        pair[row, thin] = np.arange(len(row))
+        # The places of each pair's words, one pair after the other, a span of numbers each.
+        word, q = np.nonzero(there)
+        of = pair[np.repeat(np.arange(len(held)), own)[word], q]
+        span = int(size.max()) + WINDOW + int(self.sizes.max()) + 1
+        places = np.sort((of * span + np.concatenate([places for _, _, places, _ in held])[word])[of >= 0])
+        windows = _windows(size)[row]
+        of = np.repeat(np.arange(len(row)), windows)
+        starts = (np.arange(len(of)) - np.repeat(np.cumsum(windows) - windows, windows)) * STRIDE
+        items = self.thin[thin][of]
+        first = np.searchsorted(places, of * span + np.maximum(starts - self.sizes[items], 0))
+        near = np.searchsorted(places, of * span + starts + WINDOW + self.sizes[items]) - first >= self.need[items]
+        return row[of][near], starts[near], items[near]
 
     def cosine(self, item: int, ids: np.ndarray) -> float:
         """Highest cosine of a text's windows with an item, 0 without active words."""
@@ -325,23 +348,27 @@ class LeakFinder:
         return best
 
     def candidates(self, held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Text, window start, item and cosine of near windows, for texts as ``_tokens`` gives them."""
-        rows, starts, low, high, before = [], [], [], [], 0
-        for k, (_, ids, places, terms) in enumerate(held):
-            start, a, b = _window_rows(places, len(ids), WINDOW, STRIDE)
-            rows.append(np.full(len(start), k))
-            starts.append(start)
-            low.append(a + before)
-            high.append(b + before)
-            before += len(terms)
-        rows, starts, low, high = (np.concatenate(x) for x in (rows, starts, low, high))
-        sums = np.zeros((before + 1, self.space.shape[1]), np.float32)
-        np.cumsum(self.space[np.concatenate([terms for *_, terms in held])], axis=0, out=sums[1:])
-        v = sums[high] - sums[low]
+        """Text, window start, item and cosine of near windows, for texts as ``_tokens`` gives them; thin and weak items are left out.
+
+        A window is two strides, so words are summed up by stride; each text has one stride more than windows.
+        """
+        strides = _windows(np.array([len(ids) for _, ids, _, _ in held])) + 1
+        first = np.cumsum(strides) - strides
+        stride = np.concatenate([places // STRIDE + at for (_, _, places, _), at in zip(held, first)])
+        new = np.flatnonzero(np.concatenate([[True], stride[1:] != stride[:-1]]))
+        sums = np.zeros((int(strides.sum()), self.space.shape[1]), np.float32)
+        sums[stride[new]] = _row_sums(self.space, np.concatenate([terms for *_, terms in held]), new)
+        some = np.zeros(len(sums), bool)
+        some[stride[new]] = True
+        some[:-1] |= some[1:]
+        some[first + strides - 1] = False
+        window = np.flatnonzero(some)
+        v = sums[window] + sums[window + 1]
         size = np.maximum(np.linalg.norm(v, axis=1), 1e-12)
-        cosine = v @ self.queries
+        cosine = v @ self.queries[:, self.by_cosine]
         w, q = np.nonzero(cosine >= (COSINE * size)[:, None])
-        return rows[w], starts[w], self.owner[q], cosine[w, q] / size[w]
+        rows = np.repeat(np.arange(len(held)), strides)[window]
+        return rows[w], ((window - first[rows]) * STRIDE)[w], self.owner[self.by_cosine[q]], cosine[w, q] / size[w]
 
     def bounds(self, held: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]], rows: np.ndarray, starts: np.ndarray, items: np.ndarray, cells: int = 1 << 19) -> np.ndarray:
         """No common subsequence around the windows is longer: the words of each item that lie there, as often as in it."""
@@ -406,11 +433,9 @@ class LeakFinder:
         out, held, size = [], [], 0
 
         def settle():
-            rows, starts, items, _ = self.candidates(held)
-            strong = self.need[items] > 0
-            rows, starts, items = (np.concatenate(x) for x in zip((rows[strong], starts[strong], items[strong]), self.by_words(held)))
-            likely = self.enough(held, rows, starts, items)
-            out.extend(self.settled(held, rows[likely], starts[likely], items[likely]))
+            near = self.candidates(held)[:3]
+            likely = self.enough(held, *near)
+            out.extend(self.settled(held, *(np.concatenate([x[likely], y]) for x, y in zip(near, self.by_words(held)))))
 
         for row in texts_:
             held.append(row)
@@ -442,18 +467,18 @@ class LeakFinder:
             first = np.cumsum(strides) - strides
             body = np.concatenate([ids for _, ids, _, _ in held])
             stride = np.repeat(first, sizes) + (np.arange(len(body)) - np.repeat(np.cumsum(sizes) - sizes, sizes)) // STRIDE
-            windows = np.maximum(1, -(-(sizes - WINDOW + STRIDE) // STRIDE))  # as ``around`` has them
+            windows = _windows(sizes)
             rows = np.repeat(np.arange(len(held)), windows)
             starts = (np.arange(len(rows)) - np.repeat(np.cumsum(windows) - windows, windows)) * STRIDE
             for item in self.weak.tolist():
-                size, width = self.sizes[item], self.often.shape[1]
+                size, width = self.sizes[item], int(np.count_nonzero(self.often[item]))
                 place = self.place[item, body]
-                found = place >= 0
-                seen = np.zeros((int(strides.sum()) + 1, width), np.int64)
+                found = np.flatnonzero(place >= 0)
+                seen = np.zeros((int(strides.sum()) + 1, width), np.int32)
                 np.cumsum(np.bincount(stride[found] * width + place[found], minlength=(len(seen) - 1) * width).reshape(-1, width), axis=0, out=seen[1:])
                 low = first[rows] + np.maximum(starts - size, 0) // STRIDE
                 high = first[rows] + np.minimum(-(-(starts + WINDOW + size) // STRIDE), strides[rows])
-                near = np.minimum(seen[high] - seen[low], self.often[item]).sum(1) >= self.cover[item]
+                near = np.minimum(seen[high] - seen[low], self.often[item, :width]).sum(1) >= self.cover[item]
                 if near.any():
                     yield from self.settled(held, rows[near], starts[near], np.full(int(near.sum()), item))
 
@@ -467,11 +492,11 @@ def _finder(ids: DataFrame, block: Block) -> tuple[np.ndarray, np.ndarray]:
 
 def _search(block: Block, idf: np.ndarray, space: np.ndarray, numbers: list[np.ndarray], state: dict) -> list[tuple[int, int, int, float]]:
     if not state:
-        state["finder"], state["all"] = LeakFinder(block, idf, space), np.ones(len(block.words), bool)
+        state["finder"] = LeakFinder(block, idf, space)
     finder = state["finder"]
     found = finder.find(_tokens(numbers, finder.active))
     if len(finder.weak):
-        found += finder.find_weak([(k, ids) for k, ids, _, _ in _tokens(numbers, state["all"])])
+        found += finder.find_weak([(k, ids) for k, ids in enumerate(numbers) if (ids >= 0).any()])
     return found
 
 

@@ -411,6 +411,32 @@ def test_items_are_found_by_their_cosine(spark, monkeypatch):
     assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, bench).collect()} == found
 
 
+def test_windows_are_summed_by_stride_and_thin_items_found_by_words_alone():
+    """The windows of many texts at once, as one window after the other has them; no thin or weak item is compared by cosine."""
+    rng = np.random.default_rng(5)
+    block = decontaminate.Block.of([(k, " ".join(f"w{x}" for x in rng.integers(0, 60, n))) for k, n in enumerate([3, 5, 6, 9, 20, 40, 150] * 3)])
+    idf = np.where(rng.random(len(block.words)) < 0.3, 0.0, 1.0)
+    space = (rng.standard_normal((len(idf), 12)) * idf[:, None]).astype(np.float32)
+    finder = decontaminate.LeakFinder(block, idf, space)
+    assert len(finder.thin) and len(finder.by_cosine) and len(finder.thin) + len(finder.weak) < len(block.items)
+    numbers = [np.where(rng.random(n) < 0.6, rng.integers(0, len(idf), n), -1).astype(np.int32) for n in (1, 2, 31, 32, 33, 63, 64, 65, 96, 97, 128, 300, 1000)]
+    held = list(decontaminate._tokens(numbers, finder.active))
+    near, by_words = set(), set()
+    for k, (_, ids, places, terms) in enumerate(held):
+        for start in range(0, max(1, len(ids) - 32), 32):
+            inside = space[terms[(places >= start) & (places < start + 64)]].sum(0)
+            for q, item in enumerate(finder.owner.tolist()):
+                size, need = finder.sizes[item], finder.need[item]
+                if need > decontaminate.THIN and inside.any() and inside @ finder.queries[:, q] >= decontaminate.COSINE * np.linalg.norm(inside):
+                    near.add((k, start, item))
+                around = (places >= start - size) & (places < start + 64 + size)
+                if 0 < need <= decontaminate.THIN and np.isin(terms[around], block.items[item]).sum() >= need:
+                    by_words.add((k, start, item))
+    assert set(zip(*(x.tolist() for x in finder.candidates(held)[:3]))) == near
+    assert set(zip(*(x.tolist() for x in finder.by_words(held)))) == by_words
+    assert near and by_words
+
+
 def test_every_place_of_a_document_is_judged(spark):
     rng = random.Random(3)
     word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
