@@ -10,7 +10,7 @@ documents share is exact, a good one keeps lists of common passages out of the m
 Long lists of near copies would still yield all pairs. So classes are linked first to one class of each
 short list (of nearly equal size), and the components of the links that hold are found. What remains to be
 searched is each list's classes outside its commonest component against the whole list, in long lists only by
-their differences to one class of the list: near copies below the threshold meet where they differ alike, not in all they
+their differences to one class for the list: near copies below the threshold meet where they differ alike, not in all they
 have in common. The candidates of this search are complete, so no link between two components is missed.
 
 Null, empty and blank texts have no shingles and stand alone. With fewer words than a shingle the whole
@@ -332,9 +332,14 @@ def _placed(lists: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     return _mixed(placed, roots, ["h"])
 
 
+def _rooted(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rows`` with the ``root`` of their ``key``; a class without links is its own."""
+    return rows.join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+
+
 def _mixed(rows: DataFrame, roots: DataFrame, on: list[str]) -> DataFrame:
     """The rows of lists with several components, with their ``root``, and whether that is ``_in`` most rows of the list."""
-    rooted = rows.join(roots.select(F.col("node").alias("key"), "root"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    rooted = _rooted(rows, roots)
     per = rooted.groupBy(*on, "root").agg(F.count("*").alias("_n"))
     several = per.groupBy(*on).agg(F.max(F.struct("_n", "root"))["root"].alias("_main"), F.count("*").alias("_roots")).filter("_roots > 1")
     return rooted.join(several.drop("_roots"), on).withColumn("_in", F.col("root") == F.col("_main")).drop("_main")
@@ -390,14 +395,15 @@ def _search(lists: DataFrame, roots: DataFrame, percent: int, differ: DataFrame
 
 
 def _long_lists(lists: DataFrame, links: DataFrame, roots: DataFrame, docs: DataFrame, size: int, percent: int, by_class: DataFrame, sketch: np.ndarray) -> tuple[DataFrame, DataFrame] | None:
-    """How classes in long lists differ from the least class of the list; ``links``, and those to that class and among classes that differ alike.
+    """How classes in long lists differ from one class, the lead of the list; ``links``, and those to that class and among classes that differ alike.
 
     The rows ``key, n, u, lead, x, i, e`` name the first shingles ``e`` of the difference, from 0, of all ``x``.
     """
     c = F.col
     with scratch(docs.sparkSession) as keep:
-        rows = materialize(_placed(lists, roots, percent).filter(c("top") > LONG).drop("_in"), "long")
-        lead = rows.groupBy("h").agg(F.min("key").alias("lead"))
+        rows = materialize(_placed(lists, roots, percent).filter(c("top") > LONG), "long")
+        # Any class does for a list; the root of its commonest component is the same for most lists of a group of near copies.
+        lead = rows.filter("_in").groupBy("h").agg(F.min("root").alias("lead"))
         led = rows.join(lead, "h").filter("key != lead").groupBy(c("key").alias("a"), c("lead").alias("b"))
         pairs = materialize(led.agg(F.first("n").alias("n"), F.first("u").alias("u")), "to_lead")
         if pairs.isEmpty():
@@ -407,15 +413,24 @@ def _long_lists(lists: DataFrame, links: DataFrame, roots: DataFrame, docs: Data
         differ = far.select(c("a").alias("key"), "n", "u", c("b").alias("lead"), c("far").alias("x"), F.posexplode("first").alias("i", "e"))
         differ = keep(differ, "differ")
         links = links.union(far.filter("links").select("a", "b"))
-        # Of those that differ alike, the one nearest to the lead is the likeliest to be linked to the others.
-        alike = _mixed(differ, roots, ["lead", "e"])
-        hub = alike.groupBy("lead", "e").agg(F.min(F.struct("x", "key", "root")).alias("hub"))
-        to_hub = alike.join(hub, ["lead", "e"]).filter(c("root") != c("hub.root"))
-        near = to_hub.select(F.least("key", "hub.key").alias("a"), F.greatest("key", "hub.key").alias("b")).distinct()
-        links = keep(links.union(holding(materialize(near, "to_hub"), sets, percent)).distinct(), "links")
+        near = materialize(_to_hubs(_rooted(differ, roots)), "to_hub")
+        links = keep(links.union(holding(near, sets, percent)).distinct(), "links")
         return differ, links
 
 
+def _to_hubs(rows: DataFrame) -> DataFrame:
+    """Pairs ``a, b`` of classes that differ alike, in different components: each with the one nearest to the lead.
+
+    That one is the likeliest to be linked to the others. Lists of one component are left out as they are summed up,
+    so a row meets its list's one hub, and only if that is in another component.
+    """
+    c = F.col
+    hubs = rows.groupBy("lead", "e").agg(F.min(F.struct("x", "key", "root")).alias("hub"), F.max("root").alias("_most"), F.min("root").alias("_least"))
+    hubs = hubs.filter("_most != _least").select("lead", "e", c("hub.key").alias("_hub"), c("hub.root").alias("_of"))
+    met = rows.join(hubs, ["lead", "e"]).filter("root != _of")
+    return met.select(F.least("key", "_hub").alias("a"), F.greatest("key", "_hub").alias("b")).distinct()
+
+
 def differences(pairs: DataFrame, sets: DataFrame, percent: int, sketch: np.ndarray) -> DataFrame:
     """``a, b, n, u, far, links, first`` for ``a, b, n, u``: how many shingles only one has, whether the pair holds, the first of these shingles.
 

@@ -321,6 +321,31 @@ def test_near_copies_that_do_not_link_are_not_all_paired(spark, monkeypatch):
     assert sum(met) < len(rows) * (len(rows) - 1) / 2 / 5
 
 
+def test_near_copies_are_compared_with_one_class_of_their_group(spark, monkeypatch):
+    """The rows of differences, and of joins by them, grow as the group does."""
+    rng = random.Random(6)
+    base = [f"w{k}" for k in range(150)]
+    rows = []
+    for i in range(400):
+        words = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4])):
+            words[rng.randrange(150)] = f"u{rng.randrange(10**9)}"
+        rows.append((i, " ".join(words), "en"))
+    differ, mixed, made, joined = jaccard.differences, jaccard._mixed, [], []
+    monkeypatch.setattr(jaccard, "differences", lambda pairs, *more: made.append(pairs.count()) or differ(pairs, *more))
+
+    def noted(lists, roots, on):
+        out = mixed(lists, roots, on)
+        joined.extend([out.count()] if "lead" in on else [])
+        return out
+
+    monkeypatch.setattr(jaccard, "_mixed", noted)
+    out = got(jaccard.jaccard_classes(frame(spark, rows), 5, 80), "doc_id", "n_shingles", "component_id")
+    assert out == sorted(brute_classes([r[:2] for r in rows], 5, 80), key=repr)
+    assert len(made) == 1 and 0 < made[0] < 1.5 * len(rows), made
+    assert len(joined) == 1 and 0 < joined[0] < 40 * len(rows), joined
+
+
 def test_classes_without_an_id_are_linked(spark):
     words = [f"w{k}" for k in range(120)]
     text = lambda first, last: " ".join([f"x{k}" for k in range(first)] + words[first : 120 - last] + [f"y{k}" for k in range(last)])
