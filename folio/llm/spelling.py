@@ -15,6 +15,9 @@ A word's form is its most frequent near word, the first in code-point order on t
 twice as frequent; its root is the end of the chain of forms. Frequencies double along a chain, so the pointer
 jumps that find the ends are few.
 
+Joins are by merge at every size. Spark takes the keys for about as many rows as there are words, of which each has a
+dozen, and a table for as large as its compressed file; so it would broadcast more than a driver holds.
+
 Null and empty texts have no words, repeated rows count again, an empty table gives an empty result; a null id counts
 as the empty text. Words may be of any length from ``LEAST_LETTERS`` on. Columns other than ``doc_id`` and
 ``text`` are ignored.
@@ -134,7 +137,7 @@ def near_words(words: DataFrame) -> DataFrame:
     c = F.col
     met = (c("a.key") == c("b.key")) & (c("a.last") <= c("b.last")) & ~(c("a.shorter") & c("b.shorter"))
     near = (c("a.word") != c("b.word")) & (F.levenshtein("a.word", "b.word", EDITS) == EDITS)
-    pairs = a.join(b, met & near).select(F.least("a.word", "b.word").alias("x"), F.greatest("a.word", "b.word").alias("y")).distinct()
+    pairs = a.hint("merge").join(b, met & near).select(F.least("a.word", "b.word").alias("x"), F.greatest("a.word", "b.word").alias("y")).distinct()
     pairs = materialize(pairs, "pairs")
     shared.destroy()
     return pairs.select(c("x").alias("word"), c("y").alias("other")).union(pairs.select("y", "x"))
@@ -145,7 +148,7 @@ def _roots(links: DataFrame) -> DataFrame:
     at = materialize(links.select("word", F.col("form").alias("root")), "roots")
     while True:
         ahead = at.select(F.col("word").alias("root"), F.col("root").alias("_next"))
-        step = at.join(ahead, "root", "left").select("word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("moved"))
+        step = at.hint("merge").join(ahead, "root", "left").select("word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("moved"))
         step = materialize(step, "roots")
         at = step.select("word", "root")
         if not step.filter("moved").limit(1).count():
@@ -155,11 +158,11 @@ def _roots(links: DataFrame) -> DataFrame:
 def variants(words: DataFrame) -> DataFrame:
     """``word, form, root, n, n_near, form_n`` for a dictionary ``word, n``."""
     c = F.col
-    near = near_words(words).join(words.select(c("word").alias("other"), c("n").alias("_n")), "other")
+    near = near_words(words).hint("merge").join(words.select(c("word").alias("other"), c("n").alias("_n")), "other")
     best = near.groupBy("word").agg(F.count("*").alias("n_near"), F.min(F.struct((-c("_n")).alias("less"), "other")).alias("_best"))
     more = -c("_best.less")
     frequent = more >= 2 * c("n")
-    rows = words.join(best, "word", "left").select(
+    rows = words.hint("merge").join(best, "word", "left").select(
         "word",
         F.when(frequent, c("_best.other")).alias("form"),
         "n",
@@ -168,7 +171,7 @@ def variants(words: DataFrame) -> DataFrame:
     )
     rows = materialize(rows, "forms")
     roots = _roots(rows.filter("form IS NOT NULL"))
-    return rows.join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
+    return rows.hint("merge").join(roots, "word", "left").select("word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
 def spelling_report(docs: DataFrame) -> DataFrame:

@@ -11,6 +11,7 @@ from compare import duck, duck_rows, spark_rows
 from folio.llm import spelling
 from folio.llm.oracle import ORACLE
 from folio.llm.queries import QUERIES
+from folio.session import materialize
 
 
 def one_edit(a, b):
@@ -69,6 +70,22 @@ def test_chains_and_ties(spark):
     assert len({r[2] for r in want}) < len(want) - 8
 
 
+def test_no_join_is_by_broadcast(spark, monkeypatch):
+    plans = []
+
+    def noted(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, label)
+
+    counts = {"color": 9, "colour": 30, "colours": 70, "alone": 5}
+    words = materialize(dictionary(spark, counts), "words")  # a file, whose size Spark takes for the table's
+    monkeypatch.setattr(spelling, "materialize", noted)
+    assert found(noted(spelling.variants(words), "variants")) == plain(counts)
+    joins = [re.findall(r"\w+Join\b", plan) for plan in plans]
+    assert {x for each in joins for x in each} == {"SortMergeJoin"}
+    assert sum(bool(each) for each in joins) >= 4  # of pairs, of forms, of roots, of the result
+
+
 def test_pivots_are_disjoint_and_rarest():
     rng = random.Random(7)
     for _ in range(300):
